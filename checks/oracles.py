@@ -375,11 +375,11 @@ ORACLES: dict[str, str] = {
     "class_f1_delta": f"""{_PAIRED},
         split AS (SELECT candidate, baseline, drops, list_max(drops) AS top, unnest(drops) AS e
           FROM judged)
-        SELECT candidate, baseline, e.label AS label, round(e.d, 6) AS f1_drop,
+        SELECT candidate, baseline, e.label AS label, CASE WHEN round(e.d, 6) = 0 THEN 0.0::DOUBLE ELSE round(e.d, 6) END AS f1_drop,
           e = top AS is_worst FROM split""",
     "gate_decisions": f"{_PAIRED} SELECT * FROM verdicts",
     "gate_reasons": f"""{_PAIRED} SELECT candidate, baseline, verdict, position, rule, passed,
-        round(value, 6) AS value, "limit",
+        CASE WHEN round(value, 6) = 0 THEN 0.0::DOUBLE ELSE round(value, 6) END AS value, "limit",
         CASE WHEN passed THEN '[PASS]' ELSE '[FAIL]' END AS status
         FROM ruled JOIN verdicts USING (candidate, baseline)""",
     "gate_incomparable": f"""{_PAIRED} SELECT candidate, baseline, 'INCOMPARABLE' AS verdict,

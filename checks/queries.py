@@ -12,6 +12,7 @@ from tallyspark.functions.parsing import parse_predictions
 from tallyspark.functions.run_ids import run_id, utc_stamp
 from tallyspark.operators import fingerprint, gate, inspect, metrics, promotion, scoring, validate
 from tallyspark.operators.totals import run_cost, run_totals
+from tallyspark.sources.checkpoints import materialize
 from tallyspark.sources.tables import read_table
 
 E, L, O = views.EVENT_TASK, views.LANG_TASK, views.ORDER_TASK
@@ -267,21 +268,24 @@ def baseline_lookup(spark: SparkSession, folder: str) -> DataFrame:
 # ---- datasets -----------------------------------------------------------------------------
 
 
+def _decoded(spark: SparkSession, folder: str) -> DataFrame:
+    return materialize(validate.decode_lines(views.document_lines(spark, folder)))
+
+
 def validate_examples(spark: SparkSession, folder: str) -> DataFrame:
-    return validate.validate_examples(views.document_lines(spark, folder), L)
+    return validate.validate_examples(_decoded(spark, folder), L)
 
 
 def first_violation(spark: SparkSession, folder: str) -> DataFrame:
-    lines = views.document_lines(spark, folder)
-    return validate.first_violation(validate.validate_examples(lines, L))
+    return validate.first_violation(validate.validate_examples(_decoded(spark, folder), L))
 
 
 def duplicate_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return validate.duplicate_ids(validate.decode_lines(views.document_lines(spark, folder)))
+    return validate.duplicate_ids(_decoded(spark, folder))
 
 
 def valid_examples(spark: SparkSession, folder: str) -> DataFrame:
-    good = validate.valid_examples(views.document_lines(spark, folder), L)
+    good = validate.valid_examples(_decoded(spark, folder), L)
     return good.select("line_no", "id", "text", "label", "difficulty", "note")
 
 

@@ -31,16 +31,17 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     """Strictly decode ``(file, line_no, raw)``; blank lines vanish but keep their number.
 
     Adds ``shape`` (``object``, ``other`` or ``invalid``), the absent required fields, the
-    fields whose value has the wrong type, and the five fields.
+    fields whose value has the wrong type, and the five fields. Parsing is the expensive part of
+    a load; ``materialize`` the result before checking it, since the checks read ids twice.
     """
-    body = strip_space(F.col("raw"))
+    body = F.col("raw")
     # Two wrapped parses make the strictness test (see is_strict_json) and deliver the fields.
     typed = F.from_json(in_brackets(body), f"array<{_TYPED}>", STRICT_OPTIONS)
     keyed = F.from_json(in_object(body), "struct<r map<string,string>>", STRICT_OPTIONS)
 
     parsed = (
         lines.where(~is_blank(F.col("raw")))
-        .withColumn("raw", body)
+        .withColumn("raw", strip_space(F.col("raw")))
         .withColumn("_typed", typed)
         .withColumn("_keys", F.map_keys(keyed.getField("r")))
     )
@@ -135,14 +136,14 @@ def duplicate_ids(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
 
 
-def check_lines(lines: DataFrame, task: TaskSpec, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Decode every line and name its first violation (null for a good line).
+def check_rows(decoded: DataFrame, task: TaskSpec, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Name the first violation of every decoded line (null for a good line).
 
     Precedence: invalid JSON, not an object, missing field, wrong type, duplicate id, unknown
     label, empty text, invalid difficulty. A later copy of an id counts as a duplicate even if
     the first copy has a violation of its own.
     """
-    rows = mark_duplicates(decode_lines(lines), hot_rows)
+    rows = mark_duplicates(decoded, hot_rows)
     # The good values are non-null here: nulls of label and difficulty are outside their sets.
     bad_label = ~F.coalesce(F.col("label").isin(list(task.classes)), F.lit(False))
     bad_difficulty = ~F.coalesce(F.col("difficulty").isin(list(task.slices)), F.lit(False))
@@ -167,19 +168,19 @@ def check_lines(lines: DataFrame, task: TaskSpec, hot_rows: int = HOT_ROWS) -> D
     return rows.withColumn("violation", violation).withColumn("detail", detail)
 
 
-def validate_examples(lines: DataFrame, task: TaskSpec) -> DataFrame:
+def validate_examples(decoded: DataFrame, task: TaskSpec) -> DataFrame:
     """All bad lines: ``(file, line_no, violation, detail)``."""
     return (
-        check_lines(lines, task)
+        check_rows(decoded, task)
         .where(F.col("violation").isNotNull())
         .select("file", "line_no", "violation", "detail")
     )
 
 
-def valid_examples(lines: DataFrame, task: TaskSpec) -> DataFrame:
+def valid_examples(decoded: DataFrame, task: TaskSpec) -> DataFrame:
     """The good lines as examples."""
     return (
-        check_lines(lines, task)
+        check_rows(decoded, task)
         .where(F.col("violation").isNull())
         .select("file", "line_no", *REQUIRED_FIELDS, "note")
     )

@@ -41,8 +41,8 @@ class EvalResult:
     totals: DataFrame
 
     def scores(self) -> DataFrame:
-        """What the gate compares, one row per run."""
-        return run_scores(self.runs, self.slice_metrics, self.totals)
+        """What the gate compares, one row per run; written out, since a gate reads it often."""
+        return materialize(run_scores(self.runs, self.slice_metrics, self.totals))
 
     def records(self) -> DataFrame:
         """One nested row per run."""

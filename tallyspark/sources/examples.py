@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from tallyspark.operators.joins import BROADCAST_ROWS, fits_broadcast
 from tallyspark.operators.validate import (
+    decode_lines,
     raise_first_violation,
     valid_examples,
     validate_examples,
 )
+from tallyspark.sources.checkpoints import materialize
 from tallyspark.task import TaskSpec
 
 
@@ -46,6 +48,6 @@ def scan_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def load_examples(spark: SparkSession, path: str, task: TaskSpec) -> DataFrame:
     """The validated examples; raises on the first bad line, like any strict loader."""
-    lines = scan_lines(spark, path)
-    raise_first_violation(validate_examples(lines, task))
-    return valid_examples(lines, task)
+    decoded = materialize(decode_lines(scan_lines(spark, path)))
+    raise_first_violation(validate_examples(decoded, task))
+    return valid_examples(decoded, task)
