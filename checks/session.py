@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
-    spark = (
+def local_session(
+    cores: int | str = 8, memory: str = "8g", checkpoint_dir: str | None = None
+) -> SparkSession:
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tallyspark")
         .config("spark.ui.enabled", "false")
@@ -14,7 +16,9 @@ def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    if checkpoint_dir is not None:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -27,18 +27,28 @@ def _plain_label(raw: Column, key: str) -> Column:
     return F.regexp_extract(raw, pattern, 1)
 
 
+def _may_be_json(raw: Column) -> Column:
+    """Starts and ends like a JSON value; spares prose a parse that must fail."""
+    starts = raw.rlike(rf'\A{_WS}[\[{{"0-9\-tfnNI]')
+    return starts & raw.rlike(rf'[\]}}"0-9elNy]{_WS}\z')
+
+
 def parse_label(raw: Column, task: TaskSpec) -> Column:
     """Label of one raw output.
 
     The whole output is tried as strict JSON first, then its first ``{...}`` block. The value
-    must be an object whose response field is a *string* in the label set. One regular
-    expression settles the well-formed answers; only the others pay for JSON parsing.
+    must be an object whose response field is a *string* in the label set. Regular expressions
+    settle the plain answers, bare or inside prose; only the others pay for JSON parsing.
     """
     raw = F.coalesce(raw, F.lit(""))
     classes = list(task.classes)
-
-    whole = is_strict_json(raw) & ~F.trim(raw, F.lit(" \t\n\r")).isin("", "null")
     block = first_object(raw)
+
+    whole = (
+        _may_be_json(raw)
+        & is_strict_json(raw)
+        & ~F.trim(raw, F.lit(" \t\n\r")).isin("", "null")
+    )
     source = F.when(whole, raw).when(is_strict_json(block), block)
     answer = T.StructType([T.StructField(task.response_key, T.VariantType())])
     value = F.from_json(source, answer, STRICT_OPTIONS).getField(task.response_key)
@@ -47,8 +57,10 @@ def parse_label(raw: Column, task: TaskSpec) -> Column:
     )
 
     plain = _plain_label(raw, task.response_key)
+    plain_block = _plain_label(block, task.response_key)
     return (
         F.when(plain.isin(classes), plain)
+        .when(~_may_be_json(raw) & plain_block.isin(classes), plain_block)
         .when(label.isin(classes), label)
         .otherwise(F.lit(PARSE_FAILURE))
     )
