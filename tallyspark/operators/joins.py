@@ -49,15 +49,16 @@ def lookup(
     ``hot_dim`` passes in the dim rows of hot keys if they are known already. ``measure=False``
     skips the counting job for a dim that is itself an expensive query.
     """
+    names = [name for name in dim.columns if name != key]
     if measure and fits_broadcast(dim):
-        return facts.join(F.broadcast(dim), key, "left")
+        joined = facts.join(F.broadcast(dim), key, "left")
+        return joined.select(*facts.columns, *names)
 
     if hot_dim is None:
         per_key = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
         hot_keys = per_key.where(F.col("_rows") >= hot_rows).select(key)
         hot_dim = dim.join(F.broadcast(hot_keys), key, "left_semi")
 
-    names = [name for name in dim.columns if name != key]
     payload = F.struct(*names)
     served = facts.join(
         F.broadcast(hot_dim.select(key, payload.alias("_hot"))), key, "left"

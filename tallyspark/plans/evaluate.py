@@ -109,6 +109,7 @@ def evaluate(
     spark = examples.sparkSession
     started = F.lit(now or datetime.now(timezone.utc))
     data_fp = dataset_fingerprint(examples).first()["fingerprint"]
+    prompts = materialize(prompts)
 
     runs = prompts.select(
         run_id(started, F.col("version")).alias("run_id"),

@@ -46,6 +46,81 @@ COMPLETIONS = T.StructType(
     ]
 )
 
+RUNS = T.StructType(
+    [
+        _s("run_id"),
+        _s("timestamp"),
+        T.StructField("ts", T.TimestampType(), False),
+        _s("prompt_version"),
+        _s("prompt_fp"),
+        _s("dataset_fp"),
+        _s("model"),
+        T.StructField("params", T.MapType(T.StringType(), T.StringType()), False),
+        _l("n_predictions"),
+        _d("latency_ms"),
+        _l("prompt_tokens"),
+        _l("completion_tokens"),
+        _d("est_cost_usd"),
+    ]
+)
+
+PREDICTIONS = T.StructType(
+    [
+        _s("run_id"),
+        _s("id"),
+        T.StructField("repeat", T.IntegerType(), False),
+        _s("expected"),
+        _s("difficulty"),
+        _s("raw_output"),
+        _s("predicted"),
+        _d("latency_ms"),
+        _l("prompt_tokens"),
+        _l("completion_tokens"),
+    ]
+)
+
+CELLS = T.StructType(
+    [
+        _s("run_id"),
+        _s("difficulty"),
+        _s("y_true"),
+        _s("y_pred"),
+        _l("n"),
+        _d("latency_ms"),
+        _l("prompt_tokens"),
+        _l("completion_tokens"),
+    ]
+)
+
+CLASS_METRICS = T.StructType(
+    [
+        _s("run_id"),
+        _s("slice"),
+        _s("label"),
+        _l("tp"),
+        _l("predicted"),
+        _l("support"),
+        _d("precision"),
+        _d("recall"),
+        _d("f1"),
+    ]
+)
+
+SLICE_METRICS = T.StructType(
+    [
+        _s("run_id"),
+        _s("slice"),
+        _l("support"),
+        _l("correct"),
+        _l("parse_failures"),
+        _d("accuracy"),
+        _d("macro_f1"),
+        _d("micro_f1"),
+        _d("parse_failure_rate"),
+        T.StructField("class_f1", T.MapType(T.StringType(), T.DoubleType()), False),
+    ]
+)
+
 BASELINE_POINTER = T.StructType(
     [
         _s("chain"),

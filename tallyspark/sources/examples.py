@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.operators.fingerprint import IDENTITY_FIELDS
 from tallyspark.operators.joins import BROADCAST_ROWS, fits_broadcast
 from tallyspark.operators.validate import (
     decode_lines,
     raise_first_violation,
-    valid_examples,
     validate_examples,
 )
 from tallyspark.sources.checkpoints import materialize
@@ -50,4 +50,4 @@ def load_examples(spark: SparkSession, path: str, task: TaskSpec) -> DataFrame:
     """The validated examples; raises on the first bad line, like any strict loader."""
     decoded = materialize(decode_lines(scan_lines(spark, path)))
     raise_first_violation(validate_examples(decoded, task))
-    return valid_examples(decoded, task)
+    return decoded.select("file", "line_no", *IDENTITY_FIELDS)

@@ -41,16 +41,21 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def scan_prompts(spark: SparkSession, folder: str) -> DataFrame:
-    """Every ``*.yaml`` file of a folder, decoded but not judged; empty if there is none."""
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", "*.yaml")
+    """Every ``*.yaml`` file of a folder, decoded but not judged; empty if there is none.
+
+    Spark does not read files of zero bytes, so those do not appear.
+    """
+    reader = spark.read.option("pathGlobFilter", "*.yaml")
     try:
-        files = reader.text(folder)
+        files = reader.text(folder, wholetext=True)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schemas.PROMPT_SOURCE)
     stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.yaml$", 1)
-    return files.select(F.url_decode(stem).alias("stem"), F.col("value").alias("text")).mapInPandas(
+    # File names arrive percent-encoded, but a plus sign in them is just a plus sign.
+    plain = F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B")))
+    return files.select(plain.alias("stem"), F.col("value").alias("text")).mapInPandas(
         _decode, schemas.PROMPT_SOURCE
     )
 

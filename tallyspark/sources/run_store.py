@@ -10,10 +10,26 @@ from pyspark.sql import types as T
 from tallyspark import schemas
 from tallyspark.operators.promotion import current_baselines
 
-TABLES = ("runs", "predictions", "cells", "class_metrics", "slice_metrics")
-#: Run ids start with their day, so a day prunes the folders before the run does.
+TABLES = {
+    "runs": schemas.RUNS,
+    "predictions": schemas.PREDICTIONS,
+    "cells": schemas.CELLS,
+    "class_metrics": schemas.CLASS_METRICS,
+    "slice_metrics": schemas.SLICE_METRICS,
+}
+#: Run ids start with their day, so a day's runs share a folder.
 _DAY = 8
 _PARTITIONS = ("run_day", "run_id")
+# The characters that Spark escapes in the names of partition folders.
+_ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
+
+
+def _folder(name: str, value: str) -> str:
+    """Name of one partition's folder."""
+    escaped = "".join(
+        f"%{ord(char):02X}" if char in _ESCAPED or char < " " else char for char in value
+    )
+    return f"{name}={escaped}"
 
 
 class RunStore:
@@ -32,10 +48,8 @@ class RunStore:
 
     def save(self, table: str, rows: DataFrame) -> None:
         """Write rows of one or many runs."""
-        if table not in TABLES:
-            raise ValueError(f"unknown table {table!r}")
-        day = F.substring("run_id", 1, _DAY).alias("run_day")
-        data = rows.select("*", day)
+        names = TABLES[table].names
+        data = rows.select(*names, F.substring("run_id", 1, _DAY).alias("run_day"))
         if table == "predictions":
             # Gathers a run's rows into few files and splits a run that is too big for one.
             data = data.hint("rebalance", "run_id")
@@ -47,21 +61,23 @@ class RunStore:
         )
 
     def read(self, table: str) -> DataFrame:
-        """The whole table. Partition values stay text, whatever they look like."""
-        return self._rows(table).drop("run_day")
+        """The whole table."""
+        return self._reader(table).parquet(self.path(table)).select(*TABLES[table].names)
 
     def read_runs(self, table: str, *run_ids: str) -> DataFrame:
-        """The rows of some runs; other runs' files are not opened."""
-        days = sorted({run_id[:_DAY] for run_id in run_ids})
-        wanted = F.col("run_day").isin(days) & F.col("run_id").isin(list(run_ids))
-        return self._rows(table).where(wanted).drop("run_day")
-
-    def _rows(self, table: str) -> DataFrame:
-        found = self.spark.read.parquet(self.path(table)).schema
-        text = [
-            T.StructField(f.name, T.StringType()) if f.name in _PARTITIONS else f for f in found
+        """The rows of some runs. Other runs' folders are not even listed."""
+        root = self.path(table)
+        day_and_run = [
+            "/".join(map(_folder, _PARTITIONS, (run_id[:_DAY], run_id))) for run_id in run_ids
         ]
-        return self.spark.read.schema(T.StructType(text)).parquet(self.path(table))
+        reader = self._reader(table).option("basePath", root)
+        rows = reader.parquet(*[f"{root}/{folder}" for folder in day_and_run])
+        return rows.select(*TABLES[table].names)
+
+    def _reader(self, table: str):
+        # Naming the partition columns keeps them text, whatever their values look like.
+        day = T.StructField("run_day", T.StringType())
+        return self.spark.read.schema(T.StructType([*TABLES[table].fields, day]))
 
     def has_run(self, run_id: str) -> bool:
         try:

@@ -1,0 +1,123 @@
+import pytest
+
+from tallyspark.operators import joins
+from tallyspark.operators.gate import (
+    GateConfig,
+    class_f1_delta,
+    evaluate_gate,
+    gate_decisions,
+    gate_incomparable,
+    gate_reasons,
+    pair_runs,
+)
+from tallyspark.task import TaskSpec
+
+TASK = TaskSpec(["a", "b", "c", "d"])
+SCHEMA = (
+    "run_id string, dataset_fp string, model string, macro_f1 double, parse_failure_rate double,"
+    " class_f1 map<string,double>, latency_ms double, est_cost_usd double"
+)
+
+
+def run(name, macro=0.60, f1=None, failures=0.0, cost=0.01, latency=1000.0, data="d", model="m"):
+    f1 = f1 or {label: macro for label in TASK.classes}
+    return (name, data, model, macro, failures, f1, latency, cost)
+
+
+def judge(spark, candidate, baseline, cfg=GateConfig()):
+    scores = spark.createDataFrame([candidate, baseline], SCHEMA)
+    return evaluate_gate(scores, candidate[0], baseline[0], TASK, cfg)
+
+
+def failed(reasons):
+    return [i for i, reason in enumerate(reasons) if not reason.startswith("[PASS]")]
+
+
+BASE = run("base")
+
+
+def test_promotes_when_all_rules_pass(spark):
+    verdict, reasons = judge(spark, run("new", 0.62, cost=0.011, latency=1050.0), BASE)
+    assert verdict == "PROMOTE"
+    assert len(reasons) == 5 and failed(reasons) == []
+
+
+@pytest.mark.parametrize(
+    "candidate, rule, words",
+    [
+        (run("new", 0.601), 0, "macro_f1 gain"),
+        (run("new", 0.8, f1={"a": 0.9, "b": 0.9, "c": 0.0, "d": 0.9}), 1, "'c'"),
+        (run("new", 0.65, failures=0.05), 2, "parse rate"),
+        (run("new", 0.65, cost=0.02), 3, "cost multiplier"),
+        (run("new", 0.65, latency=2000.0), 4, "latency multiplier"),
+    ],
+)
+def test_each_rule_can_revert(spark, candidate, rule, words):
+    verdict, reasons = judge(spark, candidate, BASE)
+    assert verdict == "REVERT"
+    assert len(reasons) == 5 and failed(reasons) == [rule]
+    assert reasons[rule].startswith("[FAIL]") and words in reasons[rule]
+
+
+def test_limits_are_inclusive(spark):
+    cfg = GateConfig(min_macro_f1_gain=0.25, max_per_class_f1_drop=0.5)
+    f1 = {"a": 0.0, "b": 1.0, "c": 1.0, "d": 1.0}
+    base = run("base", 0.5)
+    new = run("new", 0.75, f1=f1, failures=0.0, cost=0.015, latency=1500.0)
+    assert judge(spark, new, base, cfg)[0] == "PROMOTE"
+
+
+def test_a_free_baseline_cannot_be_exceeded(spark):
+    verdict, reasons = judge(
+        spark, run("new", 0.65, cost=0.05, latency=9.0), run("base", cost=0.0, latency=0.0)
+    )
+    assert verdict == "PROMOTE"
+    assert "skipped" in reasons[3] and "skipped" in reasons[4]
+
+
+@pytest.mark.parametrize("other, word", [({"data": "x"}, "dataset"), ({"model": "x"}, "model")])
+def test_incomparable_runs_raise(spark, other, word):
+    with pytest.raises(ValueError, match=word):
+        judge(spark, run("new", 0.7, **other), BASE)
+
+
+def test_unknown_run_raises(spark):
+    with pytest.raises(ValueError, match="no scores"):
+        evaluate_gate(spark.createDataFrame([BASE], SCHEMA), "nope", "base", TASK)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_many_candidates_against_one_baseline(spark, rows, monkeypatch, broadcast):
+    runs = [BASE] + [
+        run(f"r{i}", 0.55 + i / 100, data="x" if i == 7 else "d", model="y" if i == 8 else "m")
+        for i in range(20)
+    ]
+    scores = spark.createDataFrame(runs, SCHEMA)
+    pairs = spark.createDataFrame(
+        [(f"r{i}", "base") for i in range(20)] + [("r9", "r3"), ("r9", "gone")],
+        "candidate string, baseline string",
+    )
+    if not broadcast:
+        monkeypatch.setattr(joins.fits_broadcast, "__defaults__", (0, 0))
+        monkeypatch.setattr(joins.lookup, "__kwdefaults__",
+                            {**joins.lookup.__kwdefaults__, "hot_rows": 5})
+    paired = pair_runs(pairs, scores)
+    decisions = gate_decisions(paired, TASK)
+    verdicts = {(r["candidate"], r["baseline"]): r["verdict"] for r in decisions.collect()}
+    assert len(verdicts) == 19
+    for (name, base), verdict in verdicts.items():
+        gain = 0.55 + int(name[1:]) / 100 - (0.60 if base == "base" else 0.55 + 3 / 100)
+        assert verdict == ("PROMOTE" if gain >= 0.005 else "REVERT")
+    assert gate_reasons(decisions).count() == 19 * 5
+    assert rows(gate_incomparable(paired)) == [
+        ("r7", "base", "INCOMPARABLE", "different dataset"),
+        ("r8", "base", "INCOMPARABLE", "different model"),
+    ]
+
+
+def test_worst_class_ties_go_to_the_last_label(spark):
+    scores = spark.createDataFrame([run("new", 0.5), BASE], SCHEMA)
+    pair = spark.createDataFrame([("new", "base")], "candidate string, baseline string")
+    delta = class_f1_delta(pair_runs(pair, scores), TASK).collect()
+    assert [r["label"] for r in delta if r["is_worst"]] == ["d"]
+    assert len(delta) == 4

@@ -1,0 +1,173 @@
+import random
+from collections import Counter
+
+import pytest
+
+from tallyspark.operators.metrics import (
+    classification_report,
+    class_metrics,
+    confusion_long,
+    confusion_wide,
+    count_cells,
+    slice_metrics,
+    unknown_true_labels,
+)
+from tallyspark.operators.totals import run_cost, run_totals
+from tallyspark.task import OVERALL, PARSE_FAILURE, TaskSpec
+
+TASK = TaskSpec(["a", "b", "c"])
+SCHEMA = "run_id string, difficulty string, expected string, predicted string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def per_slice(spark, rows, task=TASK, runs=None):
+    cells = count_cells(frame(spark, rows), task)
+    classes = class_metrics(cells, task, runs)
+    metrics = slice_metrics(classes, task)
+    return (
+        {(r["run_id"], r["slice"]): r for r in metrics.collect()},
+        {(r["run_id"], r["slice"], r["label"]): r for r in classes.collect()},
+    )
+
+
+def brute_force(pairs, classes):
+    """Metrics of a list of (true, predicted), straight from their definitions."""
+    pairs = [(t, p if p in classes else PARSE_FAILURE) for t, p in pairs]
+    total = len(pairs)
+    f1 = {}
+    for c in classes:
+        tp = sum(t == p == c for t, p in pairs)
+        said = sum(p == c for _, p in pairs)
+        is_c = sum(t == c for t, _ in pairs)
+        precision = tp / said if said else 0.0
+        recall = tp / is_c if is_c else 0.0
+        both = precision + recall
+        f1[c] = (precision, recall, 2 * precision * recall / both if both else 0.0, is_c)
+    hits = sum(t == p for t, p in pairs)
+    failed = sum(p == PARSE_FAILURE for _, p in pairs)
+    wrong = total - hits - failed
+    base = 2 * hits + wrong + wrong + failed
+    return {
+        "accuracy": hits / total if total else 0.0,
+        "macro_f1": sum(m[2] for m in f1.values()) / len(classes),
+        "micro_f1": 2 * hits / base if base else 0.0,
+        "parse_failure_rate": failed / total if total else 0.0,
+        "support": total,
+    }, f1
+
+
+def test_hand_computed_example(spark):
+    rows = [("r", "easy", "a", "a"), ("r", "easy", "a", PARSE_FAILURE), ("r", "hard", "b", "b")]
+    metrics, classes = per_slice(spark, rows)
+    overall = metrics["r", OVERALL]
+    assert overall["micro_f1"] == pytest.approx(0.8)
+    assert overall["accuracy"] == pytest.approx(2 / 3)
+    assert overall["parse_failures"] == 1
+    assert overall["macro_f1"] == pytest.approx((2 / 3 + 1 + 0) / 3)
+    assert classes["r", OVERALL, "c"]["f1"] == 0.0
+    assert classes["r", "hard", "a"]["support"] == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_runs_match_brute_force(spark, seed):
+    rng = random.Random(seed)
+    labels = TASK.classes[: 2 if seed == 1 else 3]
+    rows = []
+    for run in ("r1", "r2", "r3"):
+        for _ in range(rng.randint(1, 300)):
+            truth = rng.choice(labels)
+            said = truth if rng.random() < 0.6 else rng.choice(
+                [*TASK.classes, PARSE_FAILURE, "garbage"]
+            )
+            rows.append((run, rng.choice(["easy", "hard", "hard", "odd"]), truth, said))
+    metrics, classes = per_slice(spark, rows)
+    assert len(metrics) == 9 and len(classes) == 27
+    for (run, name), row in metrics.items():
+        pairs = [(t, p) for r, d, t, p in rows if r == run and name in (OVERALL, d)]
+        want, f1 = brute_force(pairs, TASK.classes)
+        for field, value in want.items():
+            assert row[field] == pytest.approx(value, abs=1e-12), (run, name, field)
+        assert row["micro_f1"] >= row["accuracy"] - 1e-12
+        for label, (precision, recall, score, support) in f1.items():
+            got = classes[run, name, label]
+            assert (got["precision"], got["recall"], got["support"]) == (
+                precision, recall, support,
+            )
+            assert got["f1"] == pytest.approx(score, abs=1e-12)
+            assert row["class_f1"][label] == got["f1"]
+
+
+def test_confusion_matrix_is_dense_and_complete(spark):
+    rows = [("r", "easy", "a", "b"), ("r", "easy", "a", "junk"), ("s", "hard", "c", "c")]
+    cells = count_cells(frame(spark, rows), TASK)
+    long = confusion_long(cells, TASK).collect()
+    assert len(long) == 2 * 3 * 3 * 4
+    counts = Counter({(r["run_id"], r["slice"], r["y_true"], r["y_pred"]): r["n"] for r in long})
+    assert counts["r", OVERALL, "a", "b"] == 1
+    assert counts["r", "easy", "a", PARSE_FAILURE] == 1
+    assert sum(counts.values()) == 2 * len(rows)
+    wide = {(r["run_id"], r["slice"], r["y_true"]): r for r in confusion_wide(cells, TASK).collect()}
+    assert len(wide) == 18
+    assert wide["s", "hard", "c"]["c"] == 1
+    assert wide["r", "hard", "a"][PARSE_FAILURE] == 0
+
+
+def test_runs_without_predictions_are_reported(spark):
+    runs = spark.createDataFrame([("r",), ("empty",)], "run_id string")
+    metrics, classes = per_slice(spark, [("r", "easy", "a", "a")], runs=runs)
+    assert len(metrics) == 6 and len(classes) == 18
+    row = metrics["empty", OVERALL]
+    assert (row["support"], row["accuracy"], row["macro_f1"], row["micro_f1"]) == (0, 0, 0, 0)
+    assert row["parse_failure_rate"] == 0.0
+
+
+def test_unknown_true_label_fails_the_query_and_can_be_listed(spark, rows):
+    bad = [("r", "easy", "a", "a"), ("r", "easy", "zz", "a"), ("r", "easy", None, "a")]
+    with pytest.raises(Exception, match="outside the label set"):
+        class_metrics(count_cells(frame(spark, bad), TASK), TASK).collect()
+    assert rows(unknown_true_labels(frame(spark, bad), TASK)) == [("r", "zz", 1), ("r", None, 1)]
+
+
+def test_results_do_not_depend_on_partitioning(spark, rows):
+    rng = random.Random(9)
+    data = [("r", "easy", rng.choice("abc"), rng.choice("abc")) for _ in range(500)]
+    one = count_cells(frame(spark, data).repartition(1), TASK)
+    many = count_cells(frame(spark, data).repartition(13), TASK)
+    assert rows(class_metrics(one, TASK)) == rows(class_metrics(many, TASK))
+
+
+def test_report_lines(spark):
+    data = [("r", "easy", "a", "a"), ("r", "easy", "a", PARSE_FAILURE), ("r", "hard", "b", "b")]
+    classes = class_metrics(count_cells(frame(spark, data), TASK), TASK)
+    report = classification_report(classes, slice_metrics(classes, TASK))
+    lines = [r["line"] for r in report.where("slice = 'overall'").collect()]
+    assert lines == [
+        f"{'a':<20}{1.0:>10.3f}{0.5:>10.3f}{2 / 3:>10.3f}{2:>10d}",
+        f"{'b':<20}{1.0:>10.3f}{1.0:>10.3f}{1.0:>10.3f}{1:>10d}",
+        f"{'c':<20}{0.0:>10.3f}{0.0:>10.3f}{0.0:>10.3f}{0:>10d}",
+        "accuracy:            0.667",
+        "macro_f1:            0.556",
+        "micro_f1:            0.800",
+        "parse_failure_rate:  0.333 (1/3)",
+    ]
+
+
+def test_totals_and_cost(spark):
+    data = spark.createDataFrame(
+        [("r", "easy", "a", "a", 1.5, 10, 5), ("r", "hard", "b", "a", 2.0, 20, 8)],
+        SCHEMA + ", latency_ms double, prompt_tokens long, completion_tokens long",
+    )
+    totals = run_totals(count_cells(data, TASK))
+    row = totals.first()
+    assert (row["n_predictions"], row["latency_ms"]) == (2, 3.5)
+    assert (row["prompt_tokens"], row["completion_tokens"]) == (30, 13)
+    from pyspark.sql import functions as F
+
+    priced = run_cost(totals.withColumn("model", F.lit("m")), {"m": (0.59, 0.79)}).first()
+    assert priced["est_cost_usd"] == (30 * 0.59 + 13 * 0.79) / 1_000_000
+    free = run_cost(totals.withColumn("model", F.lit("other")), {"m": (0.59, 0.79)}).first()
+    assert free["est_cost_usd"] == 0.0
+    assert run_cost(totals.withColumn("model", F.lit("m")), {}).first()["est_cost_usd"] == 0.0

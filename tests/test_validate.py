@@ -40,35 +40,45 @@ def test_good_lines_become_examples(spark, tmp_path):
     ]
 
 
-@pytest.mark.parametrize(
-    "bad, violation, detail",
-    [
-        (good(1), "duplicate id", "e1"),
-        (good(9, label="other"), "unknown label", "other"),
-        (good(9, label=None), "unknown label", None),
-        (good(9, text=""), "empty text", None),
-        (good(9, text="  \t　"), "empty text", None),
-        (good(9, text=None), "empty text", None),
-        (good(9, difficulty="medium"), "invalid difficulty", "medium"),
-        (good(9, label=...), "missing field", "label"),
-        (good(9, id=..., difficulty=...), "missing field", "id, difficulty"),
-        (good(9, text=5), "wrong type", "text"),
-        (good(9, id=None), "wrong type", "id"),
-        (good(9, label=["bug"], difficulty={"a": 1}), "wrong type", "label, difficulty"),
-        ("{not json", "invalid JSON", None),
-        ("{'id': 'x'}", "invalid JSON", None),
-        (json.dumps(good(9)) + " tail", "invalid JSON", None),
-        (json.dumps(good(9)) + "," + json.dumps(good(8)), "invalid JSON", None),
-        ("[1]", "not a JSON object", None),
-        ("null", "not a JSON object", None),
-    ],
-)
-def test_first_bad_line_is_named(spark, tmp_path, bad, violation, detail):
-    path = write(tmp_path / "d.jsonl", [good(1), "   ", good(2), bad, "{later error"])
-    decoded = decode_lines(scan_lines(spark, path))
-    first = first_violation(validate_examples(decoded, TASK)).first()
-    assert (first["line_no"], first["violation"], first["detail"]) == (4, violation, detail)
-    with pytest.raises(ValueError, match=f"line 4: {violation}"):
+BAD = [
+    (lambda k: good(k + "1"), "duplicate id", "e{}1"),
+    (lambda k: good(k + "9", label="other"), "unknown label", "other"),
+    (lambda k: good(k + "9", label=None), "unknown label", None),
+    (lambda k: good(k + "9", text=""), "empty text", None),
+    (lambda k: good(k + "9", text="  \t　"), "empty text", None),
+    (lambda k: good(k + "9", text=None), "empty text", None),
+    (lambda k: good(k + "9", difficulty="medium"), "invalid difficulty", "medium"),
+    (lambda k: good(k + "9", label=...), "missing field", "label"),
+    (lambda k: good(k + "9", id=..., difficulty=...), "missing field", "id, difficulty"),
+    (lambda k: good(k + "9", text=5), "wrong type", "text"),
+    (lambda k: good(k + "9", id=None), "wrong type", "id"),
+    (lambda k: good(k + "9", label=["b"], difficulty={}), "wrong type", "label, difficulty"),
+    (lambda k: "{not json", "invalid JSON", None),
+    (lambda k: "{'id': 'x'}", "invalid JSON", None),
+    (lambda k: json.dumps(good(k + "9")) + " tail", "invalid JSON", None),
+    (lambda k: json.dumps(good(k + "9")) + "," + json.dumps(good(k + "8")), "invalid JSON", None),
+    (lambda k: '{"n": -INF, ' + json.dumps(good(k + "9"))[1:], "invalid JSON", None),
+    (lambda k: "[1]", "not a JSON object", None),
+    (lambda k: "null", "not a JSON object", None),
+]
+
+
+def test_first_bad_line_of_each_file_is_named(spark, tmp_path):
+    for number, (bad, _, _) in enumerate(BAD):
+        k = f"k{number}-"
+        lines = [good(k + "1"), "   ", good(k + "2"), bad(k), "{later error"]
+        write(tmp_path / f"{number:02d}.jsonl", lines)
+    decoded = decode_lines(scan_lines(spark, str(tmp_path)))
+    got = first_violation(validate_examples(decoded, TASK)).orderBy("file").collect()
+    assert len(got) == len(BAD)
+    for number, (row, (_, violation, detail)) in enumerate(zip(got, BAD)):
+        detail = detail and detail.format(f"k{number}-")
+        assert (row["line_no"], row["violation"], row["detail"]) == (4, violation, detail)
+
+
+def test_loading_fails_at_the_first_bad_line(spark, tmp_path):
+    path = write(tmp_path / "d.jsonl", [good(1), "", good(1), "{"])
+    with pytest.raises(ValueError, match=r"line 3: duplicate id \(e1\)"):
         load_examples(spark, path, TASK)
 
 
