@@ -25,7 +25,8 @@ def _r(name: str) -> F.Column:
 
 
 def _cells(spark: SparkSession, folder: str) -> DataFrame:
-    return metrics.count_cells(views.event_predictions(spark, folder), E)
+    """The one pass over the predictions; every metric is derived from its small result."""
+    return materialize(metrics.count_cells(views.event_predictions(spark, folder), E))
 
 
 def _slice_columns(per_slice: DataFrame) -> DataFrame:
@@ -69,7 +70,7 @@ def slice_metrics_joined(spark: SparkSession, folder: str) -> DataFrame:
     outputs = views.event_outputs(spark, folder).drop("expected", "difficulty")
     examples = views.event_examples(spark, folder)
     joined = parse_predictions(scoring.attach_examples(outputs, examples), E)
-    per_class = metrics.class_metrics(metrics.count_cells(joined, E), E)
+    per_class = metrics.class_metrics(materialize(metrics.count_cells(joined, E)), E)
     return _slice_columns(metrics.slice_metrics(per_class, E))
 
 
@@ -101,7 +102,7 @@ def classification_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def retarget_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    cells = metrics.count_cells(views.order_predictions(spark, folder), O)
+    cells = materialize(metrics.count_cells(views.order_predictions(spark, folder), O))
     return _slice_columns(metrics.slice_metrics(metrics.class_metrics(cells, O), O))
 
 
@@ -138,12 +139,13 @@ def parse_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def totals(spark: SparkSession, folder: str) -> DataFrame:
-    return run_totals(_cells(spark, folder))
+    return run_totals(metrics.count_cells(views.event_predictions(spark, folder), E))
 
 
 def cost(spark: SparkSession, folder: str) -> DataFrame:
     model = F.expr("CASE run_id WHEN 'v5' THEN 'model-b' WHEN 'v6' THEN 'x' ELSE 'model-a' END")
-    priced = run_cost(run_totals(_cells(spark, folder)).withColumn("model", model), views.PRICES)
+    sums = run_totals(metrics.count_cells(views.event_predictions(spark, folder), E))
+    priced = run_cost(sums.withColumn("model", model), views.PRICES)
     return priced.select("run_id", "model", _r("est_cost_usd"))
 
 

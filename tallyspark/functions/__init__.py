@@ -5,7 +5,7 @@ from tallyspark.functions.json_text import (
     json_string,
     strip_space,
 )
-from tallyspark.functions.parsing import first_object, parse_label, parse_predictions
+from tallyspark.functions.parsing import first_object, parse_predictions
 from tallyspark.functions.run_ids import run_id, utc_stamp
 from tallyspark.functions.templates import render, template_is_supported, template_parts
 
@@ -15,7 +15,6 @@ __all__ = [
     "is_blank",
     "is_strict_json",
     "json_string",
-    "parse_label",
     "parse_predictions",
     "render",
     "run_id",

@@ -33,39 +33,49 @@ def _may_be_json(raw: Column) -> Column:
     return starts & raw.rlike(rf'[\]}}"0-9elNy]{_WS}\z')
 
 
-def parse_label(raw: Column, task: TaskSpec) -> Column:
-    """Label of one raw output.
+def parse_predictions(outputs: DataFrame, task: TaskSpec, raw: str = "raw_output") -> DataFrame:
+    """Add ``predicted`` to every row; failed parses are kept, never dropped.
 
     The whole output is tried as strict JSON first, then its first ``{...}`` block. The value
     must be an object whose response field is a *string* in the label set. Regular expressions
-    settle the plain answers, bare or inside prose; only the others pay for JSON parsing.
+    settle the plain answers, bare or inside prose; only the others pay for JSON parsing. Each
+    step is a column of its own, so that it runs once, and only for rows still open.
     """
-    raw = F.coalesce(raw, F.lit(""))
-    classes = list(task.classes)
-    block = first_object(raw)
-
-    whole = (
-        _may_be_json(raw)
-        & is_strict_json(raw)
-        & ~F.trim(raw, F.lit(" \t\n\r")).isin("", "null")
-    )
-    source = F.when(whole, raw).when(is_strict_json(block), block)
+    text = F.coalesce(F.col(raw), F.lit(""))
     answer = T.StructType([T.StructField(task.response_key, T.VariantType())])
-    value = F.from_json(source, answer, STRICT_OPTIONS).getField(task.response_key)
-    label = F.when(
-        F.schema_of_variant(value) == "STRING", F.variant_get(value, "$", "string")
-    )
 
-    plain = _plain_label(raw, task.response_key)
-    plain_block = _plain_label(block, task.response_key)
-    return (
-        F.when(plain.isin(classes), plain)
-        .when(~_may_be_json(raw) & plain_block.isin(classes), plain_block)
-        .when(label.isin(classes), label)
-        .otherwise(F.lit(PARSE_FAILURE))
+    def known(label: Column) -> Column:
+        return F.when(label.isin(list(task.classes)), label)
+
+    def is_open(label: str) -> Column:
+        return known(F.col(label)).isNull()
+
+    block = F.col("_block")
+    not_null = ~F.trim(text, F.lit(" \t\n\r")).isin("", "null")
+    whole = _may_be_json(text) & is_strict_json(text) & not_null
+    source = F.when(whole, text).when(is_strict_json(block), block)
+    steps = (
+        outputs.withColumn("_plain", _plain_label(text, task.response_key))
+        .withColumn("_block", F.when(is_open("_plain"), first_object(text)))
+        .withColumn(
+            "_inner",
+            F.when(block.isNotNull() & ~_may_be_json(text), _plain_label(block, task.response_key)),
+        )
+        .withColumn(
+            "_value",
+            F.when(
+                is_open("_plain") & is_open("_inner"),
+                F.from_json(source, answer, STRICT_OPTIONS).getField(task.response_key),
+            ),
+        )
+        .withColumn(
+            "_label",
+            F.when(
+                F.schema_of_variant("_value") == "STRING",
+                F.variant_get(F.col("_value"), "$", "string"),
+            ),
+        )
     )
-
-
-def parse_predictions(outputs: DataFrame, task: TaskSpec, raw: str = "raw_output") -> DataFrame:
-    """Add ``predicted`` to every row; failed parses are kept, never dropped."""
-    return outputs.withColumn("predicted", parse_label(F.col(raw), task))
+    labels = [known(F.col(name)) for name in ("_plain", "_inner", "_label")]
+    predicted = F.coalesce(*labels, F.lit(PARSE_FAILURE))
+    return steps.select(*[F.col(f"`{c}`") for c in outputs.columns], predicted.alias("predicted"))

@@ -120,12 +120,11 @@ def _multiplier_rule(name: str, title: str, field: str, unit: str, limit: float)
     return _rule(name, passed, growth, limit, F.when(old > 0, text).otherwise(free))
 
 
-def rules(task: TaskSpec, cfg: GateConfig) -> Column:
+def rules(worst: Column, cfg: GateConfig) -> Column:
     """The five rule results of a pair, each with the numbers behind it."""
     new, old = F.col("c.macro_f1"), F.col("b.macro_f1")
     gain = new - old
     min_gain = F.lit(float(cfg.min_macro_f1_gain))
-    worst = F.array_max(_drops(task))
     max_drop = F.lit(float(cfg.max_per_class_f1_drop))
     parsed = F.lit(1.0) - F.col("c.parse_failure_rate")
     min_parsed = F.lit(float(cfg.min_parse_rate))
@@ -167,24 +166,35 @@ def rules(task: TaskSpec, cfg: GateConfig) -> Column:
     )
 
 
-def gate_decisions(
-    paired: DataFrame, task: TaskSpec, cfg: GateConfig = GateConfig()
-) -> DataFrame:
-    """Verdict and rule results of every comparable pair."""
+def judge(paired: DataFrame, task: TaskSpec, cfg: GateConfig) -> DataFrame:
+    """Verdict of every pair: with its rule results, or with the cause why it has none."""
+    cause = F.when(F.col("c.dataset_fp") != F.col("b.dataset_fp"), "different dataset").when(
+        F.col("c.model") != F.col("b.model"), "different model"
+    )
     return (
-        paired.where(is_comparable())
-        .withColumn("rules", rules(task, cfg))
+        paired.withColumn("cause", cause)
+        .withColumn("_worst", F.array_max(_drops(task)))
+        .withColumn("rules", F.when(F.col("cause").isNull(), rules(F.col("_worst"), cfg)))
         .select(
             "candidate",
             "baseline",
-            F.when(F.forall("rules", lambda rule: rule["passed"]), PROMOTE)
+            F.when(F.col("cause").isNotNull(), INCOMPARABLE)
+            .when(F.forall("rules", lambda rule: rule["passed"]), PROMOTE)
             .otherwise(REVERT)
             .alias("verdict"),
             "rules",
+            "cause",
         )
     )
 
 
+def gate_decisions(
+    paired: DataFrame, task: TaskSpec, cfg: GateConfig = GateConfig()
+) -> DataFrame:
+    """Verdict and rule results of every comparable pair."""
+    return judge(paired.where(is_comparable()), task, cfg).drop("cause")
+
+
 def gate_reasons(decisions: DataFrame) -> DataFrame:
     """One row per pair and rule, passed or not."""
     return decisions.select(
@@ -217,10 +227,9 @@ def evaluate_gate(
         [(candidate, baseline)], "candidate string, baseline string"
     )
     paired = pair_runs(pair, both)
-    why = gate_incomparable(paired).first()
-    if why is not None:
-        raise ValueError(f"cannot compare {candidate} with {baseline}: {why['reason']}")
-    decision = gate_decisions(paired, task, cfg).first()
+    decision = judge(paired, task, cfg).first()
     if decision is None:
         raise ValueError(f"no scores for {candidate} or {baseline}")
+    if decision["verdict"] == INCOMPARABLE:
+        raise ValueError(f"cannot compare {candidate} with {baseline}: {decision['cause']}")
     return decision["verdict"], [rule["reason"] for rule in decision["rules"]]

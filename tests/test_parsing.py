@@ -5,10 +5,10 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from tallyspark.functions.parsing import parse_label, parse_predictions
+from tallyspark.functions.parsing import parse_predictions
 from tallyspark.task import PARSE_FAILURE, TaskSpec
-from pyspark.sql import functions as F
 
 TASK = TaskSpec(["bug", "praise", "5", "a b", "é"], response_key="category")
 
@@ -156,5 +156,7 @@ def test_long_texts_are_read_to_the_end(spark):
 
 def test_every_class_round_trips(spark):
     frame = spark.createDataFrame([(c,) for c in TASK.classes], "c string")
-    raw = F.to_json(F.struct(F.col("c").alias("category")))
-    assert frame.where(parse_label(raw, TASK) != F.col("c")).count() == 0
+    raw = frame.withColumn("raw_output", F.to_json(F.struct(F.col("c").alias("category"))))
+    out = parse_predictions(raw, TASK)
+    assert out.columns == ["c", "raw_output", "predicted"]
+    assert out.where("predicted <> c").count() == 0
