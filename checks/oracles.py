@@ -248,23 +248,23 @@ bad AS (
 """
 
 
-def _field(name: str) -> str:
-    return f"coalesce(concat(length({name}), ':', {name}) , '-')"
-
-
 def _fingerprint_sql() -> str:
     row = " || ".join(
         f"CASE WHEN {name} IS NULL THEN '-' ELSE length({name}) || ':' || {name} END"
         for name in ("id", "text", "label", "difficulty", "note")
     )
+    words = ", ".join(f"('0x' || substr(h, {1 + 15 * i}, 15))::BIGINT AS w{i}" for i in range(4))
     lanes = ", ".join(
-        f"CAST(sum(('0x' || substr(h, {1 + 4 * i}, 4))::BIGINT) AS BIGINT) AS s{i}"
-        for i in range(16)
+        f"CAST(sum((w{i} >> {shift}) & 1048575) AS BIGINT) AS s{i}_{shift}"
+        for i in range(4)
+        for shift in (40, 20, 0)
     )
-    total = " || ',' || ".join(["n_examples"] + [f"s{i}" for i in range(16)])
+    names = [f"s{i}_{shift}" for i in range(4) for shift in (40, 20, 0)]
+    total = " || ',' || ".join(["n_examples", *names])
     return f"""WITH {_DOCS},
     h AS (SELECT sha256({row}) AS h FROM ex),
-    s AS (SELECT count(*) AS n_examples, {lanes} FROM h)
+    w AS (SELECT {words} FROM h),
+    s AS (SELECT count(*) AS n_examples, {lanes} FROM w)
     SELECT n_examples, left(sha256({total}), 12) AS fingerprint FROM s"""
 
 

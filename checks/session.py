@@ -15,6 +15,7 @@ def local_session(
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if checkpoint_dir is not None:

@@ -14,8 +14,10 @@ from tallyspark.operators.validate import PROMPT_FIELDS, check_prompts
 #: Everything that identifies an example, the human note included.
 IDENTITY_FIELDS = ("id", "text", "label", "difficulty", "note")
 
-_LANES = 16
-_LANE_HEX = 4
+#: A digest is read as words of 60 bits, each cut into lanes of 20 bits.
+_WORDS, _WORD_HEX = 4, 15
+_LANE_SHIFTS = (40, 20, 0)
+_LANE_MASK = (1 << 20) - 1
 
 
 def row_digest(fields: Sequence[str] = IDENTITY_FIELDS) -> Column:
@@ -36,21 +38,30 @@ def dataset_fingerprint(
 
     The row digests are summed lane by lane (an additive multiset hash), and the sums are hashed.
     Sums combine on the map side, so each task ships one row whatever the dataset's size, and a
-    block of identical rows costs nothing extra. 16-bit lanes stay exact up to 10^14 rows.
+    block of identical rows costs nothing extra. The 20-bit lanes stay exact up to 2^43 rows.
     """
+    words = [
+        F.conv(F.substring("_digest", 1 + _WORD_HEX * i, _WORD_HEX), 16, 10)
+        .cast("long")
+        .alias(f"_w{i}")
+        for i in range(_WORDS)
+    ]
     lanes = [
-        F.sum(
-            F.conv(F.substring("_digest", 1 + _LANE_HEX * i, _LANE_HEX), 16, 10).cast("long")
-        ).alias(f"_s{i}")
-        for i in range(_LANES)
+        F.sum(F.shiftright(f"_w{i}", shift).bitwiseAND(F.lit(_LANE_MASK))).alias(f"_s{i}_{shift}")
+        for i in range(_WORDS)
+        for shift in _LANE_SHIFTS
     ]
-    sums = examples.select(*by, row_digest(fields).alias("_digest")).groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_examples"), *lanes
+    names = [f"_s{i}_{shift}" for i in range(_WORDS) for shift in _LANE_SHIFTS]
+    sums = (
+        examples.select(*by, row_digest(fields).alias("_digest"))
+        .select(*by, *words)
+        .groupBy(*by)
+        .agg(F.count(F.lit(1)).alias("n_examples"), *lanes)
     )
     total = F.concat_ws(
         ",",
         F.col("n_examples").cast("string"),
-        *[F.coalesce(F.col(f"_s{i}"), F.lit(0)).cast("string") for i in range(_LANES)],
+        *[F.coalesce(F.col(name), F.lit(0)).cast("string") for name in names],
     )
     return sums.select(
         *by, "n_examples", F.substring(F.sha2(total, 256), 1, 12).alias("fingerprint")

@@ -43,8 +43,8 @@ def lookup(
 
     A dim within the broadcast bounds is broadcast. Beyond them the hot keys are counted
     (map-side combined) and only their dim rows are broadcast; all other rows meet in a shuffle.
-    A row already served by the broadcast is shuffled by ``spread``, columns that tell the rows
-    of one key apart, so no key gathers in one task.
+    A row already served by the broadcast, or without a key, is shuffled by ``spread``, columns
+    that tell the rows of one key apart, so no key gathers in one task.
 
     ``hot_dim`` passes in the dim rows of hot keys if they are known already. ``measure=False``
     skips the counting job for a dim that is itself an expensive query.
@@ -63,7 +63,8 @@ def lookup(
     served = facts.join(
         F.broadcast(hot_dim.select(key, payload.alias("_hot"))), key, "left"
     )
-    bucket = F.when(F.col("_hot").isNull(), F.lit(0).cast("long")).otherwise(
+    pending = F.col("_hot").isNull() & F.col(key).isNotNull()
+    bucket = F.when(pending, F.lit(0).cast("long")).otherwise(
         F.lit(1) + F.pmod(F.xxhash64(*spread), F.lit(1 << 20))
     )
     cold_dim = dim.select(

@@ -24,15 +24,19 @@ REQUIRED_FIELDS = ("id", "text", "label", "difficulty")
 PROMPT_FIELDS = ("version", "parent", "changelog", "system", "user_template")
 PROMPT_TEXT_FIELDS = ("version", "changelog", "system", "user_template")
 
+#: Shapes of a line.
+OBJECT, OTHER, INVALID, BLANK = "object", "other", "invalid", "blank"
+
 _TYPED = "struct<id variant, text variant, label variant, difficulty variant, note string>"
 
 
 def decode_lines(lines: DataFrame) -> DataFrame:
-    """Strictly decode ``(file, line_no, raw)``; blank lines vanish but keep their number.
+    """Strictly decode ``raw``; all other columns are kept.
 
-    Adds ``shape`` (``object``, ``other`` or ``invalid``), the absent required fields, the
-    fields whose value has the wrong type, and the five fields. Parsing is the expensive part of
-    a load; ``materialize`` the result before checking it, since the checks read ids twice.
+    Adds the ``shape`` of the line, the absent required fields, the fields whose value has the
+    wrong type, and the five fields. Blank lines stay, as they count in line numbers. Parsing is
+    the expensive part of a load; ``materialize`` the result before checking it, since the checks
+    read ids twice.
     """
     body = F.col("raw")
     # Two wrapped parses make the strictness test (see is_strict_json) and deliver the fields.
@@ -40,8 +44,7 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     keyed = F.from_json(in_object(body), "struct<r map<string,string>>", STRICT_OPTIONS)
 
     parsed = (
-        lines.where(~is_blank(F.col("raw")))
-        .withColumn("raw", strip_space(F.col("raw")))
+        lines.withColumn("raw", strip_space(F.col("raw")))
         .withColumn("_typed", typed)
         .withColumn("_keys", F.map_keys(keyed.getField("r")))
     )
@@ -49,13 +52,14 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     is_object = (
         F.col("_keys").isNotNull()
         & (F.size("_typed") == 1)
-        & F.col("_typed")[0].isNotNull()
+        & F.get("_typed", F.lit(0)).isNotNull()
         & ~has_foreign_infinity(F.col("raw"))
     )
     shape = (
-        F.when(is_object, "object")
-        .when(is_strict_json(F.col("raw")), "other")
-        .otherwise("invalid")
+        F.when(F.col("raw") == "", BLANK)
+        .when(is_object, OBJECT)
+        .when(is_strict_json(F.col("raw")), OTHER)
+        .otherwise(INVALID)
     )
     row = F.get("_typed", F.lit(0))
 
@@ -79,16 +83,12 @@ def decode_lines(lines: DataFrame) -> DataFrame:
         return F.when(kind(name) == "STRING", F.variant_get(value, "$", "string"))
 
     return parsed.withColumn("shape", shape).select(
-        "file",
-        "line_no",
+        *[name for name in lines.columns if name != "raw"],
         "shape",
-        F.when(F.col("shape") == "object", missing).alias("missing"),
-        F.when(F.col("shape") == "object", wrong_type).alias("wrong_type"),
-        *[
-            F.when(F.col("shape") == "object", text(name)).alias(name)
-            for name in REQUIRED_FIELDS
-        ],
-        F.when(F.col("shape") == "object", row.getField("note")).alias("note"),
+        F.when(F.col("shape") == OBJECT, missing).alias("missing"),
+        F.when(F.col("shape") == OBJECT, wrong_type).alias("wrong_type"),
+        *[F.when(F.col("shape") == OBJECT, text(name)).alias(name) for name in REQUIRED_FIELDS],
+        F.when(F.col("shape") == OBJECT, row.getField("note")).alias("note"),
     )
 
 
@@ -143,14 +143,14 @@ def check_rows(decoded: DataFrame, task: TaskSpec, hot_rows: int = HOT_ROWS) ->
     label, empty text, invalid difficulty. A later copy of an id counts as a duplicate even if
     the first copy has a violation of its own.
     """
-    rows = mark_duplicates(decoded, hot_rows)
+    rows = mark_duplicates(decoded.where(F.col("shape") != BLANK), hot_rows)
     # The good values are non-null here: nulls of label and difficulty are outside their sets.
     bad_label = ~F.coalesce(F.col("label").isin(list(task.classes)), F.lit(False))
     bad_difficulty = ~F.coalesce(F.col("difficulty").isin(list(task.slices)), F.lit(False))
     no_text = F.coalesce(is_blank(F.col("text")), F.lit(True))
     violation = (
-        F.when(F.col("shape") == "invalid", "invalid JSON")
-        .when(F.col("shape") == "other", "not a JSON object")
+        F.when(F.col("shape") == INVALID, "invalid JSON")
+        .when(F.col("shape") == OTHER, "not a JSON object")
         .when(F.size("missing") > 0, "missing field")
         .when(F.size("wrong_type") > 0, "wrong type")
         .when(F.col("is_duplicate"), "duplicate id")

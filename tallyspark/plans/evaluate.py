@@ -21,6 +21,7 @@ from tallyspark.operators.scoring import (
     render_prompts,
     score,
     score_replay,
+    unpaired_predictions,
     with_defaults,
 )
 from tallyspark.operators.totals import run_cost, run_totals
@@ -101,7 +102,7 @@ def evaluate(
     """Run every prompt over every example and measure the outputs; one run per prompt.
 
     Outputs come from a client or from recorded ``completions`` (whose ``run_id`` is the prompt
-    version). Answers of a client are materialized once, because asking again would bill again.
+    version; every planned input must have exactly one). Answers of a client are materialized once, because asking again would bill again.
     With a ``store`` the predictions are saved there and measured from there.
     """
     if (client_factory is None) == (completions is None):
@@ -139,6 +140,9 @@ def evaluate(
         outputs = with_defaults(materialize(answers))
     else:
         rendered = render_prompts(examples, prompts, n_repeats)
+        gaps = unpaired_predictions(rendered, completions).where("n_inputs > 0").first()
+        if gaps is not None:
+            raise ValueError(f"not exactly one recorded completion for {gaps.asDict()}")
         replayed = score_replay(rendered, completions)
         outputs = replayed.withColumn("run_id", run_id(started, F.col("run_id")))
     predictions = parse_predictions(attach_examples(outputs, examples), task)

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.operators.fingerprint import IDENTITY_FIELDS
-from tallyspark.operators.joins import BROADCAST_ROWS, fits_broadcast
+from tallyspark.operators.joins import fits_broadcast
 from tallyspark.operators.validate import (
+    BLANK,
     decode_lines,
     raise_first_violation,
     validate_examples,
@@ -16,20 +17,25 @@ from tallyspark.sources.checkpoints import materialize
 from tallyspark.task import TaskSpec
 
 
-def scan_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``file, line_no, raw`` with physical 1-based line numbers, blank lines included.
-
-    Files are read in splits. Each split's line count gives, by a running sum over the splits of
-    its file, the number of the split's first line. Only these counts (one row per split, about
-    one per 128 MB) are shuffled; the lines stay where they were read.
-    """
-    text = spark.read.text(path).select(
+def _read_text(spark: SparkSession, path: str) -> DataFrame:
+    """Every line with its file, the offset of its split, and a row number within the read."""
+    return spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_row"),
         F.col("value").alias("raw"),
     )
-    per_split = text.groupBy("file", "_start").agg(
+
+
+def _number_lines(stored: DataFrame) -> DataFrame:
+    """Turn ``_start`` and ``_row`` into physical 1-based ``line_no`` per file.
+
+    Files are read in splits. Each split's line count gives, by a running sum over the splits of
+    its file, the number of the split's first line. Only these counts (one row per split, about
+    one per 128 MB) are shuffled; the lines stay where they are. The input must be stored: a
+    second read of the files could be split differently.
+    """
+    per_split = stored.groupBy("file", "_start").agg(
         F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_lines")
     )
     offsets = per_split.selectExpr(
@@ -39,15 +45,28 @@ def scan_lines(spark: SparkSession, path: str) -> DataFrame:
         "coalesce(sum(_lines) OVER (PARTITION BY file ORDER BY _start"
         " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
     )
-    if fits_broadcast(per_split.select("_start"), max_rows=BROADCAST_ROWS):
+    if fits_broadcast(per_split):
         offsets = F.broadcast(offsets)
-    return text.join(offsets, ["file", "_start"]).select(
-        "file", (F.col("_before") + F.col("_row") - F.col("_first") + 1).alias("line_no"), "raw"
+    line_no = F.col("_before") + F.col("_row") - F.col("_first") + 1
+    others = [name for name in stored.columns if name not in ("file", "_start", "_row")]
+    return stored.join(offsets, ["file", "_start"]).select(
+        "file", line_no.alias("line_no"), *others
     )
 
 
+def scan_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line_no, raw`` of every line, blank ones included."""
+    return _number_lines(materialize(_read_text(spark, path)))
+
+
+def scan_examples(spark: SparkSession, path: str) -> DataFrame:
+    """Decoded, numbered, not yet judged lines. The files are read and parsed once."""
+    decoded = _number_lines(materialize(decode_lines(_read_text(spark, path))))
+    return decoded.where(F.col("shape") != BLANK)
+
+
 def load_examples(spark: SparkSession, path: str, task: TaskSpec) -> DataFrame:
     """The validated examples; raises on the first bad line, like any strict loader."""
-    decoded = materialize(decode_lines(scan_lines(spark, path)))
+    decoded = scan_examples(spark, path)
     raise_first_violation(validate_examples(decoded, task))
     return decoded.select("file", "line_no", *IDENTITY_FIELDS)

@@ -163,3 +163,6 @@ def test_evaluate_many_prompts_from_recordings(spark, inputs):
     assert records["v1"]["run_id"] == "20240501T120503004Z_v1"
     with pytest.raises(ValueError):
         evaluate(examples, both, FEEDBACK_TASK, "m")
+    for partial in (recorded.where("id <> 'e3'"), recorded.unionByName(recorded.limit(1))):
+        with pytest.raises(ValueError, match="exactly one"):
+            evaluate(examples, both, FEEDBACK_TASK, "m", completions=partial)

@@ -5,13 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.operators.validate import (
-    decode_lines,
     duplicate_ids,
     first_violation,
     valid_examples,
     validate_examples,
 )
-from tallyspark.sources.examples import load_examples, scan_lines
+from tallyspark.sources.examples import load_examples, scan_examples, scan_lines
 from tallyspark.task import TaskSpec
 
 TASK = TaskSpec(["bug", "idea"])
@@ -68,7 +67,7 @@ def test_first_bad_line_of_each_file_is_named(spark, tmp_path):
         k = f"k{number}-"
         lines = [good(k + "1"), "   ", good(k + "2"), bad(k), "{later error"]
         write(tmp_path / f"{number:02d}.jsonl", lines)
-    decoded = decode_lines(scan_lines(spark, str(tmp_path)))
+    decoded = scan_examples(spark, str(tmp_path))
     got = first_violation(validate_examples(decoded, TASK)).orderBy("file").collect()
     assert len(got) == len(BAD)
     for number, (row, (_, violation, detail)) in enumerate(zip(got, BAD)):
@@ -85,7 +84,7 @@ def test_loading_fails_at_the_first_bad_line(spark, tmp_path):
 def test_precedence_within_a_line(spark, tmp_path):
     lines = [good(1), good(1, label="x", text="", difficulty="y"), good(2, label="x", text=""),
              good(3, text="", difficulty="y")]
-    decoded = decode_lines(scan_lines(spark, write(tmp_path / "d.jsonl", lines)))
+    decoded = scan_examples(spark, write(tmp_path / "d.jsonl", lines))
     got = validate_examples(decoded, TASK).orderBy("line_no").collect()
     assert [r["violation"] for r in got] == ["duplicate id", "unknown label", "empty text"]
 
@@ -123,14 +122,14 @@ def test_line_numbers_across_splits_and_files(spark, tmp_path):
 
 @pytest.mark.parametrize("hot_rows", [2, 10, 10**9])
 def test_duplicates_with_one_hot_id(spark, hot_rows):
-    ids = ["hot"] * 200 + [f"n{i}" for i in range(100)] + ["twice", "twice"]
+    ids = [None] * 50 + ["hot"] * 200 + [f"n{i}" for i in range(100)] + ["twice", "twice"]
     random.Random(1).shuffle(ids)
     frame = spark.createDataFrame(
         [("f", n, i) for n, i in enumerate(ids, 1)], "file string, line_no long, id string"
     ).repartition(7)
     seen, want = set(), []
     for number, name in enumerate(ids, 1):
-        if name in seen:
+        if name is not None and name in seen:
             want.append((number, name))
         seen.add(name)
     got = duplicate_ids(frame, hot_rows).orderBy("line_no").collect()
@@ -139,7 +138,7 @@ def test_duplicates_with_one_hot_id(spark, hot_rows):
 
 def test_bulk_mode_reports_everything(spark, tmp_path):
     lines = [good(1), good(1), good(1), "{", good(2, label="x"), good(3)]
-    decoded = decode_lines(scan_lines(spark, write(tmp_path / "d.jsonl", lines)))
+    decoded = scan_examples(spark, write(tmp_path / "d.jsonl", lines))
     bad = validate_examples(decoded, TASK).orderBy("line_no").collect()
     assert [r["line_no"] for r in bad] == [2, 3, 4, 5]
     assert sorted(r["id"] for r in valid_examples(decoded, TASK).collect()) == ["e1", "e3"]
