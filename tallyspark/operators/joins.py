@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,11 +21,16 @@ def fits_broadcast(
     table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
     """Measure a stored table (one small aggregate job) against the broadcast bounds."""
-    text = [f.name for f in table.schema if isinstance(f.dataType, T.StringType)]
-    fixed = 16 * (len(table.columns) - len(text))
-    widths = [F.coalesce(F.octet_length(F.col(name)), F.lit(0)) + 16 for name in text]
-    width = reduce(lambda a, b: a + b, widths, F.lit(fixed).cast("long"))
-    rows, size = table.agg(F.count(F.lit(1)), F.sum(width)).first()
+    def width(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            value = F.to_json(F.struct(value))
+        elif not isinstance(field.dataType, T.StringType):
+            return F.lit(16).cast("long")
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("long") + 16
+
+    width_of_row = reduce(lambda a, b: a + b, map(width, table.schema))
+    rows, size = table.agg(F.count(F.lit(1)), F.sum(width_of_row)).first()
     return rows <= max_rows and (size or 0) <= max_bytes
 
 
@@ -67,9 +72,10 @@ def lookup(
     bucket = F.when(pending, F.lit(0).cast("long")).otherwise(
         F.lit(1) + F.pmod(F.xxhash64(*spread), F.lit(1 << 20))
     )
-    cold_dim = dim.select(
-        key, F.lit(0).cast("long").alias("_bucket"), payload.alias("_cold")
-    )
+    # Always 0, but not a literal: the optimizer would drop a literal from the join keys, and the
+    # shuffle would go by the key alone.
+    zero = F.pmod(F.xxhash64(key), F.lit(1))
+    cold_dim = dim.select(key, zero.alias("_bucket"), payload.alias("_cold"))
     joined = served.withColumn("_bucket", bucket).join(cold_dim, [key, "_bucket"], "left")
     found = F.coalesce("_hot", "_cold")
     return joined.select(*facts.columns, *[found.getField(name).alias(name) for name in names])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,25 +16,22 @@ from tallyspark.task import TaskSpec
 BOOTSTRAP = "BOOTSTRAP"
 
 
-def _within(new: float, old: float, limit: float) -> bool:
-    return old <= 0 or new / old <= limit
+def _growth_ok(new: np.ndarray, old: float, limit: float) -> np.ndarray:
+    return new / old <= limit if old > 0 else np.full(len(new), True)
 
 
-def _verdict(run, base, cfg: GateConfig) -> str:
-    """The gate's five rules on two rows; tests hold this to ``gate_decisions``."""
-    if base is None:
-        return BOOTSTRAP
-    if (run.dataset_fp, run.model) != (base.dataset_fp, base.model):
-        return INCOMPARABLE
-    drop = max(old - new for old, new in zip(base.f1, run.f1))
+def _judge(runs: dict[str, np.ndarray], base: dict, cfg: GateConfig) -> tuple:
+    """The gate for many runs against one baseline; tests hold it to ``gate_decisions``."""
+    comparable = (runs["dataset_fp"] == base["dataset_fp"]) & (runs["model"] == base["model"])
     passed = (
-        run.macro_f1 - base.macro_f1 >= cfg.min_macro_f1_gain
-        and drop <= cfg.max_per_class_f1_drop
-        and 1.0 - run.parse_failure_rate >= cfg.min_parse_rate
-        and _within(run.est_cost_usd, base.est_cost_usd, cfg.max_cost_multiplier)
-        and _within(run.latency_ms, base.latency_ms, cfg.max_latency_multiplier)
+        comparable
+        & (runs["macro_f1"] - base["macro_f1"] >= cfg.min_macro_f1_gain)
+        & ((base["f1"] - runs["f1"]).max(axis=1) <= cfg.max_per_class_f1_drop)
+        & (1.0 - runs["parse_failure_rate"] >= cfg.min_parse_rate)
+        & _growth_ok(runs["est_cost_usd"], base["est_cost_usd"], cfg.max_cost_multiplier)
+        & _growth_ok(runs["latency_ms"], base["latency_ms"], cfg.max_latency_multiplier)
     )
-    return PROMOTE if passed else REVERT
+    return comparable, passed
 
 
 def promotion_chain(
@@ -44,8 +42,9 @@ def promotion_chain(
 
     The first run of a chain becomes its baseline, later ones only by promotion. A step depends
     on the one before, so a chain is read in order by one task; there is one row per *run*, and
-    chains are independent. Spark sorts (and spills); the fold streams and holds two rows, so a
-    chain of any length fits in memory. ``scores`` needs ``chain`` and ``ts``.
+    chains are independent. Spark sorts (and spills); the fold streams batches and keeps one
+    baseline, so a chain of any length fits in memory. Within a batch the next promotion is found
+    by array operations. ``scores`` needs ``chain`` and ``ts``.
     """
     label_f1 = F.array(*[F.col("class_f1")[label] for label in task.classes])
     ordered = (
@@ -68,16 +67,33 @@ def promotion_chain(
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         chain, base = None, None
         for batch in batches:
-            out = []
-            for run in batch.itertuples(index=False):
-                if run.chain != chain:
-                    chain, base = run.chain, None
-                verdict = _verdict(run, base, cfg)
-                before = None if base is None else base.run_id
-                if verdict in (BOOTSTRAP, PROMOTE):
-                    base = run
-                out.append((chain, run.run_id, before, verdict, base.run_id))
-            yield pd.DataFrame(out, columns=schemas.PROMOTION.names)
+            runs = {name: batch[name].to_numpy() for name in batch.columns if name != "f1"}
+            runs["f1"] = np.stack(batch["f1"].to_numpy())
+            size = len(batch)
+            out = {name: np.full(size, None, object) for name in ("before", "verdict", "after")}
+            turns = np.flatnonzero(runs["chain"][1:] != runs["chain"][:-1]) + 1
+            for start, stop in zip([0, *turns], [*turns, size]):
+                if runs["chain"][start] != chain:
+                    chain, base = runs["chain"][start], None
+                while start < stop:
+                    # All runs up to the next promotion are judged by the same baseline.
+                    move = start
+                    if base is not None:
+                        rest = {name: values[start:stop] for name, values in runs.items()}
+                        comparable, passed = _judge(rest, base, cfg)
+                        move = start + int(passed.argmax()) if passed.any() else stop
+                        out["verdict"][start:move] = np.where(
+                            comparable[: move - start], REVERT, INCOMPARABLE
+                        )
+                        out["before"][start : min(move + 1, stop)] = base["run_id"]
+                        out["after"][start:move] = base["run_id"]
+                    if move < stop:
+                        out["verdict"][move] = BOOTSTRAP if base is None else PROMOTE
+                        base = {name: values[move] for name, values in runs.items()}
+                        out["after"][move] = base["run_id"]
+                    start = move + 1
+            columns = (runs["chain"], runs["run_id"], *out.values())
+            yield pd.DataFrame(dict(zip(schemas.PROMOTION.names, columns)))
 
     return ordered.mapInPandas(fold, schemas.PROMOTION)
 
