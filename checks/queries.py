@@ -194,9 +194,13 @@ def record_nested(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "events", "event_id", "ts", "event_type").select(
-        "event_id", utc_stamp(F.col("ts")).alias("timestamp"),
-        run_id(F.col("ts"), F.col("event_type")).alias("run_id"),
+    events = read_table(spark, folder, "events", "event_id", "ts", "event_type")
+    # The table's times have no zone; they are UTC.
+    instant = F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp")
+    return events.select(
+        "event_id",
+        utc_stamp(instant).alias("timestamp"),
+        run_id(instant, F.col("event_type")).alias("run_id"),
     )
 
 

@@ -32,6 +32,11 @@ def _folder(name: str, value: str) -> str:
     return f"{name}={escaped}"
 
 
+def _raise_unless_absent(error: AnalysisException) -> None:
+    if error.getCondition() != "PATH_NOT_FOUND":
+        raise error
+
+
 class RunStore:
     """One folder per table, partitioned by day and run.
 
@@ -61,8 +66,13 @@ class RunStore:
         )
 
     def read(self, table: str) -> DataFrame:
-        """The whole table."""
-        return self._reader(table).parquet(self.path(table)).select(*TABLES[table].names)
+        """The whole table; empty when nothing was ever saved."""
+        try:
+            rows = self._reader(table).parquet(self.path(table))
+        except AnalysisException as error:
+            _raise_unless_absent(error)
+            rows = self.spark.createDataFrame([], TABLES[table])
+        return rows.select(*TABLES[table].names)
 
     def read_runs(self, table: str, *run_ids: str) -> DataFrame:
         """The rows of some runs. Other runs' folders are not even listed."""
@@ -71,7 +81,12 @@ class RunStore:
             "/".join(map(_folder, _PARTITIONS, (run_id[:_DAY], run_id))) for run_id in run_ids
         ]
         reader = self._reader(table).option("basePath", root)
-        rows = reader.parquet(*[f"{root}/{folder}" for folder in day_and_run])
+        try:
+            rows = reader.parquet(*[f"{root}/{folder}" for folder in day_and_run])
+        except AnalysisException as error:
+            _raise_unless_absent(error)
+            # A run without rows has no folder: search by partition values instead.
+            rows = self.read(table).where(F.col("run_id").isin(list(run_ids)))
         return rows.select(*TABLES[table].names)
 
     def _reader(self, table: str):
@@ -80,12 +95,7 @@ class RunStore:
         return self.spark.read.schema(T.StructType([*TABLES[table].fields, day]))
 
     def has_run(self, run_id: str) -> bool:
-        try:
-            return not self.read_runs("runs", run_id).isEmpty()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return False
+        return not self.read_runs("runs", run_id).isEmpty()
 
     def pointers(self) -> DataFrame:
         """All pointer moves so far; empty when nothing was ever set."""
@@ -94,8 +104,7 @@ class RunStore:
                 self.path("baseline_pointer")
             )
         except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+            _raise_unless_absent(error)
             return self.spark.createDataFrame([], schemas.BASELINE_POINTER)
 
     def move_baselines(self, moves: DataFrame) -> None:

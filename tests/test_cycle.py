@@ -128,6 +128,18 @@ def test_a_run_on_other_data_is_stored_but_not_compared(spark, inputs, tmp_path)
     assert store.baseline("default") == ("v1", first.run_id)
 
 
+def test_an_empty_dataset_gives_a_run_of_zeros(spark, inputs, tmp_path):
+    examples, prompts = inputs
+    store = RunStore(spark, str(tmp_path))
+    outcome = run_and_gate(store, examples.limit(0), prompts["v1"], FEEDBACK_TASK, MODEL,
+                           client_factory=Perfect, now=at(1))
+    assert outcome.verdict == "BOOTSTRAP"
+    metrics = store.read_runs("slice_metrics", outcome.run_id).collect()
+    assert [(r["support"], r["macro_f1"], r["parse_failure_rate"]) for r in metrics] == [(0, 0, 0)] * 3
+    run = store.read_runs("runs", outcome.run_id).first()
+    assert (run["n_predictions"], run["latency_ms"], run["est_cost_usd"]) == (0, 0.0, 0.0)
+
+
 def test_odd_run_ids_are_found_again(spark, tmp_path):
     store = RunStore(spark, str(tmp_path))
     names = ["20240101T000000000Z_v:1=a/b%41 c", "20240101T000000000Z_é'[x]{y}", "00000123", "x"]
