@@ -16,6 +16,7 @@ from tallyspark.functions.json_text import (
 )
 from tallyspark.functions.templates import template_is_supported
 from tallyspark.operators.joins import HOT_ROWS, lookup
+from tallyspark.sources.checkpoints import materialize
 from tallyspark.task import TaskSpec
 
 #: Required fields of an example line, in the order in which absences are reported.
@@ -62,13 +63,15 @@ def decode_lines(lines: DataFrame) -> DataFrame:
         .otherwise(INVALID)
     )
     row = F.get("_typed", F.lit(0))
-
-    def kind(name: str) -> Column:
-        return F.coalesce(F.schema_of_variant(row.getField(name)), F.lit("NESTED"))
+    # A value that is no valid variant (an object with repeated keys) has no kind of its own.
+    kinds = {
+        f"_{name}": F.coalesce(F.schema_of_variant(row.getField(name)), F.lit("NESTED"))
+        for name in REQUIRED_FIELDS
+    }
 
     def wrong(name: str) -> Column:
         allowed = ("STRING",) if name == "id" else ("STRING", "VOID")
-        return ~kind(name).isin(*allowed)
+        return ~F.col(f"_{name}").isin(*allowed)
 
     missing = F.array_except(
         F.array(*[F.lit(name) for name in REQUIRED_FIELDS]), F.col("_keys")
@@ -80,9 +83,9 @@ def decode_lines(lines: DataFrame) -> DataFrame:
 
     def text(name: str) -> Column:
         value = row.getField(name)
-        return F.when(kind(name) == "STRING", F.variant_get(value, "$", "string"))
+        return F.when(F.col(f"_{name}") == "STRING", F.variant_get(value, "$", "string"))
 
-    return parsed.withColumn("shape", shape).select(
+    return parsed.withColumn("shape", shape).withColumns(kinds).select(
         *[name for name in lines.columns if name != "raw"],
         "shape",
         F.when(F.col("shape") == OBJECT, missing).alias("missing"),
@@ -109,17 +112,13 @@ def mark_duplicates(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``is_duplicate``: the id was already seen on an earlier line.
 
     Counting per id combines on the map side; a window over the id would instead sort all copies
-    of one id in one task. The counts also name the hot ids, so the join back splits those.
+    of one id in one task. Repeated ids are few in a sound dataset; written out and measured, they
+    are broadcast and the lines do not move. The counts also name the hot ids for the other case.
     """
-    repeats = repeated_ids(rows)
+    repeats = materialize(repeated_ids(rows))
     hot = repeats.where(F.col("copies") >= hot_rows)
     marked = lookup(
-        rows,
-        repeats.drop("copies"),
-        "id",
-        ("file", "line_no"),
-        hot_dim=hot.drop("copies"),
-        measure=False,
+        rows, repeats.drop("copies"), "id", ("file", "line_no"), hot_dim=hot.drop("copies")
     )
     later = F.struct("file", "line_no") > F.struct("first_file", "first_line")
     return marked.withColumn("is_duplicate", F.col("first_line").isNotNull() & later).drop(
