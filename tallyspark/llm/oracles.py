@@ -36,8 +36,8 @@ l AS (SELECT doc_id, i, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS v
 f AS (SELECT *, len(v) AS n, length(array_to_string(v, '')) AS chars,
   length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS symbols,
   length(regexp_replace(line, '[^!]', '', 'g')) AS loud,
-  len(list_filter(v, x -> x = '|' OR x = '>')) AS bars,
-  len(list_filter(range(2, len(v) + 1), j -> v[j] = v[j - 1])) AS follows,
+  len(list_filter(v, lambda x: x = '|' OR x = '>')) AS bars,
+  len(list_filter(range(2, len(v) + 1), lambda j: v[j] = v[j - 1])) AS follows,
   row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1 AS dup
   FROM l WHERE len(v) > 0),
 x AS (SELECT doc_id, n, dup, 10 * symbols >= chars OR (loud >= 3 AND 3 * loud > n)
