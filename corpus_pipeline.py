@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination, mixing, quality
+from tallyspark.llm import decontamination, mixing, pii, quality
 from tallyspark.llm.shared import new_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -24,6 +24,11 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Masks personal data."""
+    return pii.mask(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     return mixing.mix(docs).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
@@ -32,6 +37,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("personal_data", personal_data),
     ("source_mixing", source_mixing),
 ]
 

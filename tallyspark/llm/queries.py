@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination, mixing, quality, token_counts, url_filter
+from tallyspark.llm import decontamination, html_text, language_id, mixing, pii, quality, token_counts, url_filter
 from tallyspark.llm.shared import new_path
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -30,6 +30,11 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(_table(spark, folder, "pages"))
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document, through a cache that starts empty in the shared folder."""
     import public_tokenizers
@@ -44,6 +49,11 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.find(_table(spark, folder, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict of every document."""
     scored = quality.score(_table(spark, folder, "documents"))
@@ -58,10 +68,19 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document."""
+    found = language_id.identify(_table(spark, folder, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_html_text": op2_html_text,
     "op3_token_counts": op3_token_counts,
     "op6_url_filter": op6_url_filter,
+    "op7_personal_data": op7_personal_data,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
+    "op10_language": op10_language,
 }
