@@ -23,6 +23,19 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(c.n, 0) AS BIG
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
+_OP4 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT e.b, r.seen FROM r JOIN e ON e.a = r.node)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(seen) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.node = d.doc_id GROUP BY 1, 2
+"""
+
 _OP8 = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM d),
@@ -79,4 +92,4 @@ SELECT u.doc_id, size, source_size, target, CAST(coalesce(t.copies, 0) * size AS
 FROM u LEFT JOIN t USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_decontamination": _OP1, "op8_quality_rules": _OP8, "op9_mixing": _OP9}
+ORACLES: dict[str, str] = {"op1_decontamination": _OP1, "op4_ngram_join": _OP4, "op8_quality_rules": _OP8, "op9_mixing": _OP9}

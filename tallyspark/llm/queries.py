@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination, html_text, language_id, mixing, pii, quality, token_counts, url_filter
+from tallyspark.llm import decontamination, html_text, language_id, mixing, ngram_join, pii, quality, token_counts, url_filter
 from tallyspark.llm.shared import new_path
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -43,6 +43,11 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, folder, "documents"), cache, public_tokenizers.path(TOKENIZER))
 
 
+def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate groups of all documents."""
+    return ngram_join.similar_groups(_table(spark, folder, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Verdicts on every page's URL."""
     judged = url_filter.judge_urls(_table(spark, folder, "pages"))
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_html_text": op2_html_text,
     "op3_token_counts": op3_token_counts,
+    "op4_ngram_join": op4_ngram_join,
     "op6_url_filter": op6_url_filter,
     "op7_personal_data": op7_personal_data,
     "op8_quality_rules": op8_quality_rules,
