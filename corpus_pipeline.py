@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination, mixing, pii, quality
+from tallyspark.llm import decontamination, mixing, ngram_join, pii, quality
 from tallyspark.llm.shared import new_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -19,6 +19,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return kept.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near duplicates."""
+    return ngram_join.keep_one(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes contaminated documents."""
     return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -36,6 +41,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
     ("benchmark_decontamination", benchmark_decontamination),
     ("personal_data", personal_data),
     ("source_mixing", source_mixing),

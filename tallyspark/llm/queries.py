@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination, html_text, language_id, mixing, ngram_join, pii, quality, token_counts, url_filter
+from tallyspark.llm import decontamination, html_text, language_id, mixing, ngram_join, pii, quality, repeats, token_counts, url_filter
 from tallyspark.llm.shared import new_path
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -48,6 +48,12 @@ def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_groups(_table(spark, folder, "documents"))
 
 
+def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without strings of 100 bytes that start earlier."""
+    cut = repeats.remove_repeats(_table(spark, folder, "documents"), with_rest=False)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Verdicts on every page's URL."""
     judged = url_filter.judge_urls(_table(spark, folder, "pages"))
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_text": op2_html_text,
     "op3_token_counts": op3_token_counts,
     "op4_ngram_join": op4_ngram_join,
+    "op5_repeats": op5_repeats,
     "op6_url_filter": op6_url_filter,
     "op7_personal_data": op7_personal_data,
     "op8_quality_rules": op8_quality_rules,
