@@ -101,6 +101,13 @@ def _anchors(length: int, gram: int):
     return run
 
 
+def _as_before(*keys: np.ndarray) -> np.ndarray:
+    """Which rows equal the row before in all keys: places of documents that are repeated rows."""
+    same = np.zeros(len(keys[0]), bool)
+    same[1:] = np.logical_and.reduce([k[1:] == k[:-1] for k in keys])
+    return same
+
+
 def _segment_rows(length: int, gram: int, often: np.ndarray):
     """a, c, doc_id, at, n, part: n strings from `at`; settled runs have negative n."""
 
@@ -117,6 +124,7 @@ def _segment_rows(length: int, gram: int, often: np.ndarray):
                 at = first[known] - texts.offsets[text[known]]
                 doc = number[row]
                 order = np.lexsort((at, doc, c, a))
+                order = order[~_as_before(a[order], c[order], doc[order], at[order])]
                 a, c, doc, at, n = a[order], c[order], doc[order], at[order], n[order]
                 fresh = np.ones(len(a), bool)
                 fresh[1:] = (a[1:] != a[:-1]) | (c[1:] != c[:-1])
@@ -151,7 +159,7 @@ def _sorted_out(often: np.ndarray):
         return pa.RecordBatch.from_arrays([a, pa.array(doc), pa.array(at), pa.array(n)], ["a", "doc_id", "at", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # (a, c) of the row before
+        last = None  # the row before
         waiting = None  # the latest first segment: a, doc, at, n, whether its anchor had another before it
 
         for batch in batches:
@@ -161,10 +169,12 @@ def _sorted_out(often: np.ndarray):
             ready = n < 0
             fresh = np.ones(len(a), bool)
             fresh[1:] = (a[1:] != a[:-1]) | (c[1:] != c[:-1])
+            same = _as_before(a, c, doc, at)
             if last is not None:
-                fresh[0] = (int(a[0]), int(c[0])) != last
-            last = (int(a[-1]), int(c[-1]))
-            gone = ready | ~fresh
+                fresh[0] = (int(a[0]), int(c[0])) != last[:2]
+                same[0] = (int(a[0]), int(c[0]), int(doc[0]), int(at[0])) == last
+            last = (int(a[-1]), int(c[-1]), int(doc[-1]), int(at[-1]))
+            gone = ready | (~fresh & ~same)
             yield rows(pa.nulls(int(gone.sum()), pa.int64()), doc[gone], at[gone], np.abs(n[gone]))
             first = np.flatnonzero(fresh & ~ready)
             fa, fd, ft, fn = a[first], doc[first], at[first], n[first]
@@ -267,7 +277,9 @@ def shard_of(bodies: list[bytes], doc: np.ndarray, at: np.ndarray, n: np.ndarray
     order = np.lexsort((at[owner] + step, doc[owner], keys))
     fresh = np.ones(len(order), bool)
     fresh[1:] = keys[order][1:] != keys[order][:-1]
-    kept, gone = order[fresh], order[~fresh]
+    head = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
+    itself = (doc[owner[order]] == doc[owner[head]]) & (at[owner[order]] + step[order] == at[owner[head]] + step[head])
+    kept, gone = order[fresh], order[~itself]
     shard = Shard(words, place[kept], doc[owner[kept]], at[owner[kept]] + step[kept], row[owner[kept]])
     return shard, (row[owner[gone]], at[owner[gone]] + step[gone])
 
@@ -307,7 +319,8 @@ def merge(x: Shard, y: Shard, length: int) -> tuple[Shard, tuple[np.ndarray, np.
     stays = np.ones(size, bool)
     stays[later] = False
     order = merged[stays[merged]]
-    return Shard(words, place[order], doc[order], at[order], rows[order]), (rows[later], at[later])
+    apart = (doc[left] != doc[right]) | (at[left] != at[right])  # not the same place of a repeated row
+    return Shard(words, place[order], doc[order], at[order], rows[order]), (rows[later[apart]], at[later[apart]])
 
 
 def _settled(length: int, often: np.ndarray):

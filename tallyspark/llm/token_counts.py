@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyspark.llm.shared import stored
+
 CACHE = T.StructType(
     [T.StructField("version", T.StringType()), T.StructField("digest", T.StringType()), T.StructField("n_tokens", T.LongType())]
 )
@@ -81,7 +83,8 @@ def count_tokens(docs: DataFrame, path: str, model_file: str, limit: int = 4096)
     """doc_id, n_bytes, n_tokens, over_limit for every row; fills the cache at `path` first."""
     model = Path(model_file).read_bytes()  # half a megabyte, sent with the tasks
     fill_cache(docs, path, model)
-    cached = read_cache(docs.sparkSession, path, tokenizer_version(model))
+    # One row per digest in files of its own, so the join below may split the rows of a frequent text.
+    cached = stored(read_cache(docs.sparkSession, path, tokenizer_version(model)), "counts")
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("digest"))
     return keyed.join(cached, "digest").select(
