@@ -66,13 +66,13 @@ def _zone(name: str, attributes: str, around: int) -> int:
     if name in ASIDE_TAGS or (name == "header" and around == 0):
         return 2
     zone = 1 if name in MAIN_TAGS else around
-    if attributes and "=" in attributes:
+    if attributes and "=" in attributes and name not in ("html", "body"):
         found = {
             w.lower()
             for m in _NAMES.finditer(attributes)
             for w in _WORD.findall(_CAMEL.sub(r"\1 \2", m[1] or m[2] or m[3] or ""))
         }
-        if found & ASIDE_WORDS and name not in ("body", "html", "article", "main"):
+        if found & ASIDE_WORDS and name not in ("article", "main"):
             return 2
         if found & MAIN_WORDS:
             zone = 1
@@ -158,7 +158,7 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID or token[3].endswith("/"):
             continue
         zone, link, out_of_it = state()
-        inner = _zone(name, token[3], zone) if name in BLOCKS or name == "span" else zone
+        inner = _zone(name, token[3], zone) if name in BLOCKS or name in MAIN_TAGS or name == "span" else zone
         hide = name in SKIPPED or bool(token[3] and _HIDDEN.search(token[3]))
         if hide and not out_of_it:
             end_block()
