@@ -192,6 +192,23 @@ LABELLED = """
 6 0.0 6 0.0 6 0.0 1 1
 9 0.1 14 0.0 11 0.1 1 1
 5 0.0 110 0.0 9 0.0 1 1
+8 0.0 40 0.0 1 1.0 1 1
+5 0.0 60 0.0 2 0.5 1 1
+3 0.0 80 0.0 0 0.0 1 1
+12 0.0 30 0.0 3 0.0 1 1
+2 0.0 30 0.0 2 1.0 1 1
+4 0.0 1 0.0 1 0.0 1 1
+10 0.1 6 0.3 3 0.6 1 1
+7 0.0 2 0.5 8 0.4 1 1
+11 0.18 3 0.0 12 0.0 1 1
+14 0.25 20 0.0 9 0.0 1 1
+22 0.33 5 0.0 6 0.0 1 1
+9 0.22 8 0.0 7 0.0 1 1
+30 0.3 12 0.1 10 0.2 1 1
+18 0.4 25 0.0 15 0.1 1 1
+3 1.0 2 1.0 60 0.0 1 0
+5 0.9 30 0.0 80 0.0 1 0
+6 0.7 50 0.0 40 0.0 1 0
 2 1.0 1 1.0 2 1.0 1 0
 1 1.0 1 1.0 1 1.0 1 0
 4 1.0 60 0.0 4 1.0 1 0
@@ -226,6 +243,10 @@ LABELLED = """
 12 0.7 3 1.0 10 0.8 0 0
 25 0.6 8 1.0 20 0.7 0 0
 40 0.5 12 0.9 10 0.9 0 0
+4 1.0 2 1.0 60 0.0 0 0
+8 0.7 4 1.0 90 0.0 0 0
+3 0.9 0 0.0 120 0.0 0 0
+12 0.5 3 0.8 70 0.0 0 0
 4 0.0 2 1.0 3 1.0 0 0
 3 0.0 3 0.0 2 0.0 0 0
 6 0.3 2 1.0 3 0.5 0 0
