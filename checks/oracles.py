@@ -384,7 +384,9 @@ ORACLES: dict[str, str] = {
         FROM ruled JOIN verdicts USING (candidate, baseline)""",
     "gate_incomparable": f"""{_PAIRED} SELECT candidate, baseline, 'INCOMPARABLE' AS verdict,
         CASE WHEN other_data THEN 'different dataset' ELSE 'different model' END AS reason
-        FROM matched WHERE other_data OR other_model""",
+        FROM matched WHERE other_data OR other_model
+        UNION ALL SELECT run_id, concat('u', user_id, '-v7'), 'INCOMPARABLE', 'unknown run'
+        FROM scores WHERE r = 6""",
     "promotion_chain": f"{_EVENT_FOLD} SELECT * EXCLUDE (r) FROM fold",
     "promotion_chain_by_user": f"{_USER_FOLD} SELECT * EXCLUDE (r) FROM fold",
     "baseline_lookup": f"""{_USER_FOLD},
@@ -426,11 +428,29 @@ ORACLES: dict[str, str] = {
           SELECT ex.*, v, CASE WHEN (doc_id + v) % 7 = 0 THEN ''
             WHEN (doc_id + v) % 5 = 0 THEN '{{"category": "en"}}'
             ELSE concat('Label: {{"category": "', label, '"}}') END AS raw_output
-          FROM ex CROSS JOIN (SELECT range AS v FROM range(1, 3)))
+          FROM ex CROSS JOIN (SELECT range AS v FROM range(1, 4)))
         SELECT concat('p', v) AS run_id, id, 1 AS "repeat", label AS expected, difficulty,
-          CASE WHEN (doc_id + v) % 7 = 0 THEN 'PARSE_FAILURE' WHEN (doc_id + v) % 5 = 0 THEN 'en'
-            ELSE label END AS predicted, raw_output,
-          CASE WHEN doc_id % 3 = 0 THEN 0 ELSE 10 + doc_id % 9 END AS prompt_tokens,
-          CASE WHEN doc_id % 4 = 0 THEN 0 ELSE 3 + doc_id % 2 END AS completion_tokens
+          CASE WHEN v = 3 OR (doc_id + v) % 7 = 0 THEN 'PARSE_FAILURE' WHEN (doc_id + v) % 5 = 0 THEN 'en'
+            ELSE label END AS predicted, CASE WHEN v = 3 THEN '' ELSE raw_output END AS raw_output,
+          CASE WHEN v = 3 OR doc_id % 3 = 0 THEN 0 ELSE 10 + doc_id % 9 END AS prompt_tokens,
+          CASE WHEN v = 3 OR doc_id % 4 = 0 THEN 0 ELSE 3 + doc_id % 2 END AS completion_tokens,
+          v < 3 AS is_recorded
         FROM a""",
+    "score_client": f"""WITH {_TEMPLATES} SELECT version AS run_id,
+        CAST(doc_id AS VARCHAR) AS id, 1 AS "repeat",
+        'm:' || CAST(length(system) AS VARCHAR) || ':0.0' AS content,
+        CAST(length(CASE version WHEN 'p1' THEN 'Feedback: ' || text
+          WHEN 'p2' THEN 'A {{x}} ' || text || ' / ' || text
+          ELSE '{{text}} ' || text || '}}' END) AS BIGINT) AS prompt_tokens,
+        CAST(9 AS BIGINT) AS completion_tokens
+        FROM documents CROSS JOIN prompts""",
+    "scan_examples": f"{_VIOLATIONS} SELECT violation, detail, count(*) AS n FROM bad GROUP BY ALL",
+    "run_store_roundtrip": f"""{_BY_RUN}, {_TOTALS}
+        SELECT concat('20240201T00000000', right(run_id, 1), 'Z_', run_id) AS run_id,
+          run_id AS prompt_version, CAST(prompt_tokens AS BIGINT) AS prompt_tokens,
+          round({_cost('0.59', '0.79')}, 6) AS est_cost_usd, slice, round(macro_f1, 6) AS macro_f1,
+          round(f1, 6) AS click_f1
+        FROM prf JOIN sm USING (run_id, slice) JOIN tot USING (run_id)
+        WHERE label = 'click' AND run_id IN ('v2', 'v5')""",
 }
+ORACLES["baseline_pointer"] = ORACLES["baseline_lookup"]

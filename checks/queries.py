@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,9 @@ from tallyspark.functions.parsing import parse_predictions
 from tallyspark.functions.run_ids import run_id, utc_stamp
 from tallyspark.operators import fingerprint, gate, inspect, metrics, promotion, scoring, validate
 from tallyspark.operators.totals import run_cost, run_totals
-from tallyspark.sources.checkpoints import materialize
+from tallyspark.sources.checkpoints import kept
+from tallyspark.sources.examples import scan_examples as scan_example_files
+from tallyspark.sources.run_store import RunStore
 from tallyspark.sources.tables import read_table
 
 E, L, O = views.EVENT_TASK, views.LANG_TASK, views.ORDER_TASK
@@ -26,7 +30,7 @@ def _r(name: str) -> F.Column:
 
 def _cells(spark: SparkSession, folder: str) -> DataFrame:
     """The one pass over the predictions; every metric is derived from its small result."""
-    return materialize(metrics.count_cells(views.event_predictions(spark, folder), E))
+    return kept(metrics.count_cells(views.event_predictions(spark, folder), E))
 
 
 def _slice_columns(per_slice: DataFrame) -> DataFrame:
@@ -70,7 +74,7 @@ def slice_metrics_joined(spark: SparkSession, folder: str) -> DataFrame:
     outputs = views.event_outputs(spark, folder).drop("expected", "difficulty")
     examples = views.event_examples(spark, folder)
     joined = parse_predictions(scoring.attach_examples(outputs, examples), E)
-    per_class = metrics.class_metrics(materialize(metrics.count_cells(joined, E)), E)
+    per_class = metrics.class_metrics(kept(metrics.count_cells(joined, E)), E)
     return _slice_columns(metrics.slice_metrics(per_class, E))
 
 
@@ -102,7 +106,7 @@ def classification_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def retarget_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    cells = materialize(metrics.count_cells(views.order_predictions(spark, folder), O))
+    cells = kept(metrics.count_cells(views.order_predictions(spark, folder), O))
     return _slice_columns(metrics.slice_metrics(metrics.class_metrics(cells, O), O))
 
 
@@ -207,7 +211,7 @@ def run_ids(spark: SparkSession, folder: str) -> DataFrame:
 # ---- gate ---------------------------------------------------------------------------------
 
 
-def _paired(spark: SparkSession, folder: str) -> DataFrame:
+def _paired(spark: SparkSession, folder: str, unknown: bool = False) -> DataFrame:
     """Each user's runs against the run before, and all first runs against one baseline."""
     result = views.user_result(spark, folder, "IF(r = 5, 'model-b', 'model-a')")
     steps = result.runs.where("r > 1").selectExpr(
@@ -216,7 +220,13 @@ def _paired(spark: SparkSession, folder: str) -> DataFrame:
     firsts = result.runs.where("r = 1").selectExpr(
         "run_id AS candidate", f"'{HOT_BASELINE}' AS baseline"
     )
-    return gate.pair_runs(steps.unionByName(firsts), result.scores())
+    pairs = steps.unionByName(firsts)
+    if unknown:
+        last = result.runs.where("r = 6")
+        pairs = pairs.unionByName(
+            last.selectExpr("run_id AS candidate", "concat(chain, '-v7') AS baseline")
+        )
+    return gate.pair_runs(pairs, result.scores())
 
 
 def class_f1_delta(spark: SparkSession, folder: str) -> DataFrame:
@@ -251,7 +261,8 @@ def gate_reasons(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gate_incomparable(spark: SparkSession, folder: str) -> DataFrame:
-    return gate.gate_incomparable(_paired(spark, folder))
+    """Also the last runs against a seventh run that does not exist."""
+    return gate.gate_incomparable(_paired(spark, folder, unknown=True), E)
 
 
 def promotion_chain(spark: SparkSession, folder: str) -> DataFrame:
@@ -275,7 +286,17 @@ def baseline_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _decoded(spark: SparkSession, folder: str) -> DataFrame:
-    return materialize(validate.decode_lines(views.document_lines(spark, folder)))
+    return validate.decode_lines(views.document_lines(spark, folder))
+
+
+def scan_examples(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines written to files and read back: every line is found again, and judged alike."""
+    path = _scratch(spark, "lines")
+    lines = views.document_lines(spark, folder).repartition(3, "line_no")
+    # Text readers end lines at any line break, which JSON writes as an escape.
+    lines.sortWithinPartitions("line_no").select(F.col("raw").alias("value")).write.text(path)
+    bad = validate.validate_examples(scan_example_files(spark, path), L)
+    return bad.groupBy("violation", "detail").agg(F.count(F.lit(1)).alias("n"))
 
 
 def validate_examples(spark: SparkSession, folder: str) -> DataFrame:
@@ -336,6 +357,27 @@ def repeat_expand(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.repeat_expand(examples, 3).orderBy("doc_id", "repeat")
 
 
+def score_client(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document answered by a client that only measures its prompt."""
+    docs = views.document_examples(spark, folder)
+    rendered = scoring.render_prompts(docs, views.render_prompts_set(spark))
+    answers = scoring.score(rendered, Measuring, "m", max_tokens=9)
+    return answers.select("run_id", "id", "repeat", "content", "prompt_tokens", "completion_tokens")
+
+
+class Measuring:
+    """A client whose answers are a pure function of what it is asked."""
+
+    def complete(self, *, system: str, user: str, model: str, temperature: float, max_tokens: int):
+        return Answer(f"{model}:{len(system)}:{temperature}", len(user), max_tokens)
+
+
+class Answer(NamedTuple):
+    content: str
+    prompt_tokens: int
+    completion_tokens: int
+
+
 def score_replay(spark: SparkSession, folder: str) -> DataFrame:
     """Render, replay recorded completions, look the labels up, parse."""
     examples = views.document_examples(spark, folder)
@@ -352,6 +394,64 @@ def score_replay(spark: SparkSession, folder: str) -> DataFrame:
         "raw_output",
         "prompt_tokens",
         "completion_tokens",
+        "is_recorded",
+    )
+
+
+# ---- stored runs ---------------------------------------------------------------------------
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the one that the session shares."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        raise RuntimeError("this query writes files: set spark.checkpoint.dir to a shared folder")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def run_store_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Six runs stored, two of them read back as records."""
+    store = RunStore(spark, _scratch(spark, "runs"))
+    result = views.event_result(spark, folder)
+    stamped = F.expr("concat('20240201T00000000', right(run_id, 1), 'Z_', run_id)").alias("run_id")
+
+    def renamed(rows: DataFrame) -> DataFrame:
+        return rows.select(stamped, *[name for name in rows.columns if name != "run_id"])
+
+    store.save("class_metrics", renamed(result.class_metrics))
+    store.save("slice_metrics", renamed(result.slice_metrics))
+    runs = result.runs.join(result.totals.drop("model"), "run_id").withColumns(
+        {"timestamp": F.lit("t"), "prompt_fp": F.lit("p"), "params": F.create_map(F.lit("k"), F.lit("v"))}
+    )
+    store.save("runs", renamed(runs))
+    records = store.records("20240201T000000002Z_v2", "20240201T000000005Z_v5")
+    return records.select(
+        "run_id",
+        "prompt_version",
+        "totals.prompt_tokens",
+        F.round("totals.est_cost_usd", 6).alias("est_cost_usd"),
+        F.explode("metrics").alias("slice", "m"),
+    ).select(
+        "run_id",
+        "prompt_version",
+        "prompt_tokens",
+        "est_cost_usd",
+        "slice",
+        F.round("m.macro_f1", 6).alias("macro_f1"),
+        F.round(F.element_at("m.per_class", "click")["f1"], 6).alias("click_f1"),
+    )
+
+
+def baseline_pointer(spark: SparkSession, folder: str) -> DataFrame:
+    """Every user's promotions appended to a store, and the newest pointers read back."""
+    store = RunStore(spark, _scratch(spark, "pointers"))
+    result = views.user_result(spark, folder)
+    scores = result.scores()
+    moves = promotion.baselines(promotion.promotion_chain(scores, E), result.runs)
+    store.move_baselines(moves.where("prompt_version <> 'v1'"))
+    store.move_baselines(moves.where("prompt_version = 'v1'"))
+    return promotion.baseline_lookup(store.pointers(), scores).select(
+        "chain", "prompt_version", "run_id", _r("macro_f1")
     )
 
 
@@ -392,4 +492,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "render_prompts": render_prompts,
     "repeat_expand": repeat_expand,
     "score_replay": score_replay,
+    "score_client": score_client,
+    "scan_examples": scan_examples,
+    "run_store_roundtrip": run_store_roundtrip,
+    "baseline_pointer": baseline_pointer,
 }

@@ -10,7 +10,7 @@ from tallyspark.functions.parsing import parse_predictions
 from tallyspark.operators.fingerprint import dataset_fingerprint, prompt_registry
 from tallyspark.operators.validate import PROMPT_FIELDS
 from tallyspark.plans.evaluate import EvalResult, run_summary
-from tallyspark.sources.checkpoints import materialize
+from tallyspark.sources.checkpoints import kept
 from tallyspark.sources.tables import read_table
 from tallyspark.task import TaskSpec
 
@@ -122,12 +122,12 @@ def user_runs(spark: SparkSession, folder: str, model: str = "'model-a'") -> Dat
 
 
 def event_result(spark: SparkSession, folder: str) -> EvalResult:
-    runs = materialize(event_runs(spark, folder))
+    runs = kept(event_runs(spark, folder))
     return run_summary(runs, event_predictions(spark, folder), EVENT_TASK, PRICES)
 
 
 def user_result(spark: SparkSession, folder: str, model: str = "'model-a'") -> EvalResult:
-    runs = materialize(user_runs(spark, folder, model))
+    runs = kept(user_runs(spark, folder, model))
     return run_summary(runs, event_predictions(spark, folder, by_user=True), EVENT_TASK, PRICES)
 
 

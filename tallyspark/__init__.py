@@ -1,5 +1,9 @@
 """Evaluation analytics for label-producing models, as Spark jobs over tables."""
 
+import sys
+
+from pyspark.cloudpickle import register_pickle_by_value
+
 from tallyspark.operators.gate import GateConfig
 from tallyspark.plans.evaluate import EvalResult, evaluate, run_summary
 from tallyspark.plans.promote import Outcome, run_and_gate
@@ -18,3 +22,6 @@ __all__ = [
     "run_and_gate",
     "run_summary",
 ]
+
+# Python steps travel with their code, so executors need not have this package on their path.
+register_pickle_by_value(sys.modules[__name__])

@@ -6,7 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Spark accepts single-quoted JSON by default; the contract does not.
-STRICT_OPTIONS = {"allowSingleQuotes": "false"}
+#: Its limits on the length of numbers and texts would make valid lines invalid.
+_NO_LIMIT = str(2**31 - 1)
+STRICT_OPTIONS = {"allowSingleQuotes": "false", "maxNumLen": _NO_LIMIT, "maxStringLen": _NO_LIMIT}
 
 #: Number-like tokens that Spark reads as infinities but that are not JSON constants here.
 _FOREIGN_INFINITY = r"[+-]INF|\+Infinity"

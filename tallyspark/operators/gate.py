@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.operators.joins import lookup
+from tallyspark.operators.joins import fits_broadcast
 from tallyspark.task import OVERALL, TaskSpec
 
 PROMOTE, REVERT, INCOMPARABLE = "PROMOTE", "REVERT", "INCOMPARABLE"
@@ -36,42 +36,62 @@ def run_scores(runs: DataFrame, per_slice: DataFrame, costs: DataFrame) -> DataF
     return runs.join(overall, "run_id").join(spent, "run_id")
 
 
+#: What a comparison reads of a run.
+FACTS = ("dataset_fp", "model", "macro_f1", "parse_failure_rate", "class_f1", "latency_ms", "est_cost_usd")
+
+
+def facts() -> Column:
+    return F.struct(*FACTS)
+
+
 def pair_runs(pairs: DataFrame, scores: DataFrame) -> DataFrame:
     """Look up both runs of each ``(candidate, baseline)`` pair as structs ``c`` and ``b``.
 
-    Many candidates may share one baseline, hence the skew-proof lookup.
+    Every pair stays; a run without scores is a null struct. Scores within the broadcast bounds
+    (they are measured) are broadcast, so the pairs do not move. Larger ones meet the pairs in two
+    left joins, whose skewed partitions (many candidates may share one baseline) Spark splits.
     """
-    packed = scores.select(
-        "run_id",
-        F.struct(
-            "dataset_fp",
-            "model",
-            "macro_f1",
-            "parse_failure_rate",
-            "class_f1",
-            "latency_ms",
-            "est_cost_usd",
-        ).alias("run"),
+    packed = scores.select("run_id", facts().alias("run"))
+    if fits_broadcast(packed):
+        packed = F.broadcast(packed)
+    for key, name in (("candidate", "c"), ("baseline", "b")):
+        pairs = pairs.join(packed.withColumnsRenamed({"run_id": key, "run": name}), key, "left")
+    return pairs
+
+
+def cause(task: TaskSpec) -> Column:
+    """Why the runs ``c`` and ``b`` must not be compared; null if they may be."""
+
+    def either(test) -> Column:
+        return test(F.col("c")) | test(F.col("b"))
+
+    def lacks_label(run: Column) -> Column:
+        have = F.coalesce(F.map_keys(run["class_f1"]), F.array().cast("array<string>"))
+        return F.size(F.array_except(_labels(task), have)) > 0
+
+    return (
+        F.when(either(lambda run: run.isNull()), "unknown run")
+        .when(either(lambda run: run["dataset_fp"].isNull()), "unknown dataset")
+        .when(either(lambda run: run["model"].isNull()), "unknown model")
+        .when(F.col("c.dataset_fp") != F.col("b.dataset_fp"), "different dataset")
+        .when(F.col("c.model") != F.col("b.model"), "different model")
+        .when(either(lacks_label), "different labels")
     )
 
-    def side(rows: DataFrame, key: str, name: str, other: str) -> DataFrame:
-        dim = packed.withColumnsRenamed({"run_id": key, "run": name})
-        return lookup(rows, dim, key, (other,), measure=False)
 
-    both = side(side(pairs, "candidate", "c", "baseline"), "baseline", "b", "candidate")
-    return both.where(F.col("c").isNotNull() & F.col("b").isNotNull())
+def is_comparable(task: TaskSpec) -> Column:
+    """Known runs on the same data, with the same model and labels; else there is no verdict."""
+    return cause(task).isNull()
 
 
-def is_comparable() -> Column:
-    """Same data and same model; anything else has no meaningful verdict."""
-    same_data = F.col("c.dataset_fp") == F.col("b.dataset_fp")
-    return same_data & (F.col("c.model") == F.col("b.model"))
+def _labels(task: TaskSpec) -> Column:
+    return F.lit(list(task.classes))
 
 
 def _drops(task: TaskSpec) -> Column:
     """F1 lost per label, from baseline to candidate."""
     return F.transform(
-        F.array(*[F.lit(label) for label in task.classes]),
+        _labels(task),
         lambda label: F.struct(
             (F.col("b.class_f1")[label] - F.col("c.class_f1")[label]).alias("drop"),
             label.alias("label"),
@@ -82,7 +102,7 @@ def _drops(task: TaskSpec) -> Column:
 def class_f1_delta(paired: DataFrame, task: TaskSpec) -> DataFrame:
     """Per pair and label the F1 drop; ``is_worst`` marks the largest (ties: last label)."""
     return (
-        paired.where(is_comparable())
+        paired.where(is_comparable(task))
         .withColumn("_drops", _drops(task))
         .withColumn("_worst", F.array_max("_drops"))
         .select("candidate", "baseline", F.explode("_drops").alias("d"), "_worst")
@@ -100,79 +120,89 @@ def _reason(passed: Column, text: Column) -> Column:
     return F.concat(F.when(passed, "[PASS] ").otherwise("[FAIL] "), text)
 
 
-def _rule(name: str, passed: Column, value: Column, limit: float, text: Column) -> Column:
-    return F.struct(
-        F.lit(name).alias("rule"),
-        passed.alias("passed"),
-        value.alias("value"),
-        F.lit(float(limit)).alias("limit"),
-        _reason(passed, text).alias("reason"),
-    )
+def rule_values(new, old, drop, growth) -> dict:
+    """The number that each rule looks at.
+
+    The one definition of the rules, for columns (``new`` and ``old`` are structs) and for arrays
+    (dictionaries): ``growth(new, old)`` is their quotient, or what passes any limit if the
+    baseline is 0, which cannot be exceeded.
+    """
+    return {
+        "macro_f1_gain": new["macro_f1"] - old["macro_f1"],
+        "class_f1_drop": drop,
+        "parse_rate": 1.0 - new["parse_failure_rate"],
+        "cost": growth(new["est_cost_usd"], old["est_cost_usd"]),
+        "latency": growth(new["latency_ms"], old["latency_ms"]),
+    }
+
+
+def rule_limits(cfg: GateConfig) -> dict[str, float]:
+    return {
+        "macro_f1_gain": float(cfg.min_macro_f1_gain),
+        "class_f1_drop": float(cfg.max_per_class_f1_drop),
+        "parse_rate": float(cfg.min_parse_rate),
+        "cost": float(cfg.max_cost_multiplier),
+        "latency": float(cfg.max_latency_multiplier),
+    }
 
 
-def _multiplier_rule(name: str, title: str, field: str, unit: str, limit: float) -> Column:
-    """Growth over the baseline; a baseline of nothing cannot be exceeded."""
-    new, old = F.col(f"c.{field}"), F.col(f"b.{field}")
-    growth = F.when(old > 0, new / old)
-    free = F.format_string(f"{title}: skipped, baseline is 0 (candidate {unit})", new)
-    text = F.format_string(f"{title}: %.2fx (max %.2fx)", growth, F.lit(float(limit)))
-    passed = F.coalesce(growth <= F.lit(float(limit)), F.lit(True))
-    return _rule(name, passed, growth, limit, F.when(old > 0, text).otherwise(free))
+def rule_passes(name: str, value, limit: float):
+    """Gain and parse rate must reach their limits; the others must not exceed theirs."""
+    return value >= limit if name in ("macro_f1_gain", "parse_rate") else value <= limit
+
+
+def column_growth(new: Column, old: Column) -> Column:
+    return F.when(old > 0, new / old)
 
 
 def rules(worst: Column, cfg: GateConfig) -> Column:
     """The five rule results of a pair, each with the numbers behind it."""
-    new, old = F.col("c.macro_f1"), F.col("b.macro_f1")
-    gain = new - old
-    min_gain = F.lit(float(cfg.min_macro_f1_gain))
-    max_drop = F.lit(float(cfg.max_per_class_f1_drop))
-    parsed = F.lit(1.0) - F.col("c.parse_failure_rate")
-    min_parsed = F.lit(float(cfg.min_parse_rate))
-    return F.array(
-        _rule(
-            "macro_f1_gain",
-            gain >= min_gain,
-            gain,
-            cfg.min_macro_f1_gain,
-            F.format_string(
-                "macro_f1 gain: %+.4f, from %.4f to %.4f (min %+.4f)", gain, old, new, min_gain
-            ),
+    new, old = F.col("c"), F.col("b")
+    values = rule_values(new, old, worst["drop"], column_growth)
+    limits = rule_limits(cfg)
+    lit = {name: F.lit(limit) for name, limit in limits.items()}
+    texts = {
+        "macro_f1_gain": F.format_string(
+            "macro_f1 gain: %+.4f, from %.4f to %.4f (min %+.4f)",
+            values["macro_f1_gain"],
+            old["macro_f1"],
+            new["macro_f1"],
+            lit["macro_f1_gain"],
         ),
-        _rule(
-            "class_f1_drop",
-            worst["drop"] <= max_drop,
+        "class_f1_drop": F.format_string(
+            "per-class f1 drop: %+.4f for '%s' (max %.4f)",
             worst["drop"],
-            cfg.max_per_class_f1_drop,
-            F.format_string(
-                "per-class f1 drop: %+.4f for '%s' (max %.4f)",
-                worst["drop"],
-                worst["label"],
-                max_drop,
-            ),
-        ),
-        _rule(
-            "parse_rate",
-            parsed >= min_parsed,
-            parsed,
-            cfg.min_parse_rate,
-            F.format_string("parse rate: %.4f (min %.4f)", parsed, min_parsed),
+            worst["label"],
+            lit["class_f1_drop"],
         ),
-        _multiplier_rule(
-            "cost", "cost multiplier", "est_cost_usd", "$%.6f", cfg.max_cost_multiplier
+        "parse_rate": F.format_string(
+            "parse rate: %.4f (min %.4f)", values["parse_rate"], lit["parse_rate"]
         ),
-        _multiplier_rule(
-            "latency", "latency multiplier", "latency_ms", "%.0fms", cfg.max_latency_multiplier
-        ),
-    )
+    }
+    for name, field, unit in (("cost", "est_cost_usd", "$%.6f"), ("latency", "latency_ms", "%.0fms")):
+        title = f"{name} multiplier"
+        texts[name] = F.when(
+            old[field] > 0,
+            F.format_string(f"{title}: %.2fx (max %.2fx)", values[name], lit[name]),
+        ).otherwise(F.format_string(f"{title}: skipped, baseline is 0 (candidate {unit})", new[field]))
+
+    def result(name: str) -> Column:
+        passed = F.coalesce(rule_passes(name, values[name], lit[name]), values[name].isNull())
+        return F.struct(
+            F.lit(name).alias("rule"),
+            passed.alias("passed"),
+            values[name].alias("value"),
+            lit[name].alias("limit"),
+            _reason(passed, texts[name]).alias("reason"),
+        )
+
+    return F.array(*map(result, values))
 
 
 def judge(paired: DataFrame, task: TaskSpec, cfg: GateConfig) -> DataFrame:
     """Verdict of every pair: with its rule results, or with the cause why it has none."""
-    cause = F.when(F.col("c.dataset_fp") != F.col("b.dataset_fp"), "different dataset").when(
-        F.col("c.model") != F.col("b.model"), "different model"
-    )
     return (
-        paired.withColumn("cause", cause)
+        paired.withColumn("cause", cause(task))
         .withColumn("_worst", F.array_max(_drops(task)))
         .withColumn("rules", F.when(F.col("cause").isNull(), rules(F.col("_worst"), cfg)))
         .select(
@@ -192,7 +222,7 @@ def gate_decisions(
     paired: DataFrame, task: TaskSpec, cfg: GateConfig = GateConfig()
 ) -> DataFrame:
     """Verdict and rule results of every comparable pair."""
-    return judge(paired.where(is_comparable()), task, cfg).drop("cause")
+    return judge(paired.where(is_comparable(task)), task, cfg).drop("cause")
 
 
 def gate_reasons(decisions: DataFrame) -> DataFrame:
@@ -202,15 +232,12 @@ def gate_reasons(decisions: DataFrame) -> DataFrame:
     ).select("candidate", "baseline", "verdict", "position", "r.*")
 
 
-def gate_incomparable(paired: DataFrame) -> DataFrame:
+def gate_incomparable(paired: DataFrame, task: TaskSpec) -> DataFrame:
     """Pairs that must not be compared, and why."""
-    return paired.where(~is_comparable()).select(
-        "candidate",
-        "baseline",
-        F.lit(INCOMPARABLE).alias("verdict"),
-        F.when(F.col("c.dataset_fp") != F.col("b.dataset_fp"), "different dataset")
-        .otherwise("different model")
-        .alias("reason"),
+    return (
+        paired.withColumn("reason", cause(task))
+        .where(F.col("reason").isNotNull())
+        .select("candidate", "baseline", F.lit(INCOMPARABLE).alias("verdict"), "reason")
     )
 
 
@@ -228,8 +255,6 @@ def evaluate_gate(
     )
     paired = pair_runs(pair, both)
     decision = judge(paired, task, cfg).first()
-    if decision is None:
-        raise ValueError(f"no scores for {candidate} or {baseline}")
     if decision["verdict"] == INCOMPARABLE:
         raise ValueError(f"cannot compare {candidate} with {baseline}: {decision['cause']}")
     return decision["verdict"], [rule["reason"] for rule in decision["rules"]]

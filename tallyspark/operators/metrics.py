@@ -56,9 +56,8 @@ def count_cells(predictions: DataFrame, task: TaskSpec) -> DataFrame:
         F.lit("true label outside the label set: "), F.coalesce("y_true", F.lit("null"))
     )
     known = F.col("y_true").isin(list(task.classes))
-    return cells.withColumn(
-        "y_true", F.when(known, F.col("y_true")).otherwise(F.raise_error(message))
-    )
+    # A filter, so that the check stays whichever columns are read afterwards.
+    return cells.where(F.when(known, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def _slices_of(difficulty: Column, task: TaskSpec) -> Column:
@@ -69,7 +68,7 @@ def _slices_of(difficulty: Column, task: TaskSpec) -> Column:
 
 
 def _literals(values: tuple[str, ...]) -> Column:
-    return F.array(*[F.lit(value) for value in values])
+    return F.lit(list(values))
 
 
 def confusion_long(

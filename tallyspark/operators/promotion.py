@@ -8,30 +8,66 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspark import schemas
-from tallyspark.operators.gate import INCOMPARABLE, PROMOTE, REVERT, GateConfig
+from tallyspark.operators.gate import (
+    INCOMPARABLE,
+    PROMOTE,
+    REVERT,
+    GateConfig,
+    cause,
+    column_growth,
+    facts,
+    rule_limits,
+    rule_passes,
+    rule_values,
+)
 from tallyspark.task import TaskSpec
 
 BOOTSTRAP = "BOOTSTRAP"
 
 
-def _growth_ok(new: np.ndarray, old: float, limit: float) -> np.ndarray:
-    return new / old <= limit if old > 0 else np.full(len(new), True)
+def _array_growth(new: np.ndarray, old: float) -> np.ndarray:
+    return new / old if old > 0 else np.full(len(new), -np.inf)
 
 
-def _judge(runs: dict[str, np.ndarray], base: dict, cfg: GateConfig) -> tuple:
-    """The gate for many runs against one baseline; tests hold it to ``gate_decisions``."""
-    comparable = (runs["dataset_fp"] == base["dataset_fp"]) & (runs["model"] == base["model"])
-    passed = (
-        comparable
-        & (runs["macro_f1"] - base["macro_f1"] >= cfg.min_macro_f1_gain)
-        & ((base["f1"] - runs["f1"]).max(axis=1) <= cfg.max_per_class_f1_drop)
-        & (1.0 - runs["parse_failure_rate"] >= cfg.min_parse_rate)
-        & _growth_ok(runs["est_cost_usd"], base["est_cost_usd"], cfg.max_cost_multiplier)
-        & _growth_ok(runs["latency_ms"], base["latency_ms"], cfg.max_latency_multiplier)
-    )
-    return comparable, passed
+def _promotes(runs: dict[str, np.ndarray], base: dict, cfg: GateConfig) -> np.ndarray:
+    """The gate's rules for many comparable runs against one baseline."""
+    values = rule_values(runs, base, (base["f1"] - runs["f1"]).max(axis=1), _array_growth)
+    limits = rule_limits(cfg)
+    return np.logical_and.reduce([rule_passes(k, v, limits[k]) for k, v in values.items()])
+
+
+def _fold(cfg: GateConfig):
+    """Streams runs sorted by chain and time and returns the promotions; keeps one baseline."""
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        chain, base = None, None
+        for batch in batches:
+            runs = {name: batch[name].to_numpy() for name in batch.columns if name != "f1"}
+            runs["f1"] = np.stack(batch["f1"].to_numpy())
+            moved = np.zeros(len(batch), bool)
+            turns = np.flatnonzero(runs["chain"][1:] != runs["chain"][:-1]) + 1
+            for start, stop in zip([0, *turns], [*turns, len(batch)]):
+                if runs["chain"][start] != chain:
+                    # A chain's first row is its bootstrap.
+                    chain = runs["chain"][start]
+                    base = {name: values[start] for name, values in runs.items()}
+                    start += 1
+                while start < stop:
+                    # All runs up to the next promotion are judged by the same baseline.
+                    rest = {name: values[start:stop] for name, values in runs.items()}
+                    passed = _promotes(rest, base, cfg)
+                    if not passed.any():
+                        break
+                    start += int(passed.argmax())
+                    moved[start] = True
+                    base = {name: values[start] for name, values in runs.items()}
+                    start += 1
+            yield batch.loc[moved, ["chain", "ts", "run_id"]]
+
+    return fold
 
 
 def promotion_chain(
@@ -40,62 +76,70 @@ def promotion_chain(
     """Fold each chain's runs in time order: ``chain, run_id, baseline_run_id, verdict,
     next_baseline_run_id``.
 
-    The first run of a chain becomes its baseline, later ones only by promotion. A step depends
-    on the one before, so a chain is read in order by one task; there is one row per *run*, and
-    chains are independent. Spark sorts (and spills); the fold streams batches and keeps one
-    baseline, so a chain of any length fits in memory. Within a batch the next promotion is found
-    by array operations. ``scores`` needs ``chain`` and ``ts``.
+    The first run of a chain becomes its baseline, later ones only by promotion. All baselines of
+    a chain share data, model and labels with its first run, so comparability is settled by that
+    run. A run that fails the parse rate can never be promoted; with a positive minimum gain the
+    baseline's macro F1 only rises, so neither can one that is not above the first run's by it.
+    Only what is left is folded in order, by a task per chain that streams it and keeps
+    one baseline; only promotions come back. They are few (at most 1 / gain in a chain),
+    travel as one array per chain, and give every run its baseline where it stands. ``scores``
+    needs ``chain`` and ``ts``.
     """
-    label_f1 = F.array(*[F.col("class_f1")[label] for label in task.classes])
+    runs = scores.select("chain", "ts", "run_id", facts().alias("c"))
+    place = F.struct("ts", "run_id")
+    first = runs.groupBy("chain").agg(F.min_by(F.struct("ts", "run_id", "c"), place).alias("boot"))
+    runs = (
+        runs.join(first, "chain")
+        .withColumn("b", F.col("boot.c"))
+        .withColumn("is_first", F.col("run_id") == F.col("boot.run_id"))
+        .withColumn("cause", cause(task))
+    )
+    values = rule_values(F.col("c"), F.col("b"), F.lit(0.0), column_growth)
+    limits = rule_limits(cfg)
+    settled = ["parse_rate", *(["macro_f1_gain"] if cfg.min_macro_f1_gain > 0 else [])]
+    possible = F.col("cause").isNull()
+    for name in settled:
+        possible &= rule_passes(name, values[name], F.lit(limits[name]))
+    label_f1 = F.transform(F.lit(list(task.classes)), lambda label: F.col("c.class_f1")[label])
     ordered = (
-        scores.select(
+        runs.where(F.col("is_first") | possible)
+        .select(
             "chain",
             "ts",
             "run_id",
-            "dataset_fp",
-            "model",
-            "macro_f1",
-            "parse_failure_rate",
-            "est_cost_usd",
-            "latency_ms",
-            label_f1.alias("f1"),
+            *[f"c.{name}" for name in ("macro_f1", "parse_failure_rate", "est_cost_usd", "latency_ms")],
+            F.when(F.col("cause").isNull(), label_f1)
+            .otherwise(F.lit([0.0] * len(task.classes)))
+            .alias("f1"),
         )
         .repartition("chain")
         .sortWithinPartitions("chain", "ts", "run_id")
     )
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chain, base = None, None
-        for batch in batches:
-            runs = {name: batch[name].to_numpy() for name in batch.columns if name != "f1"}
-            runs["f1"] = np.stack(batch["f1"].to_numpy())
-            size = len(batch)
-            out = {name: np.full(size, None, object) for name in ("before", "verdict", "after")}
-            turns = np.flatnonzero(runs["chain"][1:] != runs["chain"][:-1]) + 1
-            for start, stop in zip([0, *turns], [*turns, size]):
-                if runs["chain"][start] != chain:
-                    chain, base = runs["chain"][start], None
-                while start < stop:
-                    # All runs up to the next promotion are judged by the same baseline.
-                    move = start
-                    if base is not None:
-                        rest = {name: values[start:stop] for name, values in runs.items()}
-                        comparable, passed = _judge(rest, base, cfg)
-                        move = start + int(passed.argmax()) if passed.any() else stop
-                        out["verdict"][start:move] = np.where(
-                            comparable[: move - start], REVERT, INCOMPARABLE
-                        )
-                        out["before"][start : min(move + 1, stop)] = base["run_id"]
-                        out["after"][start:move] = base["run_id"]
-                    if move < stop:
-                        out["verdict"][move] = BOOTSTRAP if base is None else PROMOTE
-                        base = {name: values[move] for name, values in runs.items()}
-                        out["after"][move] = base["run_id"]
-                    start = move + 1
-            columns = (runs["chain"], runs["run_id"], *out.values())
-            yield pd.DataFrame(dict(zip(schemas.PROMOTION.names, columns)))
-
-    return ordered.mapInPandas(fold, schemas.PROMOTION)
+    kept = T.StructType([scores.schema[name] for name in ("chain", "ts", "run_id")])
+    promoted = ordered.mapInPandas(_fold(cfg), kept)
+
+    moves = promoted.groupBy("chain").agg(F.collect_list(place).alias("moves"))
+    marked = (
+        runs.select("chain", "ts", "run_id", "is_first", "cause", "boot")
+        .join(moves, "chain", "left")
+        .withColumn("moves", F.coalesce("moves", F.array().cast(moves.schema["moves"].dataType)))
+        .withColumn("at", place)
+        .withColumn("latest", F.array_max(F.filter("moves", lambda move: move < F.col("at"))))
+    )
+    before = F.when(~F.col("is_first"), F.coalesce("latest.run_id", "boot.run_id"))
+    verdict = (
+        F.when(F.col("is_first"), BOOTSTRAP)
+        .when(F.col("cause").isNotNull(), INCOMPARABLE)
+        .when(F.array_contains("moves", F.col("at")), PROMOTE)
+        .otherwise(REVERT)
+    )
+    moved = F.col("verdict").isin(BOOTSTRAP, PROMOTE)
+    return (
+        marked.withColumn("baseline_run_id", before)
+        .withColumn("verdict", verdict)
+        .withColumn("next_baseline_run_id", F.when(moved, F.col("run_id")).otherwise(F.col("baseline_run_id")))
+        .select(*schemas.PROMOTION.names)
+    )
 
 
 def baselines(decisions: DataFrame, runs: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Any, Protocol
 
 import pandas as pd
@@ -12,17 +13,13 @@ from pyspark.sql import functions as F
 
 from tallyspark import schemas
 from tallyspark.functions.templates import render
-from tallyspark.operators.joins import HOT_ROWS, fits_broadcast, lookup
+from tallyspark.operators.joins import BROADCAST_BYTES, HOT_ROWS, lookup
 
 #: Exactly these columns reach a scorer. Labels and notes never do.
 SCORER_INPUT = ("run_id", "id", "repeat", "system", "user")
 
-#: Registries up to this many prompts are planned by name; larger ones by hash bucket.
-MAX_NAMED_PROMPTS = 1_000
-_PROMPT_BUCKETS = 64
-_SALTS = 256
-
 
+# Names and defaults of the client's call and of ``score``.
 class Client(Protocol):
     """Anything that answers one prompt. Retries and rate limits are the client's concern."""
 
@@ -40,30 +37,32 @@ def repeat_expand(examples: DataFrame, n_repeats: int = 1) -> DataFrame:
 
 
 def plan_runs(
-    examples: DataFrame, prompts: DataFrame, max_named_prompts: int = MAX_NAMED_PROMPTS
+    examples: DataFrame, prompts: DataFrame, chunk_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Every example once per prompt version, with that prompt's columns.
 
-    The usual registry is small: its versions become literals, each example is planned for each
-    of them, and the prompt texts arrive by a broadcast whose size was measured. A larger one is
-    met bucket by bucket in a salted shuffle, so that a bucket's rows spread over many tasks.
+    The examples stay where they are. The prompts, whose texts are measured first, are broadcast
+    in chunks of about ``chunk_bytes``, and each example is planned for each version of a chunk. A
+    version that stands for several prompts is an error.
     """
-    if fits_broadcast(prompts, max_rows=max_named_prompts):
-        versions = sorted(row["version"] for row in prompts.select("version").collect())
+    width = sum((F.octet_length(F.to_json(F.struct(F.col(c)))) for c in prompts.columns), F.lit(0))
+    rows, versions, size = prompts.agg(
+        F.count(F.lit(1)), F.countDistinct("version"), F.sum(width.cast("long"))
+    ).first()
+    if rows != versions:
+        raise ValueError("prompt versions must be unique and not null")
+    chunks = max(1, -(-(size or 0) // chunk_bytes))
+    chunk = F.pmod(F.xxhash64("version"), F.lit(chunks))
+
+    def planned(k: int) -> DataFrame:
+        part = prompts.where(chunk == k)
+        versions = sorted(row["version"] for row in part.select("version").collect())
         plan = examples.withColumn(
-            "version", F.explode(F.array(*[F.lit(v) for v in versions]).cast("array<string>"))
+            "version", F.explode(F.lit(versions) if versions else F.array().cast("array<string>"))
         )
-        return plan.join(F.broadcast(prompts), "version", "inner")
+        return plan.join(F.broadcast(part), "version")
 
-    buckets = F.sequence(F.lit(0), F.lit(_PROMPT_BUCKETS - 1))
-    salts = F.sequence(F.lit(0), F.lit(_SALTS - 1))
-    planned = examples.withColumn(
-        "_salt", F.pmod(F.xxhash64("id", "repeat"), F.lit(_SALTS)).cast("int")
-    ).withColumn("_bucket", F.explode(buckets))
-    offered = prompts.withColumn(
-        "_bucket", F.pmod(F.xxhash64("version"), F.lit(_PROMPT_BUCKETS)).cast("int")
-    ).withColumn("_salt", F.explode(salts))
-    return planned.join(offered, ["_bucket", "_salt"], "inner").drop("_bucket", "_salt")
+    return reduce(DataFrame.unionByName, map(planned, range(chunks)))
 
 
 def render_prompts(
@@ -145,12 +144,47 @@ def with_defaults(completions: DataFrame) -> DataFrame:
 
 
 def score_replay(rendered: DataFrame, completions: DataFrame) -> DataFrame:
-    """Recorded completions of the planned rows, one output per input that has one.
+    """Recorded completions of the planned rows: one output per input.
 
-    ``unpaired_predictions`` tells which inputs have no recording and the other way round.
+    An input without a recording stays, with an empty output and ``is_recorded`` false.
+    ``replay_strictly`` fails instead.
     """
     keys = ["run_id", "id", "repeat"]
-    return rendered.select(*keys).join(with_defaults(completions), keys, "inner")
+    answers = with_defaults(completions).withColumn("is_recorded", F.lit(True))
+    found = rendered.select(*keys).join(answers, keys, "left")
+    zero = F.lit(0).cast("long")
+    return found.select(
+        *keys,
+        F.coalesce("raw_output", F.lit("")).alias("raw_output"),
+        F.coalesce("prompt_tokens", zero).alias("prompt_tokens"),
+        F.coalesce("completion_tokens", zero).alias("completion_tokens"),
+        F.coalesce("latency_ms", F.lit(0.0)).alias("latency_ms"),
+        F.coalesce("is_recorded", F.lit(False)).alias("is_recorded"),
+    )
+
+
+def replay_strictly(rendered: DataFrame, completions: DataFrame) -> DataFrame:
+    """``score_replay`` that fails on a key without exactly one input and one recording.
+
+    Inputs and recordings meet in one shuffle, which pairs and counts them at once.
+    """
+    keys = ["run_id", "id", "repeat"]
+    answer = F.struct("raw_output", "prompt_tokens", "completion_tokens", "latency_ms")
+    right = with_defaults(completions).select(
+        *keys, F.lit(0).alias("_in"), F.lit(1).alias("_out"), answer.alias("_answer")
+    )
+    none = F.lit(None).cast(right.schema["_answer"].dataType)
+    left = rendered.select(*keys, F.lit(1).alias("_in"), F.lit(0).alias("_out"), none.alias("_answer"))
+    met = left.unionByName(right).groupBy(*keys).agg(
+        F.sum("_in").alias("_in"), F.sum("_out").alias("_out"), F.max("_answer").alias("_answer")
+    )
+    message = F.concat(
+        F.lit("not exactly one recorded completion for "),
+        F.to_json(F.struct(*keys, F.col("_in").alias("n_inputs"), F.col("_out").alias("n_outputs"))),
+    )
+    paired = (F.col("_in") == 1) & (F.col("_out") == 1)
+    sound = met.where(F.when(paired, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    return sound.select(*keys, "_answer.*")
 
 
 def attach_examples(

@@ -15,10 +15,11 @@ from tallyspark.functions.json_text import (
     strip_space,
 )
 from tallyspark.functions.templates import template_is_supported
-from tallyspark.operators.joins import HOT_ROWS, lookup
-from tallyspark.sources.checkpoints import materialize
+from tallyspark.operators.joins import HOT_ROWS, fits_broadcast, lookup
+from tallyspark.sources.checkpoints import kept
 from tallyspark.task import TaskSpec
 
+# The fields of the input contract.
 #: Required fields of an example line, in the order in which absences are reported.
 REQUIRED_FIELDS = ("id", "text", "label", "difficulty")
 #: Required fields of a prompt file, and those that must also hold text.
@@ -35,9 +36,7 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     """Strictly decode ``raw``; all other columns are kept.
 
     Adds the ``shape`` of the line, the absent required fields, the fields whose value has the
-    wrong type, and the five fields. Blank lines stay, as they count in line numbers. Parsing is
-    the expensive part of a load; ``materialize`` the result before checking it, since the checks
-    read ids twice.
+    wrong type, and the five fields. Blank lines stay, as they count in line numbers.
     """
     body = F.col("raw")
     # Two wrapped parses make the strictness test (see is_strict_json) and deliver the fields.
@@ -112,10 +111,10 @@ def mark_duplicates(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``is_duplicate``: the id was already seen on an earlier line.
 
     Counting per id combines on the map side; a window over the id would instead sort all copies
-    of one id in one task. Repeated ids are few in a sound dataset; written out and measured, they
-    are broadcast and the lines do not move. The counts also name the hot ids for the other case.
+    of one id in one task. Repeated ids are few in a sound dataset; kept and measured, they are
+    broadcast and the lines do not move. The counts also name the hot ids for the other case.
     """
-    repeats = materialize(repeated_ids(rows))
+    repeats = kept(repeated_ids(rows))
     hot = repeats.where(F.col("copies") >= hot_rows)
     marked = lookup(
         rows, repeats.drop("copies"), "id", ("file", "line_no"), hot_dim=hot.drop("copies")
@@ -138,15 +137,20 @@ def duplicate_ids(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 def check_rows(decoded: DataFrame, task: TaskSpec, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Name the first violation of every decoded line (null for a good line).
 
+    Of the texts only whether they are blank is read, so the ids, which are looked at twice, are
+    kept without them: ``file, line_no, violation, detail``.
+
     Precedence: invalid JSON, not an object, missing field, wrong type, duplicate id, unknown
     label, empty text, invalid difficulty. A later copy of an id counts as a duplicate even if
     the first copy has a violation of its own.
     """
-    rows = mark_duplicates(decoded.where(F.col("shape") != BLANK), hot_rows)
+    no_text = F.coalesce(is_blank(F.col("text")), F.lit(True)).alias("no_text")
+    narrow = ["file", "line_no", "shape", "missing", "wrong_type", "id", "label", "difficulty"]
+    slim = kept(decoded.where(F.col("shape") != BLANK).select(*narrow, no_text))
+    rows = mark_duplicates(slim, hot_rows)
     # The good values are non-null here: nulls of label and difficulty are outside their sets.
     bad_label = ~F.coalesce(F.col("label").isin(list(task.classes)), F.lit(False))
     bad_difficulty = ~F.coalesce(F.col("difficulty").isin(list(task.slices)), F.lit(False))
-    no_text = F.coalesce(is_blank(F.col("text")), F.lit(True))
     violation = (
         F.when(F.col("shape") == INVALID, "invalid JSON")
         .when(F.col("shape") == OTHER, "not a JSON object")
@@ -154,7 +158,7 @@ def check_rows(decoded: DataFrame, task: TaskSpec, hot_rows: int = HOT_ROWS) ->
         .when(F.size("wrong_type") > 0, "wrong type")
         .when(F.col("is_duplicate"), "duplicate id")
         .when(bad_label, "unknown label")
-        .when(no_text, "empty text")
+        .when(F.col("no_text"), "empty text")
         .when(bad_difficulty, "invalid difficulty")
     )
     detail = (
@@ -164,7 +168,8 @@ def check_rows(decoded: DataFrame, task: TaskSpec, hot_rows: int = HOT_ROWS) ->
         .when(F.col("violation") == "unknown label", F.col("label"))
         .when(F.col("violation") == "invalid difficulty", F.col("difficulty"))
     )
-    return rows.withColumn("violation", violation).withColumn("detail", detail)
+    judged = rows.withColumn("violation", violation).withColumn("detail", detail)
+    return judged.select("file", "line_no", "violation", "detail")
 
 
 def validate_examples(decoded: DataFrame, task: TaskSpec) -> DataFrame:
@@ -178,10 +183,12 @@ def validate_examples(decoded: DataFrame, task: TaskSpec) -> DataFrame:
 
 def valid_examples(decoded: DataFrame, task: TaskSpec) -> DataFrame:
     """The good lines as examples."""
-    return (
-        check_rows(decoded, task)
-        .where(F.col("violation").isNull())
-        .select("file", "line_no", *REQUIRED_FIELDS, "note")
+    bad = kept(validate_examples(decoded, task).select("file", "line_no"))
+    good = decoded.where(F.col("shape") != BLANK)
+    # Bad lines are few in a sound dataset, and then the texts do not move.
+    few = F.broadcast(bad) if fits_broadcast(bad) else bad
+    return good.join(few, ["file", "line_no"], "left_anti").select(
+        "file", "line_no", *REQUIRED_FIELDS, "note"
     )
 
 

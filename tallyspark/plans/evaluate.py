@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -19,13 +20,12 @@ from tallyspark.operators.scoring import (
     Client,
     attach_examples,
     render_prompts,
+    replay_strictly,
     score,
-    score_replay,
-    unpaired_predictions,
     with_defaults,
 )
 from tallyspark.operators.totals import run_cost, run_totals
-from tallyspark.sources.checkpoints import materialize
+from tallyspark.sources.checkpoints import kept
 from tallyspark.sources.run_store import RunStore
 from tallyspark.task import DEFAULT_PRICES, TaskSpec
 
@@ -42,8 +42,8 @@ class EvalResult:
     totals: DataFrame
 
     def scores(self) -> DataFrame:
-        """What the gate compares, one row per run; written out, since a gate reads it often."""
-        return materialize(run_scores(self.runs, self.slice_metrics, self.totals))
+        """What the gate compares, one row per run; kept, since a gate reads it often."""
+        return kept(run_scores(self.runs, self.slice_metrics, self.totals))
 
     def records(self) -> DataFrame:
         """One nested row per run."""
@@ -60,11 +60,11 @@ def run_summary(
 ) -> EvalResult:
     """Measure given predictions.
 
-    The predictions are read once: their cell counts are written to the shared checkpoint folder,
-    and everything else is derived from that small table. ``runs`` has ``run_id`` and ``model``;
+    The predictions are read once: their cell counts are kept, and everything else is derived
+    from that small table. ``runs`` has ``run_id`` and ``model``;
     a run without predictions is reported with zeros.
     """
-    cells = materialize(count_cells(predictions, task))
+    cells = kept(count_cells(predictions, task))
     per_class = class_metrics(cells, task, runs)
     per_slice = slice_metrics(per_class, task)
     zero = F.lit(0).cast("long")
@@ -98,11 +98,14 @@ def evaluate(
     prices: Mapping[str, tuple[float, float]] = DEFAULT_PRICES,
     now: datetime | None = None,
     store: RunStore | None = None,
+    answers_folder: str | None = None,
 ) -> EvalResult:
     """Run every prompt over every example and measure the outputs; one run per prompt.
 
     Outputs come from a client or from recorded ``completions`` (whose ``run_id`` is the prompt
-    version; every planned input must have exactly one). Answers of a client are materialized once, because asking again would bill again.
+    version; every planned input must have exactly one, and nothing else may be recorded for these versions).
+    Answers of a client are paid for: they are written once to ``answers_folder``, which the caller
+    names, or kept by the executors, which ask again only if an executor is lost.
     With a ``store`` the predictions are saved there and measured from there.
     """
     if (client_factory is None) == (completions is None):
@@ -110,7 +113,7 @@ def evaluate(
     spark = examples.sparkSession
     started = F.lit(now or datetime.now(timezone.utc))
     data_fp = dataset_fingerprint(examples).first()["fingerprint"]
-    prompts = materialize(prompts)
+    prompts = kept(prompts)
 
     runs = prompts.select(
         run_id(started, F.col("version")).alias("run_id"),
@@ -137,13 +140,18 @@ def evaluate(
             max_tokens=max_tokens,
             max_workers=max_workers,
         )
-        outputs = with_defaults(materialize(answers))
+        if answers_folder is None:
+            answers = kept(answers)
+        else:
+            path = f"{answers_folder.rstrip('/')}/answers-{uuid.uuid4().hex}"
+            answers.write.parquet(path)
+            answers = spark.read.schema(answers.schema).parquet(path)
+        outputs = with_defaults(answers)
     else:
         rendered = render_prompts(examples, prompts, n_repeats)
-        gaps = unpaired_predictions(rendered, completions).where("n_inputs > 0").first()
-        if gaps is not None:
-            raise ValueError(f"not exactly one recorded completion for {gaps.asDict()}")
-        replayed = score_replay(rendered, completions)
+        # Recordings of other versions are not this evaluation's concern.
+        own = completions.join(prompts.select(F.col("version").alias("run_id")), "run_id", "left_semi")
+        replayed = replay_strictly(rendered, own)
         outputs = replayed.withColumn("run_id", run_id(started, F.col("run_id")))
     predictions = parse_predictions(attach_examples(outputs, examples), task)
     if store is not None:

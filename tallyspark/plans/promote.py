@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,18 +56,25 @@ def run_and_gate(
     """
     result = evaluate(examples, prompt, task, model, store=store, **options)
     save_result(store, result)
-    run = result.runs.select("run_id", "prompt_version", "ts").first()
-    move = result.runs.select(
-        F.lit(chain).alias("chain"), "run_id", "prompt_version", F.col("ts").alias("decided_at")
-    )
-
-    current = store.baseline(chain)
-    if current is None:
-        store.move_baselines(move)
+    run = result.runs.select("run_id", "prompt_version").first()
+
+    def move(after: datetime | None) -> None:
+        """Stamped with the time of the decision, and later than the pointer it replaces."""
+        stamp = datetime.now(timezone.utc)
+        if after is not None:
+            stamp = max(stamp, after.astimezone(timezone.utc) + timedelta(microseconds=1))
+        moves = result.runs.select(
+            F.lit(chain).alias("chain"), "run_id", "prompt_version", F.lit(stamp).alias("decided_at")
+        )
+        store.move_baselines(moves)
+
+    pointer = store.pointer(chain)
+    if pointer is None:
+        move(None)
         return Outcome(run["run_id"], BOOTSTRAP, [])
 
-    scores = stored_scores(store, run["run_id"], current[1])
-    verdict, reasons = evaluate_gate(scores, run["run_id"], current[1], task, cfg)
+    scores = stored_scores(store, run["run_id"], pointer["run_id"])
+    verdict, reasons = evaluate_gate(scores, run["run_id"], pointer["run_id"], task, cfg)
     if verdict == PROMOTE:
-        store.move_baselines(move)
+        move(pointer["decided_at"])
     return Outcome(run["run_id"], verdict, reasons)

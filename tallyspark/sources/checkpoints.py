@@ -1,38 +1,15 @@
-"""Cutting lineage in the folder the cluster shares."""
+"""Keeping small results that several steps read."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
 
-_SETTING = "spark.checkpoint.dir"
+def kept(rows: DataFrame) -> DataFrame:
+    """Mark a small result, such as an aggregate, to be computed once.
 
-
-def _shared_folder(spark: SparkSession) -> str:
-    context = spark.sparkContext
-    folder = (
-        spark.conf.get(_SETTING, None)
-        or context.getConf().get(_SETTING)
-        or context.getCheckpointDir()
-    )
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tallyspark-")
-        context.setCheckpointDir(folder)
-    return folder
-
-
-def materialize(rows: DataFrame) -> DataFrame:
-    """Compute once and go on from a table written to the session's ``spark.checkpoint.dir``.
-
-    Lost executors then cost no recomputation, and unlike an RDD checkpoint the table has size
-    statistics, so later joins can be planned by them. Only a local session without the setting
-    gets a folder of its own.
+    Nothing runs yet and no file is written: the rows stay in the executors' storage, on disk where
+    memory ends, and what a lost executor held is computed again. Not for tables of the data's size.
     """
-    spark = rows.sparkSession
-    path = f"{_shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return rows.persist(StorageLevel.MEMORY_AND_DISK)

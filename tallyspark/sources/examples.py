@@ -13,7 +13,7 @@ from tallyspark.operators.validate import (
     raise_first_violation,
     validate_examples,
 )
-from tallyspark.sources.checkpoints import materialize
+from tallyspark.sources.checkpoints import kept
 from tallyspark.task import TaskSpec
 
 
@@ -27,16 +27,18 @@ def _read_text(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _number_lines(stored: DataFrame) -> DataFrame:
+def _number_lines(lines: DataFrame) -> DataFrame:
     """Turn ``_start`` and ``_row`` into physical 1-based ``line_no`` per file.
 
     Files are read in splits. Each split's line count gives, by a running sum over the splits of
     its file, the number of the split's first line. Only these counts (one row per split, about
-    one per 128 MB) are shuffled; the lines stay where they are. The input must be stored: a
-    second read of the files could be split differently.
+    one per 128 MB) are shuffled; the lines stay where they are. Both reads belong to one query
+    over one listing, so they are split alike.
     """
-    per_split = stored.groupBy("file", "_start").agg(
-        F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_lines")
+    per_split = kept(
+        lines.groupBy("file", "_start").agg(
+            F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_lines")
+        )
     )
     offsets = per_split.selectExpr(
         "file",
@@ -48,21 +50,20 @@ def _number_lines(stored: DataFrame) -> DataFrame:
     if fits_broadcast(per_split):
         offsets = F.broadcast(offsets)
     line_no = F.col("_before") + F.col("_row") - F.col("_first") + 1
-    others = [name for name in stored.columns if name not in ("file", "_start", "_row")]
-    return stored.join(offsets, ["file", "_start"]).select(
+    others = [name for name in lines.columns if name not in ("file", "_start", "_row")]
+    return lines.join(offsets, ["file", "_start"]).select(
         "file", line_no.alias("line_no"), *others
     )
 
 
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:
     """``file, line_no, raw`` of every line, blank ones included."""
-    return _number_lines(materialize(_read_text(spark, path)))
+    return _number_lines(_read_text(spark, path))
 
 
 def scan_examples(spark: SparkSession, path: str) -> DataFrame:
-    """Decoded, numbered, not yet judged lines. The files are read and parsed once."""
-    decoded = _number_lines(materialize(decode_lines(_read_text(spark, path))))
-    return decoded.where(F.col("shape") != BLANK)
+    """Decoded, numbered, not yet judged lines. Counting the lines parses nothing."""
+    return decode_lines(scan_lines(spark, path)).where(F.col("shape") != BLANK)
 
 
 def load_examples(spark: SparkSession, path: str, task: TaskSpec) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyspark import schemas
 from tallyspark.operators.fingerprint import prompt_registry
 from tallyspark.operators.validate import PROMPT_FIELDS, prompt_violations
+from tallyspark.sources.checkpoints import kept
 
 
 def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -21,7 +22,7 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         none = (None,) * len(PROMPT_FIELDS)
         try:
             data = yaml.safe_load(text)
-        except yaml.YAMLError:
+        except Exception:  # noqa: BLE001 - a bad date in one file must not stop the others
             return (stem, "invalid YAML", [], *none)
         if not isinstance(data, dict):
             return (stem, "not a YAML mapping", [], *none)
@@ -40,24 +41,42 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
-def scan_prompts(spark: SparkSession, folder: str) -> DataFrame:
-    """Every ``*.yaml`` file of a folder, decoded but not judged; empty if there is none.
+def _empty_stems(spark: SparkSession, folder: str) -> list[str]:
+    """Stems of the files of zero bytes, which Spark's readers leave out."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    files = [f for f in system.listStatus(path) if f.isFile() and f.getLen() == 0]
+    names = [f.getPath().getName() for f in files]
+    return [name.removesuffix(".yaml") for name in names if name.endswith(".yaml")]
 
-    Spark does not read files of zero bytes, so those do not appear.
+
+def scan_prompts(spark: SparkSession, folder: str, version: str | None = None) -> DataFrame:
+    """Every ``*.yaml`` file of a folder, or one of them, decoded but not judged; empty if none.
+
+    A file that cannot be decoded, or is empty, is a row that says so.
     """
+    empty = [
+        (stem, "not a YAML mapping", [], *[None] * len(PROMPT_FIELDS))
+        for stem in _empty_stems(spark, folder)
+        if version in (None, stem)
+    ]
+    blank = spark.createDataFrame(empty, schemas.PROMPT_SOURCE)
     reader = spark.read.option("pathGlobFilter", "*.yaml")
     try:
         files = reader.text(folder, wholetext=True)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schemas.PROMPT_SOURCE)
+        return blank
     stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.yaml$", 1)
     # File names arrive percent-encoded, but a plus sign in them is just a plus sign.
     plain = F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B")))
-    return files.select(plain.alias("stem"), F.col("value").alias("text")).mapInPandas(
-        _decode, schemas.PROMPT_SOURCE
-    )
+    texts = files.select(plain.alias("stem"), F.col("value").alias("text"))
+    if version is not None:
+        texts = texts.where(F.col("stem") == version)
+    return texts.mapInPandas(_decode, schemas.PROMPT_SOURCE).unionByName(blank)
 
 
 def list_versions(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,7 +90,7 @@ def load_prompts(spark: SparkSession, folder: str) -> DataFrame:
 
 def load_prompt(spark: SparkSession, folder: str, version: str) -> DataFrame:
     """One prompt; raises if it is absent or unusable."""
-    found = scan_prompts(spark, folder).where(F.col("stem") == version)
+    found = kept(scan_prompts(spark, folder, version))  # one small file
     if found.isEmpty():
         raise FileNotFoundError(f"prompt version {version!r} not found in {folder}")
     bad = prompt_violations(found).first()

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark import schemas
 from tallyspark.operators.promotion import current_baselines
+from tallyspark.operators.records import run_record_nested
 
 TABLES = {
     "runs": schemas.RUNS,
@@ -55,9 +56,8 @@ class RunStore:
         """Write rows of one or many runs."""
         names = TABLES[table].names
         data = rows.select(*names, F.substring("run_id", 1, _DAY).alias("run_day"))
-        if table == "predictions":
-            # Gathers a run's rows into few files and splits a run that is too big for one.
-            data = data.hint("rebalance", "run_id")
+        # Gathers a run's rows into few files and splits a run that is too big for one.
+        data = data.hint("rebalance", "run_id")
         (
             data.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -94,6 +94,15 @@ class RunStore:
         day = T.StructField("run_day", T.StringType())
         return self.spark.read.schema(T.StructType([*TABLES[table].fields, day]))
 
+    def records(self, *run_ids: str) -> DataFrame:
+        """Stored runs as one nested row each: identity, metrics and totals."""
+        runs = self.read_runs("runs", *run_ids)
+        spent = ("latency_ms", "prompt_tokens", "completion_tokens", "est_cost_usd")
+        identity = runs.drop(*spent, "n_predictions")
+        per_class = self.read_runs("class_metrics", *run_ids)
+        per_slice = self.read_runs("slice_metrics", *run_ids)
+        return run_record_nested(identity, per_class, per_slice, runs.select("run_id", *spent))
+
     def has_run(self, run_id: str) -> bool:
         return not self.read_runs("runs", run_id).isEmpty()
 
@@ -114,5 +123,14 @@ class RunStore:
 
     def baseline(self, chain: str) -> tuple[str, str] | None:
         """``(prompt_version, run_id)`` of a chain's current baseline, or None if unset."""
-        now = current_baselines(self.pointers().where(F.col("chain") == chain)).first()
+        now = self.pointer(chain)
         return None if now is None else (now["prompt_version"], now["run_id"])
+
+    def pointer(self, chain: str) -> Row | None:
+        """The chain's newest pointer with the time of its decision."""
+        return current_baselines(self.pointers().where(F.col("chain") == chain)).first()
+
+    def baseline_run(self, chain: str) -> DataFrame:
+        """The run row of a chain's baseline; empty if no baseline was ever set."""
+        now = self.pointer(chain)
+        return self.read("runs").limit(0) if now is None else self.read_runs("runs", now["run_id"])

@@ -8,11 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 def read_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     """Read the given columns of ``folder/name.parquet``.
 
-    A small file arrives as one split and would keep all but one core idle in front of an
-    expensive expression, so it is spread over the cores. Files with enough splits are left as
-    they are.
+    How finely files are split is the session's affair (``spark.sql.files.minPartitionNum`` and
+    ``maxPartitionBytes``); nothing is shuffled to read a table.
     """
-    table = spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    splits = table.rdd.getNumPartitions()
-    return table if splits >= cores else table.repartition(cores)
+    return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+# Fixed value.
 #: Column that collects every prediction outside the label set.
 PARSE_FAILURE = "PARSE_FAILURE"
 #: Name of the slice that holds all predictions of a run.
 OVERALL = "overall"
-#: Label sets are plan parameters (they end up in literals), so they stay small.
-MAX_CLASSES = 10_000
 
 
 @dataclass(frozen=True)
@@ -21,6 +20,7 @@ class TaskSpec:
     """
 
     classes: tuple[str, ...]
+    # The default response field and slices.
     response_key: str = "category"
     slices: tuple[str, ...] = ("easy", "hard")
 
@@ -33,8 +33,6 @@ class TaskSpec:
         labels = tuple(sorted(set(classes)))
         if not labels:
             raise ValueError("classes must not be empty")
-        if len(labels) > MAX_CLASSES:
-            raise ValueError(f"at most {MAX_CLASSES} classes are supported, got {len(labels)}")
         if PARSE_FAILURE in labels:
             raise ValueError(f"{PARSE_FAILURE!r} is reserved for unparseable outputs")
         if any(not label for label in labels):

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspark import FEEDBACK_TASK, RunStore, evaluate, run_and_gate, schemas
+from tallyspark.operators.gate import GateConfig
 from tallyspark.plans.promote import stored_scores
 from tallyspark.sources.examples import load_examples
 from tallyspark.sources.prompts import load_prompt
@@ -176,5 +177,19 @@ def test_evaluate_many_prompts_from_recordings(spark, inputs):
     with pytest.raises(ValueError):
         evaluate(examples, both, FEEDBACK_TASK, "m")
     for partial in (recorded.where("id <> 'e3'"), recorded.unionByName(recorded.limit(1))):
-        with pytest.raises(ValueError, match="exactly one"):
-            evaluate(examples, both, FEEDBACK_TASK, "m", completions=partial)
+        with pytest.raises(Exception, match="exactly one"):
+            evaluate(examples, both, FEEDBACK_TASK, "m", completions=partial).cells.collect()
+
+
+def test_a_promotion_moves_the_pointer_whenever_the_run_began(spark, inputs, tmp_path):
+    examples, prompts = inputs
+    store = RunStore(spark, str(tmp_path / "runs"))
+    late = run_and_gate(store, examples, prompts["v1"], FEEDBACK_TASK, MODEL, client_factory=Knowing, now=at(30))
+    cfg = GateConfig(max_latency_multiplier=1e9)
+    early = run_and_gate(store, examples, prompts["v2"], FEEDBACK_TASK, MODEL, client_factory=Perfect, now=at(1), cfg=cfg)
+    assert (late.verdict, early.verdict) == ("BOOTSTRAP", "PROMOTE")
+    assert store.baseline("default") == ("v2", early.run_id)
+    assert [r["run_id"] for r in store.baseline_run("default").collect()] == [early.run_id]
+    assert store.baseline_run("other").count() == 0
+    record = store.records(early.run_id).first()
+    assert record["metrics"]["overall"]["accuracy"] == 1.0 and record["totals"]["prompt_tokens"] == 960

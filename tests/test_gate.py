@@ -82,7 +82,7 @@ def test_incomparable_runs_raise(spark, other, word):
 
 
 def test_unknown_run_raises(spark):
-    with pytest.raises(ValueError, match="no scores"):
+    with pytest.raises(ValueError, match="unknown run"):
         evaluate_gate(spark.createDataFrame([BASE], SCHEMA), "nope", "base", TASK)
 
 
@@ -99,8 +99,6 @@ def test_many_candidates_against_one_baseline(spark, rows, monkeypatch, broadcas
     )
     if not broadcast:
         monkeypatch.setattr(joins.fits_broadcast, "__defaults__", (0, 0))
-        monkeypatch.setattr(joins.lookup, "__kwdefaults__",
-                            {**joins.lookup.__kwdefaults__, "hot_rows": 5})
     paired = pair_runs(pairs, scores)
     decisions = gate_decisions(paired, TASK)
     verdicts = {(r["candidate"], r["baseline"]): r["verdict"] for r in decisions.collect()}
@@ -109,12 +107,27 @@ def test_many_candidates_against_one_baseline(spark, rows, monkeypatch, broadcas
         gain = 0.55 + int(name[1:]) / 100 - (0.60 if base == "base" else 0.55 + 3 / 100)
         assert verdict == ("PROMOTE" if gain >= 0.005 else "REVERT")
     assert gate_reasons(decisions).count() == 19 * 5
-    assert rows(gate_incomparable(paired)) == [
+    assert rows(gate_incomparable(paired, TASK)) == [
         ("r7", "base", "INCOMPARABLE", "different dataset"),
         ("r8", "base", "INCOMPARABLE", "different model"),
+        ("r9", "gone", "INCOMPARABLE", "unknown run"),
     ]
 
 
+def test_nothing_unknown_is_compared(spark, rows):
+    some = {label: 0.6 for label in ("a", "b", "c")}
+    runs = [BASE, run("few", 0.7, f1=some), run("nodata", 0.7, data=None), run("nomodel", 0.7, model=None)]
+    scores = spark.createDataFrame(runs, SCHEMA)
+    pairs = [(a, b) for a in ("base", "few", "nodata", "nomodel", "gone") for b in ("base", "few", "nodata")]
+    paired = pair_runs(spark.createDataFrame(pairs, "candidate string, baseline string"), scores)
+    bad = {(r["candidate"], r["baseline"]): r["reason"] for r in gate_incomparable(paired, TASK).collect()}
+    decided = {(r["candidate"], r["baseline"]) for r in gate_decisions(paired, TASK).collect()}
+    assert decided == {("base", "base")} and set(bad) == set(pairs) - decided
+    assert bad["few", "base"] == bad["base", "few"] == "different labels"
+    assert bad["nodata", "base"] == "unknown dataset" and bad["nomodel", "base"] == "unknown model"
+    assert bad["gone", "base"] == "unknown run"
+
+
 def test_worst_class_ties_go_to_the_last_label(spark):
     scores = spark.createDataFrame([run("new", 0.5), BASE], SCHEMA)
     pair = spark.createDataFrame([("new", "base")], "candidate string, baseline string")

@@ -97,6 +97,35 @@ def test_chain_verdicts_agree_with_the_gate(spark):
     assert len(judged) == len(compared) and any(r["verdict"] == "PROMOTE" for r in compared)
 
 
+def test_chain_never_promotes_a_run_that_lacks_a_label(spark):
+    some = {label: 0.9 for label in ("a", "b", "c")}
+    scores = chains(spark, [("c", run("r1", 0.6)), ("c", run("r2", 0.9, f1=some)), ("c", run("r3", 0.9, data=None))])
+    got = promotion_chain(scores, TASK).orderBy("run_id").collect()
+    assert [r["verdict"] for r in got] == ["BOOTSTRAP", "INCOMPARABLE", "INCOMPARABLE"]
+
+
+def test_only_possible_promotions_are_folded(spark):
+    """One chain of many runs: what cannot be promoted does not reach the sequential step."""
+    scores = spark.range(100_000).select(
+        F.concat(F.lit("r"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("run_id"),
+        F.lit("d").alias("dataset_fp"),
+        F.lit("m").alias("model"),
+        F.when(F.col("id") % 20_000 == 1, 0.6 + F.col("id") / 400_000).otherwise(0.6).alias("macro_f1"),
+        F.lit(0.0).alias("parse_failure_rate"),
+        F.lit(1.0).alias("latency_ms"),
+        F.lit(0.01).alias("est_cost_usd"),
+        F.lit("hot").alias("chain"),
+        F.timestamp_seconds("id").alias("ts"),
+    )
+    f1 = F.map_from_arrays(F.lit(list(TASK.classes)), F.array_repeat("macro_f1", len(TASK.classes)))
+    scores = scores.withColumn("class_f1", f1)
+    chain = promotion_chain(scores, TASK)
+    counts = {r["verdict"]: r["count"] for r in chain.groupBy("verdict").count().collect()}
+    assert counts == {"BOOTSTRAP": 1, "PROMOTE": 4, "REVERT": 99_995}
+    last = chain.where("run_id = 'r099999'").first()
+    assert last["baseline_run_id"] == last["next_baseline_run_id"] == "r080001"
+
+
 def test_newest_pointer_wins(spark):
     rows = [("c", "r1", "v1", START), ("c", "r2", "v2", START + dt.timedelta(1)), ("d", "r3", "v3", START)]
     pointers = spark.createDataFrame(

@@ -13,6 +13,7 @@ from tallyspark.operators.scoring import (
     render_prompts,
     repeat_expand,
     score,
+    replay_strictly,
     score_replay,
     unpaired_predictions,
 )
@@ -69,10 +70,17 @@ def test_large_registries_are_planned_alike(examples, prompts, rows):
     texts = repeat_expand(examples.select("id", "text"), 2)
     dims = prompts.select("version", "system")
     small = plan_runs(texts, dims).select("id", "repeat", "version", "system")
-    large = plan_runs(texts, dims, max_named_prompts=1).select("id", "repeat", "version", "system")
+    large = plan_runs(texts, dims, chunk_bytes=1).select("id", "repeat", "version", "system")
     assert rows(small) == rows(large)
 
 
+def test_versions_are_unique(examples, prompts):
+    texts = repeat_expand(examples.select("id", "text"))
+    for size in (1, 1 << 20):
+        with pytest.raises(ValueError, match="unique"):
+            plan_runs(texts, prompts.unionByName(prompts), chunk_bytes=size)
+
+
 def test_no_prompts_no_plan(examples, prompts):
     texts = repeat_expand(examples.select("id", "text"))
     assert plan_runs(texts, prompts.select("version", "system").limit(0)).count() == 0
@@ -99,7 +107,13 @@ def test_replay_fills_defaults(spark, examples, prompts):
         schemas.COMPLETIONS,
     )
     out = score_replay(rendered, recorded).collect()
-    assert [tuple(r) for r in out] == [("p1", "e1", 1, "", 0, 0, 0.0)]
+    assert [tuple(r) for r in out] == [("p1", "e1", 1, "", 0, 0, 0.0, True)]
+    left_out = score_replay(rendered, recorded.where("id = 'other'")).collect()
+    assert [tuple(r) for r in left_out] == [("p1", "e1", 1, "", 0, 0, 0.0, False)]
+    assert replay_strictly(rendered, recorded.where("id = 'e1'")).count() == 1
+    for wrong in (recorded, recorded.where("id = 'other'"), recorded.unionByName(recorded)):
+        with pytest.raises(Exception, match="not exactly one"):
+            replay_strictly(rendered, wrong).collect()
     bad = unpaired_predictions(rendered, recorded).collect()
     assert [tuple(r) for r in bad] == [("p1", "other", 1, 0, 1)]
 
