@@ -11,9 +11,11 @@ Documents link if 100 * overlap >= 80 * union. The product is never formed as a
    A row with only such columns still takes part with them.
 3. Star products: in each column every row meets three rows of that column only. What is linked there is
    united, so a group of n near copies costs about n products.
-4. Full products: in columns whose rows are still in different components, the pairs from different
-   components are accumulated: their shared columns are counted, and a pair goes on only if the count
-   plus what can still come after the last shared column reaches the overlap that their sizes need.
+4. Full products: in columns whose rows are still in different components, pairs from different
+   components meet, but only where what both rows have from that column on can still reach the overlap
+   that their sizes need (rare columns come first, so a row with many of its own is soon out). Shared
+   columns are accumulated, and a pair goes on only if the count plus what can come after the last
+   of them reaches that overlap.
 5. Before whole rows are compared, the parities of the columns (512 bits a row) bound the symmetric
    difference from below; pairs above what the sizes allow are discarded. The rest is compared exactly.
 
@@ -154,6 +156,16 @@ def _close(a: str, b: str, percent: int):
     return (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
 
 
+def _reaches(a: str, at_a: str, b: str, at_b: str, percent: int):
+    """What two rows can share from a common column on, at their places in the order, is enough.
+
+    This holds at the first common column of every linked pair, and where it fails it fails at all
+    later ones, so the columns that pass are the first ones that a pair shares.
+    """
+    most = F.least(F.col(a) - F.col(at_a), F.col(b) - F.col(at_b))
+    return most * (100 + percent) >= percent * (F.col(a) + F.col(b))
+
+
 def _within_parities(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose columns differ in no more parities than their sizes allow; adds na and nb."""
     a = nodes.select(F.col("id").alias("a"), F.col("n").alias("na"), *[F.col(c).alias(f"{c}a") for c in _SKETCH])
@@ -210,11 +222,12 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     cells = stored(cells, "cells")
 
     # Three rows of each column that all others meet.
-    row = F.struct("id", "n")
+    row = F.struct("id", "n", "place")
     drawn = F.min(F.struct(F.xxhash64("id").alias("draw"), row.alias("row")))["row"]
     hubs = cells.groupBy("h").agg(F.min(row).alias("x"), F.max(row).alias("y"), drawn.alias("z")).where("x.id < y.id")
-    hubs = hubs.select("h", F.explode(F.array_distinct(F.array("x", "y", "z"))).alias("hub")).select("h", F.col("hub.id").alias("hub"), F.col("hub.n").alias("m"))
-    star = cells.join(hubs, "h").where((F.col("id") != F.col("hub")) & _close("n", "m", percent))
+    hubs = hubs.select("h", F.explode(F.array_distinct(F.array("x", "y", "z"))).alias("hub")).select("h", F.col("hub.id").alias("hub"), F.col("hub.n").alias("m"), F.col("hub.place").alias("at"))
+    can_link = _close("n", "m", percent) & _reaches("n", "place", "m", "at", percent)
+    star = cells.join(hubs, "h").where((F.col("id") != F.col("hub")) & can_link)
     star = star.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     star = stored(star, "star")
 
@@ -229,7 +242,8 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     placed = stored(placed.join(mixed, "h"), "placed")
     a = placed.select("h", F.col("id").alias("a"), F.col("place").alias("ia"), F.col("n").alias("na"), F.col("root").alias("ra"))
     b = placed.select("h", F.col("id").alias("b"), F.col("place").alias("ib"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    met = a.join(b, "h").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _close("na", "nb", percent))
+    can_link = _close("na", "nb", percent) & _reaches("na", "ia", "nb", "ib", percent)
+    met = a.join(b, "h").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & can_link)
     shared = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("got"), F.max("ia").alias("ia"), F.max("ib").alias("ib"))
     to_come = F.least(F.col("na") - F.col("ia") - 1, F.col("nb") - F.col("ib") - 1)
     shared = shared.where((F.col("got") + to_come) * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
