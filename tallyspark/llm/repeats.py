@@ -42,7 +42,7 @@ from tallyspark.llm.textbytes import CODES, Hasher, mix, texts_of
 
 LENGTH = 100
 GRAM = 24
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 SAMPLE_DOCS = 20_000
 OFTEN_IN_SAMPLE = 50
 DEALT = 64
