@@ -16,8 +16,9 @@ Documents link if 100 * overlap >= 80 * union. The product is never formed as a
    that their sizes need (rare columns come first, so a row with many of its own is soon out). Shared
    columns are accumulated, and a pair goes on only if the count plus what can come after the last
    of them reaches that overlap.
-5. Before whole rows are compared, the parities of the columns (512 bits a row) bound the symmetric
-   difference from below; pairs above what the sizes allow are discarded. The rest is compared exactly.
+5. Before whole rows are compared (in crowded columns already where they meet), the parities of the
+   columns (512 bits a row) bound the symmetric difference from below; pairs above what the sizes allow
+   are discarded. The rest is compared exactly.
 
 No step drops a pair that could link; the counts in 2 steer only the order. Columns with many rows are
 counted with partial sums, and joins on them are left to the engine's splitting of skewed partitions.
@@ -45,6 +46,7 @@ PERCENT = 80
 OFTEN = 64  # a column in so many first blocks goes to the end of the order
 MOST_OFTEN = 500_000  # bound on the number of such columns; OFTEN rises with the input to keep it
 PARITIES = 8
+CROWDED = 64  # columns with more rows carry the parities into the product, so fewer pairs leave it
 _SKETCH = [f"p{k}" for k in range(PARITIES)]
 
 
@@ -166,14 +168,38 @@ def _reaches(a: str, at_a: str, b: str, at_b: str, percent: int):
     return most * (100 + percent) >= percent * (F.col(a) + F.col(b))
 
 
+def _parities_fit(percent: int):
+    """Rows a and b differ in no more parities than their sizes na and nb allow.
+
+    overlap >= p (na + nb) / (100 + p), so the symmetric difference is at most
+    (100 - p) (na + nb) / (100 + p), and it is at least the number of parities that differ.
+    """
+    apart = sum((F.bit_count(F.col(f"{c}a").bitwiseXOR(F.col(f"{c}b"))) for c in _SKETCH), F.lit(0))
+    return apart * (100 + percent) <= (100 - percent) * (F.col("na") + F.col("nb"))
+
+
 def _within_parities(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose columns differ in no more parities than their sizes allow; adds na and nb."""
+    """Pairs whose parities allow a link."""
     a = nodes.select(F.col("id").alias("a"), F.col("n").alias("na"), *[F.col(c).alias(f"{c}a") for c in _SKETCH])
     b = nodes.select(F.col("id").alias("b"), F.col("n").alias("nb"), *[F.col(c).alias(f"{c}b") for c in _SKETCH])
-    apart = sum((F.bit_count(F.col(f"{c}a").bitwiseXOR(F.col(f"{c}b"))) for c in _SKETCH), F.lit(0))
-    # overlap >= p (na + nb) / (100 + p), so the symmetric difference is at most (100 - p) (na + nb) / (100 + p).
-    fits = apart * (100 + percent) <= (100 - percent) * (F.col("na") + F.col("nb"))
-    return pairs.join(a, "a").join(b, "b").where(_close("na", "nb", percent) & fits).select("a", "b")
+    can_link = _close("na", "nb", percent) & _parities_fit(percent)
+    return pairs.join(a, "a").join(b, "b").where(can_link).select("a", "b")
+
+
+def _met(rows: DataFrame, percent: int, parities: bool) -> DataFrame:
+    """a, b, na, nb, ia, ib: pairs of rows of different components at their first common columns."""
+
+    def side(x: str) -> DataFrame:
+        names = [("id", x), ("place", f"i{x}"), ("n", f"n{x}"), ("root", f"r{x}")]
+        names += [(c, f"{c}{x}") for c in _SKETCH if parities]
+        return rows.select("h", *[F.col(old).alias(new) for old, new in names])
+
+    apart = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
+    can_link = _close("na", "nb", percent) & _reaches("na", "ia", "nb", "ib", percent)
+    if parities:
+        can_link &= _parities_fit(percent)
+    met = side("a").join(side("b"), "h").where(apart & can_link)
+    return met.select("a", "b", "na", "nb", "ia", "ib")
 
 
 class _Compared:
@@ -238,12 +264,12 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     # Columns whose rows are not yet in one component.
     placed = cells.join(roots, cells["id"] == roots["node"], "left")
     placed = placed.select("h", "id", "place", "n", F.coalesce("root", "id").alias("root"))
-    mixed = placed.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h")
+    mixed = placed.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows"))
+    mixed = mixed.where("low < high").select("h", "rows")
     placed = stored(placed.join(mixed, "h"), "placed")
-    a = placed.select("h", F.col("id").alias("a"), F.col("place").alias("ia"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    b = placed.select("h", F.col("id").alias("b"), F.col("place").alias("ib"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    can_link = _close("na", "nb", percent) & _reaches("na", "ia", "nb", "ib", percent)
-    met = a.join(b, "h").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & can_link)
+    few = _met(placed.where(F.col("rows") <= CROWDED), percent, parities=False)
+    crowd = placed.where(F.col("rows") > CROWDED).join(nodes.select("id", *_SKETCH), "id")
+    met = few.unionAll(_met(crowd, percent, parities=True))
     shared = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("got"), F.max("ia").alias("ia"), F.max("ib").alias("ib"))
     to_come = F.least(F.col("na") - F.col("ia") - 1, F.col("nb") - F.col("ib") - 1)
     shared = shared.where((F.col("got") + to_come) * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
@@ -252,7 +278,7 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 
     found = stored(components(links.unionAll(more)), "components")
     of_node = member.select("id", "k1", "k2").distinct().join(found, F.col("id") == F.col("node"), "left")
-    of_node = of_node.groupBy("k1", "k2").agg(F.min(F.coalesce("root", "id")).alias("component"))
+    of_node = stored(of_node.groupBy("k1", "k2").agg(F.min(F.coalesce("root", "id")).alias("component")), "classes")
     out = facts.select("doc_id", "n", "k1", "k2").join(of_node, ["k1", "k2"], "left")
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))

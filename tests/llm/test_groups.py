@@ -54,9 +54,10 @@ def chained(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("often", [64, 2])
-def test_groups_equal_all_pairs(spark, monkeypatch, often):
+@pytest.mark.parametrize("often,crowded", [(64, 64), (2, 3)])
+def test_groups_equal_all_pairs(spark, monkeypatch, often, crowded):
     monkeypatch.setattr(ngram_join, "OFTEN", often)  # 2: nearly all shared columns go last
+    monkeypatch.setattr(ngram_join, "CROWDED", crowded)
     rows = chained(1, 70)
     found = ngram_join.similar_groups(spark.createDataFrame(rows, SCHEMA).repartition(4))
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == plain_groups(rows)
