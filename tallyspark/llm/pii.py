@@ -14,8 +14,8 @@ characters), touch no base span and each other; base spans always stay.
 Learning: spans written by the base patterns' rules into windows of real text, in the forms that the
 patterns know and in others (separators, prefixes, "(at)"-like forms with a digit), labelled as they are
 put there, and as many windows without any, with codes, keys and numbers that are not personal data.
-The text comes from at most `SAMPLE` documents of a hash order and of at most `SAMPLE_CHARS`
-characters. Everything else covers all texts whole. Null and empty texts have no spans; rows are judged
+The text comes from at most `SAMPLE` distinct texts, drawn by a hash, of at most `SAMPLE_CHARS`
+characters each. Everything else covers all texts whole. Null and empty texts have no spans; rows are judged
 one by one, so repeats, ties and missing ids change nothing; other columns are not read.
 """
 
@@ -338,9 +338,12 @@ def labelled_windows(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.nd
 
 def fit(docs: DataFrame) -> Tagger:
     """Trains on windows of at most `SAMPLE` documents' texts."""
-    short = docs.where(F.length("text").between(WINDOW + 1, SAMPLE_CHARS)).select("text").distinct()
-    rows = short.orderBy(F.xxhash64("text"), "text").limit(SAMPLE).collect()
-    return train(*labelled_windows([re.sub(r"[0-9@]+", "", r["text"]) for r in rows]))
+    short = docs.where(F.length("text").between(WINDOW + 1, SAMPLE_CHARS)).select("text")
+    share = 1_000_000 * SAMPLE // max(short.count(), 1)
+    drawn = short.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) <= share)
+    # Copies of one text fall together, so a share is no bound; the limit is.
+    texts = sorted({r["text"] for r in drawn.limit(4 * SAMPLE).collect()})[:SAMPLE]
+    return train(*labelled_windows([re.sub(r"[0-9@]+", "", text) for text in texts]))
 
 
 # --- tagging ------------------------------------------------------------------------------------
