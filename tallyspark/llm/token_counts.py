@@ -75,7 +75,7 @@ def fill_cache(docs: DataFrame, path: str, model: bytes) -> None:
     chosen = missing.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest"))
     texts = keyed.join(chosen.hint("shuffle_hash"), same, "left_semi").select("digest", "text")
-    counts = texts.mapInArrow(_encode(model), "digest string, n_tokens long")
+    counts = texts.mapInArrow(_encode(model), "digest string, n_tokens long").dropDuplicates(["digest"])
     counts.select(F.lit(version).alias("version"), "digest", "n_tokens").write.mode("append").parquet(path)
 
 
