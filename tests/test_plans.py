@@ -2,15 +2,19 @@
 
 import contextlib
 import io
+import os
 import re
 
 import pytest
 
 from checks import queries, views
 from tallyspark.operators import joins, metrics, scoring
+from tallyspark.operators.gate import pair_runs
+from tallyspark.sources.tables import read_table
+from tests.test_gate import SCHEMA, run
 
 FOLDER = "/root/testdata/sf0.001"
-PYTHON_QUERIES = {"promotion_chain", "promotion_chain_by_user", "baseline_lookup"}
+PYTHON_QUERIES = {"promotion_chain", "promotion_chain_by_user", "baseline_lookup", "score_client"}
 
 
 def plan(frame):
@@ -55,3 +59,23 @@ def test_a_large_lookup_shuffles_by_key_and_bucket(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert re.search(r"hashpartitioning\(id#\d+L, _bucket#\d+L", text)
     assert "SortMergeJoin" in text
+
+
+@pytest.mark.parametrize("name", ["events", "documents"])
+def test_reading_a_table_shuffles_nothing(spark, name):
+    assert "Exchange" not in plan(read_table(spark, FOLDER, name))
+
+
+def test_a_pair_needs_two_joins(spark):
+    runs = spark.createDataFrame([run("a"), run("b")], SCHEMA)
+    pairs = spark.createDataFrame([("a", "b")], "candidate string, baseline string")
+    tree = plan(pair_runs(pairs, runs)).split("\n\n")[0]
+    assert tree.count("BroadcastHashJoin") == 2 and "Exchange hash" not in tree
+
+
+@pytest.mark.parametrize("name", ["slice_metrics", "run_summary", "gate_decisions", "promotion_chain", "validate_examples", "valid_examples"])
+def test_no_files_are_written(spark, name):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    queries.QUERIES[name](spark, FOLDER).collect()
+    assert set(os.listdir(folder)) == before
