@@ -48,7 +48,9 @@ _TOKEN = re.compile(
 )
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-_HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+_MAY_HIDE = re.compile(r"hidden|style", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+_CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
 _WORD = re.compile(r"[A-Za-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
 
@@ -79,6 +81,24 @@ def _zone(name: str, attributes: str, around: int) -> int:
     return zone
 
 
+def _hidden(attributes: str) -> bool:
+    """The attribute hidden, aria-hidden=true or a style that ends with display:none; the first of equal names counts."""
+    if not _MAY_HIDE.search(attributes):
+        return False
+    values: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attributes):
+        values.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    if "hidden" in values or html.unescape(values.get("aria-hidden", "")).strip().lower() == "true":
+        return True
+    shown, fixed = "", False
+    for declaration in _CSS_COMMENT.sub(" ", html.unescape(values.get("style", ""))).lower().split(";"):
+        name, _, value = declaration.partition(":")
+        value, important, _ = value.partition("!")
+        if name.strip() == "display" and (important or not fixed):
+            shown, fixed = value.strip(), bool(important)
+    return shown == "none"
+
+
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order."""
     out: list[Block] = []
@@ -159,7 +179,7 @@ def blocks_of(page: str) -> list[Block]:
             continue
         zone, link, out_of_it = state()
         inner = _zone(name, token[3], zone) if name in BLOCKS or name in MAIN_TAGS or name == "span" else zone
-        hide = name in SKIPPED or bool(token[3] and _HIDDEN.search(token[3]))
+        hide = name in SKIPPED or bool(token[3]) and _hidden(token[3])
         if hide and not out_of_it:
             end_block()
         stack.append((name, inner, link or name == "a", out_of_it or hide))

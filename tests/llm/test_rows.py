@@ -267,6 +267,35 @@ def test_odd_pages(spark):
     assert sorted((str(r.page_id), r.n_chars > 0) for r in found) == [("1", False), ("1", False), ("2", False), ("None", True)]
 
 
+LONG = "These are the words of a main text that a reader wants to have, and they are not few at all, so they count as text."
+
+
+@pytest.mark.parametrize(
+    ("attributes", "shown"),
+    [
+        ('class="overflow-hidden"', True),
+        ("class='hidden'", True),
+        ('style="overflow:hidden"', True),
+        ('style="content: display; none: x"', True),
+        ('style="display:none; display:block"', True),
+        ('data-x="hidden" data-hidden=1', True),
+        ('title="a hidden display:none aria-hidden=true"', True),
+        ('aria-hidden="false"', True),
+        ("data-aria-hidden=true", True),
+        ("hidden", False),
+        ('class="a"HIDDEN', False),
+        ('hidden=""', False),
+        ('style="color:red; DISPLAY : none !important; display:block"', False),
+        ("style=display:none", False),
+        ("aria-hidden='true'", False),
+    ],
+)
+def test_only_hidden_elements_are_left_out(attributes, shown):
+    page = f"<html><body><article {attributes}><p>{LONG}</p></article><article><p>{LONG} Two.</p></article></body></html>"
+    text = html_text.main_text(page, html_text.default_tree())
+    assert text.split("\n") == [LONG] * shown + [f"{LONG} Two."]
+
+
 # --- URLs ---
 
 
