@@ -9,14 +9,18 @@ element, else 0. A decision tree (CART, Gini index), trained in numpy on the lab
 says which blocks are main text; they are joined in page order.
 
 Null and empty pages give an empty text. Unclosed and stray tags are tolerated: a closing tag ends
-the nearest open element of its name, and block elements end an open paragraph. Pages are handled one
-by one, so repeated rows, missing ids and other columns change nothing; one page is in memory as text.
+the nearest open element of its name, however deep, block elements end an open paragraph, and items of
+lists, cells, rows and options end the one before them in the same list or table. The head ends where
+something begins that cannot stand in it. The places of open elements are kept by name, so a tag costs
+the same at any depth. Pages are handled one by one, so repeated rows, missing ids and other columns
+change nothing; one page is in memory as text.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -33,6 +37,22 @@ BLOCKS = frozenset(
 SKIPPED = frozenset("head noscript iframe object svg math canvas select datalist button template audio video map dialog".split())
 RAW = frozenset("script style textarea title xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+IN_HEAD = frozenset("base basefont bgsound command head html link meta noframes noscript script style template title".split())
+# Blocks that an item of a list does not look through for the item before it.
+FENCES = (BLOCKS | SKIPPED) - frozenset("address div p".split())
+ITEMS = {"li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"])}
+#: What a tag ends, and the elements outside of which nothing is ended.
+_GROUP = (("caption", "tbody", "thead", "tfoot", "tr", "td", "th"), ("table",))
+ENDS = {
+    "td": (("td", "th"), ("table",)),
+    "th": (("td", "th"), ("table",)),
+    "tr": (("caption", "tr", "td", "th"), ("table",)),
+    "tbody": _GROUP,
+    "thead": _GROUP,
+    "tfoot": _GROUP,
+    "option": (("option",), ("select", "datalist", "optgroup")),
+    "optgroup": (("option", "optgroup"), ("select",)),
+}
 ASIDE_TAGS = frozenset("nav footer aside form menu dialog".split())
 MAIN_TAGS = frozenset("article main".split())
 ASIDE_WORDS = frozenset(
@@ -103,9 +123,24 @@ def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order."""
     out: list[Block] = []
     stack: list[tuple[str, int, bool, bool]] = []  # name, zone, inside a link, left out
+    opened: defaultdict[str, list[int]] = defaultdict(list)  # places in the stack, by name
+    blocks: list[int] = []  # places of blocks
+    fences: list[int] = []
     parts: list[str] = []
     linked: list[str] = []
 
+    def end_from(at: int) -> None:
+        for name, *_ in reversed(stack[at:]):
+            opened[name].pop()
+        del stack[at:]
+        for places in (blocks, fences):
+            while places and places[-1] >= at:
+                places.pop()
+
+    def last(name: str) -> int:
+        places = opened.get(name)
+        return places[-1] if places else -1
+
     def state() -> tuple[int, bool, bool]:
         return stack[-1][1:] if stack else (0, False, False)
 
@@ -118,6 +153,8 @@ def blocks_of(page: str) -> list[Block]:
             linked.clear()
 
     def say(text: str) -> None:
+        if stack and stack[-1][0] == "head" and text.strip():
+            end_from(len(stack) - 1)
         _, link, out_of_it = state()
         if text and not out_of_it:
             parts.append(text)
@@ -149,11 +186,12 @@ def blocks_of(page: str) -> list[Block]:
         if token[1]:
             if name in BLOCKS or name in SKIPPED:
                 end_block()
-            for k in range(len(stack) - 1, max(-1, len(stack) - 257), -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+            if last(name) >= 0:
+                end_from(last(name))
             continue
+        if last("head") >= 0 and (name == "body" or (stack[-1][0] == "head" and name not in IN_HEAD)):
+            end_block()
+            end_from(last("head"))
         if name in RAW:
             if lower is None:
                 lower = page.lower() if len(page.lower()) == size else page
@@ -169,12 +207,16 @@ def blocks_of(page: str) -> list[Block]:
         if name in BLOCKS:
             end_block()
             # A block ends an open paragraph; what was open inside it ends with it.
-            for k in range(len(stack) - 1, max(-1, len(stack) - 17), -1):
-                if stack[k][0] == "p":
-                    del stack[k:]
-                    break
-                if stack[k][0] in BLOCKS:
-                    break
+            if blocks and stack[blocks[-1]][0] == "p":
+                end_from(blocks[-1])
+            if name in ITEMS and fences and stack[fences[-1]][0] in ITEMS[name]:
+                end_from(fences[-1])
+            elif name in ENDS:
+                ended, around = ENDS[name]
+                floor = max(map(last, around))
+                inside = [k for k in map(last, ended) if k > floor]
+                if inside:
+                    end_from(min(inside))
         if name in VOID or token[3].endswith("/"):
             continue
         zone, link, out_of_it = state()
@@ -182,6 +224,11 @@ def blocks_of(page: str) -> list[Block]:
         hide = name in SKIPPED or bool(token[3]) and _hidden(token[3])
         if hide and not out_of_it:
             end_block()
+        opened[name].append(len(stack))
+        if name in BLOCKS:
+            blocks.append(len(stack))
+        if name in FENCES:
+            fences.append(len(stack))
         stack.append((name, inner, link or name == "a", out_of_it or hide))
     end_block()
     return out

@@ -296,6 +296,35 @@ def test_only_hidden_elements_are_left_out(attributes, shown):
     assert text.split("\n") == [LONG] * shown + [f"{LONG} Two."]
 
 
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<nav><ul>" + "<li><a href=/x>Link</a>" * 1_000 + "</ul></nav>",
+        "<div class=sidebar><table>" + "<tr><td>Cell<th>Cell" * 600 + "</table></div>",
+        "<aside><dl>" + "<dt>Term<dd>Words" * 600 + "</dl></aside>",
+        "<form><select>" + "<option>Choice" * 1_000 + "</select></form>",
+        "<nav>" + "<b>x" * 1_000 + "</nav>",
+        "<nav><ul><li>One<ul><li>Inner<li>Inner</ul><li>Two</ul></nav>",
+        "<aside><table><tr><td><table><tr><td>Inner<tr><td>Inner</table><td>Outer</table></aside>",
+        "<nav><p>" + "<i>x" * 100 + "<div>Block</div></nav>",
+    ],
+)
+def test_unclosed_elements_end_where_they_must(before):
+    page = f"<html><body>{before}<article><p>{LONG}</p></article></body></html>"
+    assert html_text.main_text(page, html_text.default_tree()) == LONG
+
+
+@pytest.mark.parametrize("head", ["<head><title>T</title><body>", "<head><meta x><noscript><img><body>", "<head><link>", "<head>", "<head></head><body>"])
+def test_an_open_head_ends_at_the_body(head):
+    page = f"<html>{head}<article><p>{LONG}</p></article></html>"
+    assert html_text.main_text(page, html_text.default_tree()) == LONG
+
+
+def test_outer_items_stay_open_around_inner_lists():
+    page = "<main><ul><li hidden>Gone<ul><li>Gone too<li>And this</ul>Still gone<li>" + LONG + "</ul></main>"
+    assert html_text.main_text(page, html_text.default_tree()) == LONG
+
+
 # --- URLs ---
 
 
