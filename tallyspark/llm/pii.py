@@ -4,16 +4,18 @@ Base spans of a text are e-mail addresses, IP addresses, card numbers and phone
 patterns; per kind they are leftmost and do not overlap. They are found by single passes over runs of
 characters, so very long words or digit runs cost no more than their length.
 
-The tagger reads windows of `WINDOW` characters around every character that each kind needs (a digit
-or an @), `STEP` apart, so neighbours overlap. It is a bidirectional LSTM over character classes with
+The tagger reads windows of `WINDOW` characters around every character that each kind needs (a digit,
+an @ or an "at" in brackets), `STEP` apart, so neighbours overlap. It is a bidirectional LSTM over character classes with
 one score per kind, and a linear-chain CRF over the kinds. Every window is decoded (Viterbi); where
 windows overlap, a character takes the kind from the window in which it stands farthest from an edge.
-Runs of one kind become spans if they have the kind's least number of digits (or an @ between
-characters), touch no base span and each other; base spans always stay.
+Runs of one kind become spans if they have the kind's least number of digits (or, once blanks and
+brackets around the sign and blanks around points are taken out, an address with an @, whose first and
+last words count whole), touch no base span and each other; base spans always stay.
 
 Learning: spans written by the base patterns' rules into windows of real text, in the forms that the
-patterns know and in others (separators, prefixes, "(at)"-like forms with a digit), labelled as they are
-put there, and as many windows without any, with codes, keys and numbers that are not personal data.
+patterns know and in others (separators, prefixes, " @ ", " [@] ", " (at) ", " [at] ", " . "), labelled as
+they are put there (an "at" without brackets and a "dot" in words are not among them), and as many
+windows without any, with codes, keys and numbers that are not personal data.
 The text comes from at most `SAMPLE` distinct texts, drawn by a hash, of at most `SAMPLE_CHARS`
 characters each. Everything else covers all texts whole. Null and empty texts have no spans; rows are judged
 one by one, so repeats, ties and missing ids change nothing; other columns are not read.
@@ -280,7 +282,7 @@ def _invented(rng: np.random.Generator, kind: str) -> str:
     number = lambda n: _random_from(rng, digits, n, n)
     if kind == "email":
         name = word(2, 8) + rng.choice(["", ".", "_", "-", "+"]) + rng.choice([word(1, 6), number(2)])
-        at = rng.choice(["@", "@", "@", " @ ", " [@] "])
+        at = rng.choice(["@", "@", "@", " @ ", " [@] ", " (at) ", " [at] "])
         return name + at + word(3, 7) + rng.choice(["", number(1)]) + rng.choice([".", ".", " . "]) + word(2, 4)
     if kind == "ip":
         return rng.choice([".", ".", ".", " . "]).join(str(rng.integers(1, 256)) for _ in range(4))
@@ -348,7 +350,10 @@ def fit(docs: DataFrame) -> Tagger:
 
 # --- tagging ------------------------------------------------------------------------------------
 
-_NEEDED = re.compile(r"[0-9@]")
+_AT_SIGN = r"[\[(] ?(?:@|at) ?[\])]"
+_NEEDED = re.compile(rf"[0-9@]|{_AT_SIGN}", re.IGNORECASE)
+_SPACED_AT = re.compile(rf"\s*{_AT_SIGN}\s*|\s+@\s*|@\s+", re.IGNORECASE)
+_SPACED_POINT = re.compile(r"\s+\.\s+")
 
 
 def _window_starts(text: str) -> list[int]:
@@ -422,11 +427,20 @@ def _plausible(text: str, kind: str, start: int, end: int) -> Span | None:
         start += 1
     while end > start and text[end - 1] in " \t\r\n.,;:":
         end -= 1
+    if kind == "email" and start < end:  # an address takes the words at its ends whole
+        while start > 0 and text[start - 1] in _LOCAL_CHARS:
+            start -= 1
+        while end < len(text) and text[end] in _LOCAL_CHARS:
+            end += 1
+        while text[start] == "." and start + 1 < end:
+            start += 1
+        while text[end - 1] == "." and start + 1 < end:
+            end -= 1
     body = text[start:end]
     digits = len(_digits(body))
     if kind == "email":
-        left, _, right = body.partition("@")
-        fine = bool(left.strip(" [(")) and "." in right.strip(" .") and not any(c.isspace() for c in left.strip() + right.strip())
+        left, at, right = _SPACED_POINT.sub(".", _SPACED_AT.sub("@", body)).partition("@")
+        fine = bool(at and left.strip(" [(")) and "." in right.strip(" .") and not any(c.isspace() for c in left + right)
     elif kind == "ip":
         parts = [p.strip() for p in body.split(".")]
         fine = len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)

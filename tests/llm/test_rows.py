@@ -162,6 +162,19 @@ def test_tagger_adds_and_keeps(tagger):
         assert all(x[2] <= y[1] for x, y in zip(spans, spans[1:]))
 
 
+@pytest.mark.parametrize("address", ["joe.b@mailing.com", "joe.b @ mailing.com", "joe.b [@] mailing.com", "joe.b@mailing . com", "joe.b [@] mailing . com", "joe.b (at) mailing.com", "joe.b [at] mailing . com"])
+def test_each_trained_form_of_an_address_is_masked(tagger, address):
+    text = f"abcde fgh and {address} the abc with"
+    begin = text.index(address)
+    assert pii._plausible(text, "email", begin, begin + len(address)) == ("email", begin, begin + len(address))
+    assert pii.masked(text, pii.all_spans([text], tagger)[1][0]) == "abcde fgh and [EMAIL] the abc with"
+
+
+def test_words_around_a_sign_are_no_address():
+    for text in ("see joe [@] mailing.com", "joe [@] mailing com", "[@] mailing.com", "joe mailing.com"):
+        assert pii._plausible(text, "email", 0, len(text)) is None
+
+
 def test_window_starts_cover_all():
     text = "a" * 100 + "1" + "b" * 20 + "@" + "c" * 500 + "9"
     starts = pii._window_starts(text)
