@@ -20,11 +20,17 @@ Documents link if 100 * overlap >= 80 * union. The product is never formed as a
    columns (512 bits a row) bound the symmetric difference from below; pairs above what the sizes allow
    are discarded. The rest is compared exactly.
 
-No step drops a pair that could link; the counts in 2 steer only the order. Columns with many rows are
+No step drops a link between components, so these are exact; the counts in 2 steer only the order. Links
+inside a component that the stars have united are not all met by these steps. `link_counts` counts all
+links of every document: its classes of equal rows are dealt to blocks by component, every two blocks of
+a component meet in one task, and there the product is formed with its exact overlaps, so no pair is a
+row of a table. Rows are repeated once per block of their component (about `BLOCK` classes or
+`BLOCK_GRAMS` n-grams each). A link counts once for each distinct pair of doc_id and n-grams at its other
+end, equal rows among them. Columns with many rows are
 counted with partial sums, and joins on them are left to the engine's splitting of skewed partitions.
 
-Null and empty texts have no n-grams and are alone in their component. Repeated rows are one node. Rows
-without doc_id link with nothing and have no component. Rows of one doc_id are one node, whatever their
+Null and empty texts have no n-grams, no links, and are alone in their component. Repeated rows are one node. Rows
+without doc_id link with nothing and have no component and no count. Rows of one doc_id are one node, whatever their
 texts. Other columns are not read.
 """
 
@@ -46,6 +52,8 @@ PERCENT = 80
 OFTEN = 64  # a column in so many first blocks goes to the end of the order
 MOST_OFTEN = 500_000  # bound on the number of such columns; OFTEN rises with the input to keep it
 PARITIES = 8
+BLOCK = 256
+BLOCK_GRAMS = 1 << 20
 CROWDED = 64  # columns with more rows carry the parities into the product, so fewer pairs leave it
 _SKETCH = [f"p{k}" for k in range(PARITIES)]
 
@@ -60,6 +68,11 @@ def _each(batch: pa.RecordBatch, hasher: Hasher, width: int) -> Iterator[tuple[i
             yield texts.first + k, grams
 
 
+def _keys(grams: np.ndarray) -> list[np.uint64]:
+    with np.errstate(over="ignore"):
+        return [mix(grams).sum(dtype=np.uint64), mix(grams ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)]
+
+
 def _facts(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -69,8 +82,7 @@ def _facts(width: int):
             for row, grams in _each(batch, hasher, width):
                 if not len(grams):
                     continue
-                with np.errstate(over="ignore"):
-                    keys = [mix(grams).sum(dtype=np.uint64), mix(grams ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)]
+                keys = _keys(grams)
                 odd = np.bincount((grams & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1
                 out[0, row] = len(grams)
                 out[1:3, row] = np.array(keys, np.uint64).view(np.int64)
@@ -224,8 +236,107 @@ class _Compared:
         return stored(pairs.join(a, "a").join(b, "b").where(enough).select("a", "b"), "linked")
 
 
+def _keyed_rows(width: int):
+    """k1, k2, grams of every text with n-grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            for texts in texts_of(batch):
+                sets = [g for g in shingle_sets(texts, hasher, width) if len(g)]
+                if not sets:
+                    continue
+                keys = np.array([_keys(g) for g in sets], np.uint64).view(np.int64)
+                ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int64())
+                grams = pa.LargeListArray.from_arrays(ends, pa.array(np.concatenate(sets).view(np.int64))).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), grams], ["k1", "k2", "grams"])
+
+    return run
+
+
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all sets of `a` with all of `b`."""
+    sizes = [len(g) for g in (*a, *b)]
+    _, column, often = np.unique(np.concatenate([*a, *b]), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    shared = often[column] > 1
+    row, column = row[shared], (np.cumsum(often > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(a), len(b)))
+    count = int((often > 1).sum())
+    for first in range(0, count, width):
+        low, high = np.searchsorted(column, [first, first + width])
+        cells = np.zeros((len(sizes), min(width, count - first)), np.float32)
+        cells[row[low:high], column[low:high] - first] = 1
+        out += cells[: len(a)] @ cells[len(a) :].T
+    return out
+
+
+def _counted_links(percent: int):
+    """For the classes of two blocks: the documents at the other ends of their links."""
+
+    def run(table: pa.Table) -> pa.Table:
+        left = table.column("block").to_numpy() == table.column("low")[0].as_py()
+        grams = [np.asarray(g.values) for g in table.column("grams")]
+        weight = table.column("weight").to_numpy()
+        inside = table.column("low")[0] == table.column("high")[0]
+        x = np.flatnonzero(left)
+        y = x if inside else np.flatnonzero(~left)
+        found = np.zeros(len(weight), np.int64)
+        if len(x) and len(y):
+            size = np.array([len(g) for g in grams])
+            both = _overlaps([grams[k] for k in x], [grams[k] for k in y])
+            linked = 100 * both >= percent * (size[x][:, None] + size[y][None, :] - both)
+            if inside:
+                np.fill_diagonal(linked, False)
+            found[x] = linked @ weight[y]
+            if not inside:
+                found[y] = weight[x] @ linked
+        return pa.table({"k1": table.column("k1"), "k2": table.column("k2"), "links": pa.array(found)})
+
+    return run
+
+
+def link_counts(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links (documents that it links with) for every row."""
+    facts, member, classes = _grouped(docs, width, percent)
+    sized = member.groupBy("k1", "k2").agg(F.count_distinct("doc_id").alias("weight"), F.min("id").alias("id"), F.first("n").alias("n"))
+    sized = stored(sized.join(classes, ["k1", "k2"]), "sized")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int")
+    wide = sized.groupBy("component").agg(F.count("*").alias("rows"), blocks.alias("blocks")).where("rows > 1").drop("rows")
+    dealt = sized.join(wide, "component").withColumn("block", F.pmod(F.xxhash64("k1", "k2"), F.col("blocks")).cast("int"))
+    dealt = stored(dealt.select("k1", "k2", "id", "weight", "component", "blocks", "block"), "dealt")
+
+    source = docs.select("doc_id", "text")
+    ids = dealt.select("id").distinct()
+    texts = source.join(ids, source["doc_id"] == ids["id"], "left_semi").select("text")
+    rows = texts.mapInArrow(_keyed_rows(width), "k1 long, k2 long, grams array<long>").dropDuplicates(["k1", "k2"])
+    met = rows.join(dealt.drop("id"), ["k1", "k2"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("k1", "k2", "grams", "weight", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    found = met.groupBy("component", "low", "high").applyInArrow(_counted_links(percent), "k1 long, k2 long, links long")
+    found = found.groupBy("k1", "k2").agg(F.sum("links").alias("links"))
+    found = stored(sized.join(found, ["k1", "k2"], "left").select("k1", "k2", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("links")), "counts")
+
+    out = _shown(facts, classes).join(found, ["k1", "k2"], "left")
+    n_links = F.when(F.col("doc_id").isNotNull(), F.coalesce("links", F.lit(0)))
+    return out.select("doc_id", "n_shingles", "component_id", n_links.alias("n_links"))
+
+
+def _shown(facts: DataFrame, classes: DataFrame) -> DataFrame:
+    out = facts.select("doc_id", "n", "k1", "k2").join(classes, ["k1", "k2"], "left")
+    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
+    return out.select("k1", "k2", "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
 def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) for every row."""
+    facts, _, classes = _grouped(docs, width, percent)
+    return _shown(facts, classes).drop("k1", "k2")
+
+
+def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Facts of every row, the classes of known rows, and each class's component."""
     source = docs.select("doc_id", "text")
     fields = ", ".join(f"{c} long" for c in ["doc_id", "n", "k1", "k2", *_SKETCH])
     facts = stored(source.mapInArrow(_facts(width), fields), "facts")
@@ -279,9 +390,7 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     found = stored(components(links.unionAll(more)), "components")
     of_node = member.select("id", "k1", "k2").distinct().join(found, F.col("id") == F.col("node"), "left")
     of_node = stored(of_node.groupBy("k1", "k2").agg(F.min(F.coalesce("root", "id")).alias("component")), "classes")
-    out = facts.select("doc_id", "n", "k1", "k2").join(of_node, ["k1", "k2"], "left")
-    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return facts, member, of_node
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

@@ -48,6 +48,11 @@ def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_groups(_table(spark, folder, "documents"))
 
 
+def op4_link_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and numbers of links of all documents; the statement of `op4_ngram_join` has no such number."""
+    return ngram_join.link_counts(_table(spark, folder, "documents"))
+
+
 def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without strings of 100 bytes that start earlier."""
     cut = repeats.remove_repeats(_table(spark, folder, "documents"), with_rest=False)
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_text": op2_html_text,
     "op3_token_counts": op3_token_counts,
     "op4_ngram_join": op4_ngram_join,
+    "op4_link_counts": op4_link_counts,
     "op5_repeats": op5_repeats,
     "op6_url_filter": op6_url_filter,
     "op7_personal_data": op7_personal_data,

@@ -63,6 +63,47 @@ def test_groups_equal_all_pairs(spark, monkeypatch, often, crowded):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == plain_groups(rows)
 
 
+def plain_links(rows):
+    """{(doc_id, n-grams): links} by comparing all pairs."""
+    nodes = {(r[0], frozenset(shingles(r[1]))) for r in rows if r[0] is not None}
+
+    def linked(a, b):
+        both = len(a & b)
+        return both and 100 * both >= 80 * (len(a) + len(b) - both)
+
+    return {x: sum(bool(x != y and linked(x[1], y[1])) for y in nodes) for x in nodes}
+
+
+@pytest.mark.parametrize("block,grams", [(256, 1 << 20), (3, 1 << 20), (256, 500)])
+def test_links_equal_all_pairs(spark, odd_docs, odd_rows, monkeypatch, block, grams):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", grams)
+    base = invented(random.Random(9), 150).split()
+    near = [(1_000 + k, " ".join([*base[: 4 * k], f"new{k}", *base[4 * k + 1 :]]), *[None] * 7) for k in range(30)]
+    rows = [tuple(r) for r in chained(1, 40)] + near + [(2_000, near[0][1], *[None] * 7), (1_001, near[2][1], *[None] * 7)]
+    rows = [(*r[:4], 0, *r[5:]) for r in rows]
+    for docs, given in ((spark.createDataFrame(rows, SCHEMA).repartition(4), rows), (odd_docs, odd_rows)):
+        want = plain_links(given)
+        found = ngram_join.link_counts(docs).collect()
+        assert len(found) == len(given)
+        if given is rows:
+            assert max(want.values()) >= 30  # near copies link with each other, not only with three of them
+        got = sorted((r.doc_id, r.n_shingles, r.n_links) for r in found if r.doc_id is not None)
+        assert got == sorted((r[0], len(shingles(r[1])), want[r[0], frozenset(shingles(r[1]))]) for r in given if r[0] is not None)
+        assert all(r.n_links is None for r in found if r.doc_id is None)
+
+
+def test_links_of_nothing(no_docs):
+    assert ngram_join.link_counts(no_docs).collect() == []
+
+
+def test_overlaps_in_chunks():
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 60, 30)) for _ in range(9)]
+    found = ngram_join._overlaps(sets[:4], sets[4:], width=7)
+    assert found.tolist() == [[len(np.intersect1d(a, b)) for b in sets[4:]] for a in sets[:4]]
+
+
 def test_groups_of_odd_rows(odd_docs, odd_rows):
     found = ngram_join.similar_groups(odd_docs).collect()
     assert len(found) == len(odd_rows)
