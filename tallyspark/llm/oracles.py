@@ -93,3 +93,57 @@ FROM u LEFT JOIN t USING (doc_id)
 """
 
 ORACLES: dict[str, str] = {"op1_decontamination": _OP1, "op4_ngram_join": _OP4, "op8_quality_rules": _OP8, "op9_mixing": _OP9}
+
+_TERMS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_OP12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS w FROM documents),
+c AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0),
+b AS (SELECT row_number() OVER () AS item, item_id, {_TERMS} AS w FROM benchmark),
+q AS (SELECT item, item_id, term, count(*) AS times FROM (SELECT item, item_id, unnest(w) AS term FROM b) GROUP BY ALL),
+p AS (SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, len(w) AS n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+f AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM p, c GROUP BY term, docs),
+g AS (SELECT row, doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total)) AS gain FROM p, c),
+s AS (SELECT item, item_id, row, doc_id, CAST(sum(times * weight * gain) AS BIGINT) AS score
+  FROM q JOIN f USING (term) JOIN g USING (term) GROUP BY ALL),
+r AS (SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank
+  FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+def _op13() -> str:
+    """Ten rounds of assignment and mean, one common table each, then the last assignment."""
+
+    def assigned(k: int) -> str:
+        return f"""a{k} AS MATERIALIZED (SELECT row, cluster, distance FROM (
+  SELECT row, cluster, distance, row_number() OVER (PARTITION BY row ORDER BY distance, cluster) AS place FROM (
+    SELECT row, c.cluster, list_sum(list_transform(list_zip(v, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS distance
+    FROM kept, c{k} c)) WHERE place = 1)"""
+
+    def mean(k: int) -> str:
+        return f"""c{k} AS MATERIALIZED (SELECT old.cluster, coalesce(new.x, old.x) AS x FROM c{k - 1} old LEFT JOIN (
+  SELECT cluster, list((total - ((total % size) + size) % size) // size ORDER BY place) AS x FROM (
+    SELECT cluster, place, CAST(sum(value) AS BIGINT) AS total, count(*) AS size FROM (
+      SELECT cluster, unnest(v) AS value, generate_subscripts(v, 1) AS place FROM a{k - 1} JOIN kept USING (row)) GROUP BY ALL)
+  GROUP BY cluster) new USING (cluster))"""
+
+    rounds = ",\n".join(f"{assigned(k)},\n{mean(k + 1)}" for k in range(10))
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id,
+  list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS cluster, v AS x
+  FROM kept QUALIFY cluster < 8),
+{rounds},
+{assigned(10)},
+z AS (SELECT cluster, CAST(sum(distance) AS BIGINT) AS cluster_inertia FROM a10 GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INT) AS cluster, CAST(distance AS BIGINT) AS distance, cluster_inertia,
+  (SELECT CAST(sum(distance) AS BIGINT) FROM a10) AS inertia, sha256(array_to_string(c10.x, ',')) AS centroid_sha256
+FROM a10 JOIN kept USING (row) JOIN z USING (cluster) JOIN c10 USING (cluster)
+"""
+
+
+ORACLES.update({"op12_lexical_search": _OP12, "op13_centroid_clusters": _op13()})

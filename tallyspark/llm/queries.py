@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination, html_text, language_id, mixing, ngram_join, pii, quality, repeats, token_counts, url_filter
+from tallyspark.llm import (
+    centroid_clusters,
+    decontamination,
+    html_text,
+    language_id,
+    lexical_search,
+    mixing,
+    ngram_join,
+    pii,
+    quality,
+    repeats,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from tallyspark.llm.shared import new_path
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -90,6 +104,23 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
+    judged = toxicity.judge(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return judged.select("doc_id", "held_out", "score", "predicted")
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight clusters of the embeddings after ten rounds."""
+    found = centroid_clusters.cluster(_table(spark, folder, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_html_text": op2_html_text,
@@ -102,4 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_language": op10_language,
+    "op11_toxicity": op11_toxicity,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
