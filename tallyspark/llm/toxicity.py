@@ -5,8 +5,8 @@ A feature is a word, two neighbouring words, or two words with one between them
 lower-cased. A text has each of its features once, however often it occurs.
 
 Learning is bounded: of each class at most `SAMPLE` documents by the order of a hash of their id, those
-over `SAMPLE_BYTES` of text left out, repeated texts once. Their features are hashed on the executors and
-learned from in numpy on the driver: follow-the-regularised-leader with a learning rate per coordinate and
+over `SAMPLE_BYTES` of text left out, repeated texts once. These texts (at most both bounds multiplied, twice)
+are learned from in numpy on the driver: follow-the-regularised-leader with a learning rate per coordinate and
 an L1 term that leaves most weights at exactly 0, so the model is a short sorted table that every task
 receives (at most one entry per feature of the sample that `MIN_TEXTS` texts share). A fifth of the sample, by
 a hash of the features, does not train: it fits slope and offset of the score, weighted to the share of toxic
@@ -15,7 +15,7 @@ documents among all labelled ones, so that 0.5 means equally likely in the corpu
 Scoring reads every whole text, null as empty, and only the text. A text without known features gets the
 score of the offset alone. Without labels of both classes there is nothing to tell apart and every score
 is the share of toxic labels (0 without labels). Several labels of one document count as toxic if one is;
-null labels and labels of unknown documents count for nothing. Rows are scored one by one, so repeats, ties
+null labels and labels of unknown ids, or of ids that several rows share, count for nothing. Rows are scored one by one, so repeats, ties
 and missing ids change nothing. Columns other than those named are not read, so their names cannot clash.
 """
 
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm.textbytes import LOWER_CODES, Hasher, Texts, mix, spans_of, texts_of
 
-SAMPLE = 6_000
-SAMPLE_BYTES = 20_000
+SAMPLE = 5_000
+SAMPLE_BYTES = 10_000
 MIN_TEXTS = 2
 EPOCHS = 8
 #: FTRL-proximal: learning rate, smoothing of the rate, L1 and L2.
@@ -190,12 +190,13 @@ def _fold() -> F.Column:
 def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[np.ndarray], list[int], float]:
     """Feature sets and labels to learn from, and the share of toxic ones among all labelled documents.
 
-    `docs` are those to learn from. Repeated labels meet before they are shuffled, and so do repeated
-    ids; per class the `SAMPLE` ids first by hash are drawn and broadcast to the texts.
+    `docs` are those to learn from. Repeated labels and ids are counted before they are shuffled; per
+    class the `SAMPLE` ids first by hash are drawn and broadcast to the texts, which do not move.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     known = known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-    pool = known.join(docs.select("doc_id").distinct(), "doc_id")
+    single = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows = 1")
+    pool = known.join(single.select("doc_id"), "doc_id")
     sizes = dict(map(tuple, pool.groupBy("toxic").count().collect()))  # two rows
     total = sum(sizes.values())
     share = sizes.get(1, 0) / total if total else 0.0
@@ -205,21 +206,15 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[np.ndarray], list[i
     ]
     chosen = F.broadcast(drawn[0].unionAll(drawn[1]))
     short = docs.where(F.octet_length("text") <= SAMPLE_BYTES).select("doc_id", "text")
-    texts = short.join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    texts = texts.groupBy("text").agg(F.max("toxic").alias("toxic"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
-        for batch in batches:
-            for part in texts_of(batch):
-                sets = pa.array([f.astype(np.int64) for f in features_of(part, hasher)], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column("toxic")[part.first : part.last], sets], ["toxic", "features"])
-
-    rows = texts.mapInArrow(run, "toxic int, features array<long>").toArrow()
-    sets = [np.array(x, np.int64).astype(np.uint64) for x in rows.column("features").to_numpy()]
-    order = sorted(range(len(sets)), key=lambda k: (len(sets[k]), sets[k].tobytes()))
-    toxic = rows.column("toxic").to_pylist()
-    return [sets[k] for k in order], [toxic[k] for k in order], share
+    rows = short.join(chosen, "doc_id").select("text", "toxic").collect()
+    labelled: dict[str, int] = {}
+    for row in rows:
+        labelled[row["text"]] = max(row["toxic"], labelled.get(row["text"], 0))
+    texts = sorted(labelled)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    hasher = Hasher()
+    sets = [features for part in texts_of(batch) for features in features_of(part, hasher)]
+    return sets, [labelled[text] for text in texts], share
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:

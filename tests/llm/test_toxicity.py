@@ -58,13 +58,13 @@ def plain_ftrl(rows, toxic, order, size):
 
 
 def test_ftrl_equals_plain(monkeypatch):
-    monkeypatch.setattr(tx, "L1", 4.0)
+    monkeypatch.setattr(tx, "L1", 2.0)
     rng = random.Random(6)
-    rows = [np.array(sorted(rng.sample(range(15), 5))) for _ in range(60)]
+    rows = [np.array(sorted(rng.sample(range(40), 4))) for _ in range(60)]
     toxic = np.array([float(3 in r) for r in rows])
     order = [k for g in [np.random.default_rng(9)] for _ in range(tx.EPOCHS) for k in g.permutation(60)]
-    got = tx._ftrl(rows, toxic, 15, 9)
-    assert np.allclose(got, plain_ftrl(rows, toxic, order, 15))
+    got = tx._ftrl(rows, toxic, 40, 9)
+    assert np.allclose(got, plain_ftrl(rows, toxic, order, 40))
     assert (got == 0).any() and got[3] > 0
 
 
