@@ -163,25 +163,30 @@ pairs AS (
   UNION ALL SELECT run_id, 'u1-v1' FROM scores WHERE r = 1),
 matched AS (
   SELECT candidate, baseline, c.user_id <> b.user_id AS other_data, c.model <> b.model
-    AS other_model, c.macro_f1 - b.macro_f1 AS gain, [{_DROPS}] AS drops,
+    AS other_model, c.macro_f1 - b.macro_f1 AS gain, c.macro_f1 AS new_f1, b.macro_f1 AS old_f1, [{_DROPS}] AS drops,
     1.0::DOUBLE - c.parse_failure_rate AS parse_rate,
     CASE WHEN b.cost > 0 THEN c.cost / b.cost END AS cost,
     CASE WHEN b.latency > 0 THEN c.latency / b.latency END AS latency
   FROM pairs JOIN scores c ON c.run_id = candidate JOIN scores b ON b.run_id = baseline),
 judged AS (
-  SELECT *, list_max(drops).d AS worst FROM matched WHERE NOT other_data AND NOT other_model),
+  SELECT *, list_max(drops).d AS worst, list_max(drops).label AS worst_label FROM matched WHERE NOT other_data AND NOT other_model),
 ruled AS (
   SELECT candidate, baseline, unnest([
     {{'position': 0, 'rule': 'macro_f1_gain', 'passed': gain >= 0.005::DOUBLE,
-      'value': gain, 'limit': 0.005::DOUBLE}},
+      'value': gain, 'limit': 0.005::DOUBLE, 'reason': concat('macro_f1 gain: ', printf('%+.4f', gain),
+        ', from ', printf('%.4f', old_f1), ' to ', printf('%.4f', new_f1), ' (min +0.0050)')}},
     {{'position': 1, 'rule': 'class_f1_drop', 'passed': worst <= 0.05::DOUBLE,
-      'value': worst, 'limit': 0.05::DOUBLE}},
+      'value': worst, 'limit': 0.05::DOUBLE, 'reason': concat('per-class f1 drop: ', printf('%+.4f', worst),
+        ' for ''', worst_label, ''' (max 0.0500)')}},
     {{'position': 2, 'rule': 'parse_rate', 'passed': parse_rate >= 0.99::DOUBLE,
-      'value': parse_rate, 'limit': 0.99::DOUBLE}},
+      'value': parse_rate, 'limit': 0.99::DOUBLE,
+      'reason': concat('parse rate: ', printf('%.4f', parse_rate), ' (min 0.9900)')}},
     {{'position': 3, 'rule': 'cost', 'passed': coalesce(cost <= 1.5::DOUBLE, true),
-      'value': cost, 'limit': 1.5::DOUBLE}},
+      'value': cost, 'limit': 1.5::DOUBLE,
+      'reason': concat('cost multiplier: ', printf('%.2f', cost), 'x (max 1.50x)')}},
     {{'position': 4, 'rule': 'latency', 'passed': coalesce(latency <= 1.5::DOUBLE, true),
-      'value': latency, 'limit': 1.5::DOUBLE}}], recursive := true)
+      'value': latency, 'limit': 1.5::DOUBLE,
+      'reason': concat('latency multiplier: ', printf('%.2f', latency), 'x (max 1.50x)')}}], recursive := true)
   FROM judged),
 verdicts AS (
   SELECT candidate, baseline, CASE WHEN bool_and(passed) THEN 'PROMOTE' ELSE 'REVERT' END
@@ -253,19 +258,14 @@ def _fingerprint_sql() -> str:
         f"CASE WHEN {name} IS NULL THEN '-' ELSE length({name}) || ':' || {name} END"
         for name in ("id", "text", "label", "difficulty", "note")
     )
-    words = ", ".join(f"('0x' || substr(h, {1 + 15 * i}, 15))::BIGINT AS w{i}" for i in range(4))
-    lanes = ", ".join(
-        f"CAST(sum((w{i} >> {shift}) & 1048575) AS BIGINT) AS s{i}_{shift}"
-        for i in range(4)
-        for shift in (40, 20, 0)
-    )
-    names = [f"s{i}_{shift}" for i in range(4) for shift in (40, 20, 0)]
-    total = " || ',' || ".join(["n_examples", *names])
+    node = "sha256(string_agg(leaf, ',' ORDER BY leaf)) AS leaf, sum(n) AS n"
     return f"""WITH {_DOCS},
     h AS (SELECT sha256({row}) AS h FROM ex),
-    w AS (SELECT {words} FROM h),
-    s AS (SELECT count(*) AS n_examples, {lanes} FROM w)
-    SELECT n_examples, left(sha256({total}), 12) AS fingerprint FROM s"""
+    l AS (SELECT h, h || ':' || count(*) AS leaf, count(*) AS n FROM h GROUP BY h),
+    l6 AS (SELECT left(h, 6) AS p, {node} FROM l GROUP BY 1),
+    l3 AS (SELECT left(p, 3) AS q, {node} FROM l6 GROUP BY 1),
+    root AS (SELECT {node} FROM l3)
+    SELECT CAST(n AS BIGINT) AS n_examples, left(sha256(n || ',' || leaf), 12) AS fingerprint FROM root"""
 
 
 _TEMPLATES = """
@@ -380,7 +380,7 @@ ORACLES: dict[str, str] = {
     "gate_decisions": f"{_PAIRED} SELECT * FROM verdicts",
     "gate_reasons": f"""{_PAIRED} SELECT candidate, baseline, verdict, position, rule, passed,
         CASE WHEN round(value, 6) = 0 THEN 0.0::DOUBLE ELSE round(value, 6) END AS value, "limit",
-        CASE WHEN passed THEN '[PASS]' ELSE '[FAIL]' END AS status
+        CASE WHEN passed THEN '[PASS] ' ELSE '[FAIL] ' END || reason AS reason
         FROM ruled JOIN verdicts USING (candidate, baseline)""",
     "gate_incomparable": f"""{_PAIRED} SELECT candidate, baseline, 'INCOMPARABLE' AS verdict,
         CASE WHEN other_data THEN 'different dataset' ELSE 'different model' END AS reason
@@ -444,7 +444,32 @@ ORACLES: dict[str, str] = {
           ELSE '{{text}} ' || text || '}}' END) AS BIGINT) AS prompt_tokens,
         CAST(9 AS BIGINT) AS completion_tokens
         FROM documents CROSS JOIN prompts""",
-    "scan_examples": f"{_VIOLATIONS} SELECT violation, detail, count(*) AS n FROM bad GROUP BY ALL",
+    "scan_examples": f"""{_VIOLATIONS},
+        placed AS (SELECT doc_id + 1 AS line_no, doc_id // 1000 AS part,
+          row_number() OVER (PARTITION BY doc_id // 1000 ORDER BY doc_id) AS place FROM documents)
+        SELECT part, place AS line_no, violation, detail FROM bad JOIN placed USING (line_no)""",
+    "report_text": f"""{_BY_RUN},
+        lines AS (SELECT run_id, slice, string_agg(rpad(label, 20, ' ') || lpad(printf('%.3f', precision), 10, ' ')
+          || lpad(printf('%.3f', recall), 10, ' ') || lpad(printf('%.3f', f1), 10, ' ')
+          || lpad(CAST(support AS VARCHAR), 10, ' '), chr(10) ORDER BY label) AS body FROM prf GROUP BY ALL)
+        SELECT run_id, slice, concat_ws(chr(10), 'class                precision    recall        f1   support',
+          repeat('-', 60), body, '', 'accuracy:            ' || printf('%.3f', accuracy),
+          'macro_f1:            ' || printf('%.3f', macro_f1), 'micro_f1:            ' || printf('%.3f', micro_f1),
+          'parse_failure_rate:  ' || printf('%.3f', parse_failure_rate) || ' (' || parse_failures || '/' || support || ')')
+          AS text FROM sm JOIN lines USING (run_id, slice)""",
+    "prompt_files": """WITH c AS (SELECT conv_id, conv_id % 8 AS c, string_agg(text, ' ' ORDER BY turn) AS system
+          FROM conversations GROUP BY conv_id),
+        f AS (SELECT *, concat('c', conv_id, CASE WHEN c = 4 THEN ' +%41é' ELSE '' END) AS stem FROM c)
+        SELECT stem, CASE c WHEN 0 THEN 'not a YAML mapping' WHEN 1 THEN 'missing field' WHEN 2
+            THEN 'version does not match file name' WHEN 3 THEN 'invalid YAML' END AS violation,
+          CASE c WHEN 1 THEN 'system' WHEN 2 THEN stem || 'x' END AS detail,
+          CASE WHEN c NOT IN (0, 1, 3) THEN CAST(length(system) AS INT) END AS n_chars FROM f""",
+    "run_store_examples": f"""{_PARSED} SELECT run AS run_id, CAST(id AS VARCHAR) AS id, 1 AS "repeat", expected, difficulty,
+        raw_output, predicted, CAST(prompt_tokens AS BIGINT) AS prompt_tokens,
+        CAST(completion_tokens AS BIGINT) AS completion_tokens FROM pred""",
+    "gate_cycle": f"""{_EVENT_FOLD} SELECT concat('v', fold.r) AS prompt_version,
+        (SELECT count(*) FROM events) AS n_predictions, round(macro_f1, 6) AS macro_f1,
+        verdict <> 'REVERT' AS became_baseline FROM fold JOIN scores USING (run_id) WHERE fold.r <= 3""",
     "run_store_roundtrip": f"""{_BY_RUN}, {_TOTALS}
         SELECT concat('20240201T00000000', right(run_id, 1), 'Z_', run_id) AS run_id,
           run_id AS prompt_version, CAST(prompt_tokens AS BIGINT) AS prompt_tokens,

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +14,11 @@ from tallyspark.functions.parsing import parse_predictions
 from tallyspark.functions.run_ids import run_id, utc_stamp
 from tallyspark.operators import fingerprint, gate, inspect, metrics, promotion, scoring, validate
 from tallyspark.operators.totals import run_cost, run_totals
-from tallyspark.sources.checkpoints import kept
 from tallyspark.sources.examples import scan_examples as scan_example_files
+from tallyspark.operators.records import from_chunks
+from tallyspark.plans.promote import run_and_gate
+from tallyspark.sources.folders import new_folder
+from tallyspark.sources.prompts import scan_prompts
 from tallyspark.sources.run_store import RunStore
 from tallyspark.sources.tables import read_table
 
@@ -31,7 +33,7 @@ def _r(name: str) -> F.Column:
 
 def _cells(spark: SparkSession, folder: str) -> DataFrame:
     """The one pass over the predictions; every metric is derived from its small result."""
-    return kept(metrics.count_cells(views.event_predictions(spark, folder), E))
+    return metrics.count_cells(views.event_predictions(spark, folder), E)
 
 
 def _slice_columns(per_slice: DataFrame) -> DataFrame:
@@ -75,7 +77,7 @@ def slice_metrics_joined(spark: SparkSession, folder: str) -> DataFrame:
     outputs = views.event_outputs(spark, folder).drop("expected", "difficulty")
     examples = views.event_examples(spark, folder)
     joined = parse_predictions(scoring.attach_examples(outputs, examples), E)
-    per_class = metrics.class_metrics(kept(metrics.count_cells(joined, E)), E)
+    per_class = metrics.class_metrics(metrics.count_cells(joined, E), E)
     return _slice_columns(metrics.slice_metrics(per_class, E))
 
 
@@ -106,8 +108,13 @@ def classification_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def report_text(spark: SparkSession, folder: str) -> DataFrame:
+    result = views.event_result(spark, folder)
+    return metrics.report_text(metrics.classification_report(result.class_metrics, result.slice_metrics))
+
+
 def retarget_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    cells = kept(metrics.count_cells(views.order_predictions(spark, folder), O))
+    cells = metrics.count_cells(views.order_predictions(spark, folder), O)
     return _slice_columns(metrics.slice_metrics(metrics.class_metrics(cells, O), O))
 
 
@@ -257,7 +264,7 @@ def gate_reasons(spark: SparkSession, folder: str) -> DataFrame:
         "passed",
         _r("value"),
         "limit",
-        F.substring("reason", 1, 6).alias("status"),
+        "reason",
     )
 
 
@@ -291,13 +298,15 @@ def _decoded(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scan_examples(spark: SparkSession, folder: str) -> DataFrame:
-    """The lines written to files and read back: every line is found again, and judged alike."""
-    path = _scratch(spark, "lines")
-    lines = views.document_lines(spark, folder).repartitionByRange(3, "line_no")
+    """The lines written to files of a thousand and read back: bad lines with their numbers."""
+    path = new_folder(spark, "lines")
+    lines = views.document_lines(spark, folder).withColumn("part", F.expr("(line_no - 1) div 1000"))
     # Text readers end lines at any line break, which JSON writes as an escape.
-    lines.sortWithinPartitions("line_no").select(F.col("raw").alias("value")).write.text(path)
+    ordered = lines.repartition("part").sortWithinPartitions("part", "line_no")
+    ordered.select("part", F.col("raw").alias("value")).write.partitionBy("part").text(path)
     bad = validate.validate_examples(scan_example_files(spark, path), L)
-    return bad.groupBy("violation", "detail").agg(F.count(F.lit(1)).alias("n"))
+    part = F.regexp_extract("file", r"/part=(\d+)/", 1).cast("long")
+    return bad.select(part.alias("part"), "line_no", "violation", "detail")
 
 
 def validate_examples(spark: SparkSession, folder: str) -> DataFrame:
@@ -348,6 +357,27 @@ def prompt_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return prompts.select("version", "fingerprint")
 
 
+def prompt_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation written as a prompt file, some of them faulty, and the folder scanned."""
+    path = new_folder(spark, "prompts")
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow.fs import FileSystem, LocalFileSystem
+
+        system, root = FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (LocalFileSystem(), path)
+        system.create_dir(root)
+        for batch in batches:
+            for stem, text in zip(batch["stem"], batch["text"]):
+                with system.open_output_stream(f"{root}/{stem}.yaml") as file:
+                    file.write(text.encode())
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    views.conversation_files(spark, folder).mapInPandas(write, "n long").agg(F.sum("n")).collect()
+    scanned = scan_prompts(spark, path)
+    judged = validate.check_prompts(scanned)
+    return judged.select("stem", "violation", "detail", F.length("system").alias("n_chars"))
+
+
 def render_prompts(spark: SparkSession, folder: str) -> DataFrame:
     examples = views.document_examples(spark, folder)
     return scoring.render_prompts(examples, views.render_prompts_set(spark))
@@ -402,19 +432,9 @@ def score_replay(spark: SparkSession, folder: str) -> DataFrame:
 # ---- stored runs ---------------------------------------------------------------------------
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the one that the session shares; a local session may do without."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("this query writes files: set spark.checkpoint.dir to a shared folder")
-        root = tempfile.mkdtemp(prefix="tallyspark-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def run_store_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Six runs stored, two of them read back as records."""
-    store = RunStore(spark, _scratch(spark, "runs"))
+    store = RunStore(spark, new_folder(spark, "runs"))
     result = views.event_result(spark, folder)
     stamped = F.expr("concat('20240201T00000000', right(run_id, 1), 'Z_', run_id)").alias("run_id")
 
@@ -445,9 +465,45 @@ def run_store_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def run_store_examples(spark: SparkSession, folder: str) -> DataFrame:
+    """All predictions of six stored runs, loaded as chunks of a record and taken apart again."""
+    store = RunStore(spark, new_folder(spark, "runs"))
+    typed = {"id": F.col("id").cast("string"), "prompt_tokens": F.col("prompt_tokens").cast("long"), "completion_tokens": F.col("completion_tokens").cast("long")}
+    store.save("predictions", views.event_predictions(spark, folder).withColumns(typed))
+    chunks = store.example_chunks(*[f"v{k}" for k in range(1, views.N_RUNS + 1)], rows=500)
+    return from_chunks(chunks).drop("latency_ms")
+
+
+def gate_cycle(spark: SparkSession, folder: str) -> DataFrame:
+    """Three prompts evaluated from recordings, stored, gated and promoted one after the other."""
+    store = RunStore(spark, new_folder(spark, "cycle"))
+    examples = views.event_examples(spark, folder).withColumn("id", F.col("id").cast("string"))
+    outputs = views.event_outputs(spark, folder)
+    for version in ("v1", "v2", "v3"):
+        answers = outputs.where(F.col("run_id") == version).select(
+            "run_id",
+            F.col("id").cast("string").alias("id"),
+            "repeat",
+            F.col("raw_output").alias("content"),
+            F.col("prompt_tokens").cast("long").alias("prompt_tokens"),
+            F.col("completion_tokens").cast("long").alias("completion_tokens"),
+            "latency_ms",
+        )
+        run_and_gate(
+            store, examples, views.one_prompt(spark, version), E, "model-a",
+            chain="events", completions=answers, prices=views.PRICES,
+        )
+    runs = store.read("runs").select("run_id", "prompt_version", "n_predictions")
+    moved = store.pointers().select("run_id", F.lit(True).alias("moved"))
+    whole = store.read("slice_metrics").where("slice = 'overall'").select("run_id", _r("macro_f1"))
+    return runs.join(whole, "run_id").join(moved, "run_id", "left").select(
+        "prompt_version", "n_predictions", "macro_f1", F.coalesce("moved", F.lit(False)).alias("became_baseline")
+    )
+
+
 def baseline_pointer(spark: SparkSession, folder: str) -> DataFrame:
     """Every user's promotions appended to a store, and the newest pointers read back."""
-    store = RunStore(spark, _scratch(spark, "pointers"))
+    store = RunStore(spark, new_folder(spark, "pointers"))
     result = views.user_result(spark, folder)
     scores = result.scores()
     moves = promotion.baselines(promotion.promotion_chain(scores, E), result.runs)
@@ -465,6 +521,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "confusion_long": confusion_long,
     "confusion_wide": confusion_wide,
     "classification_report": classification_report,
+    "report_text": report_text,
     "retarget_metrics": retarget_metrics,
     "unknown_true_labels": unknown_true_labels,
     "unpaired_predictions": unpaired_predictions,
@@ -491,6 +548,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dataset_fingerprint": dataset_fingerprint,
     "prompt_registry": prompt_registry,
     "prompt_violations": prompt_violations,
+    "prompt_files": prompt_files,
     "prompt_fingerprints": prompt_fingerprints,
     "render_prompts": render_prompts,
     "repeat_expand": repeat_expand,
@@ -498,5 +556,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_client": score_client,
     "scan_examples": scan_examples,
     "run_store_roundtrip": run_store_roundtrip,
+    "run_store_examples": run_store_examples,
     "baseline_pointer": baseline_pointer,
+    "gate_cycle": gate_cycle,
 }

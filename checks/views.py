@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark import schemas
+from tallyspark.functions.json_text import canonical_json
 from tallyspark.functions.parsing import parse_predictions
 from tallyspark.operators.fingerprint import dataset_fingerprint, prompt_registry
 from tallyspark.operators.validate import PROMPT_FIELDS
 from tallyspark.plans.evaluate import EvalResult, run_summary
-from tallyspark.sources.checkpoints import kept
+from tallyspark.operators.sharing import one_pass
 from tallyspark.sources.tables import read_table
 from tallyspark.task import TaskSpec
 
@@ -106,7 +107,7 @@ def _run_rows(heads: DataFrame, run: str, model: str) -> DataFrame:
 
 def event_runs(spark: SparkSession, folder: str) -> DataFrame:
     """The six runs over all events, one chain."""
-    heads = dataset_fingerprint(event_examples(spark, folder)).select(
+    heads = one_pass(dataset_fingerprint(event_examples(spark, folder))).select(
         F.lit("events").alias("chain"), F.col("fingerprint").alias("dataset_fp")
     )
     return _run_rows(heads, "concat('v', r)", "'model-a'")
@@ -114,7 +115,7 @@ def event_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 def user_runs(spark: SparkSession, folder: str, model: str = "'model-a'") -> DataFrame:
     """Six runs per user over that user's events, one chain per user."""
-    heads = dataset_fingerprint(event_examples(spark, folder), by=["user_id"]).select(
+    heads = one_pass(dataset_fingerprint(event_examples(spark, folder), by=["user_id"])).select(
         F.concat(F.lit("u"), F.col("user_id")).alias("chain"),
         F.col("fingerprint").alias("dataset_fp"),
     )
@@ -122,12 +123,12 @@ def user_runs(spark: SparkSession, folder: str, model: str = "'model-a'") -> Dat
 
 
 def event_result(spark: SparkSession, folder: str) -> EvalResult:
-    runs = kept(event_runs(spark, folder))
+    runs = event_runs(spark, folder)
     return run_summary(runs, event_predictions(spark, folder), EVENT_TASK, PRICES)
 
 
 def user_result(spark: SparkSession, folder: str, model: str = "'model-a'") -> EvalResult:
-    runs = kept(user_runs(spark, folder, model))
+    runs = user_runs(spark, folder, model)
     return run_summary(runs, event_predictions(spark, folder, by_user=True), EVENT_TASK, PRICES)
 
 
@@ -283,6 +284,35 @@ def conversation_prompts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def one_prompt(spark: SparkSession, version: str) -> DataFrame:
+    row = (version, None, list(PROMPT_FIELDS), version, None, "a version", "Answer with JSON.", "Event: {text}")
+    return prompt_registry(spark.createDataFrame([row], schemas.PROMPT_SOURCE))
+
+
+def conversation_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``stem, text``: a YAML file per conversation; by its number some are empty or faulty."""
+    turns = read_table(spark, folder, "conversations", "conv_id", "turn", "text")
+    whole = turns.groupBy("conv_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda t: t["text"]), " ").alias("system")
+    )
+    case = F.col("conv_id") % 8
+    name = F.concat(F.lit("c"), F.col("conv_id"))
+    stem = F.when(case == 4, F.concat(name, F.lit(" +%41é"))).otherwise(name)
+    fields = {
+        "version": F.when(case == 2, F.concat("stem", F.lit("x"))).otherwise(F.col("stem")),
+        "parent": F.lit(None).cast("string"),
+        "changelog": F.lit("from a talk"),
+        "system": F.col("system"),
+        "user_template": F.lit("{text}"),
+    }
+    # JSON text of ASCII is YAML too; characters beyond 16 bits would need another escape.
+    plain = F.regexp_replace("system", r"[^\x{0}-\x{FFFF}]", "?")
+    good = canonical_json(fields)
+    lacking = canonical_json({name: value for name, value in fields.items() if name != "system"})
+    text = F.when(case == 0, "").when(case == 1, lacking).when(case == 3, F.concat(good, F.lit("]"))).otherwise(good)
+    return whole.withColumn("system", plain).withColumn("stem", stem).select("stem", text.alias("text"))
+
+
 def document_completions(spark: SparkSession, folder: str) -> DataFrame:
     """Recorded completions of two of the three prompts for each document."""
     return (

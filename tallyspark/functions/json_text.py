@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Spark accepts single-quoted JSON by default; the contract does not.
 #: Its limits on the length of numbers and texts would make valid lines invalid.
 _NO_LIMIT = str(2**31 - 1)
 STRICT_OPTIONS = {"allowSingleQuotes": "false", "maxNumLen": _NO_LIMIT, "maxStringLen": _NO_LIMIT}
 
+#: For schemas that skip what is nested; building deep values would exhaust the stack.
+ANY_DEPTH = {**STRICT_OPTIONS, "maxNestingDepth": _NO_LIMIT}
+_SKIPPED = "array<struct<other int>>"
+#: Nesting that Spark's JSON functions read without more.
+READER_DEPTH = 1_000
+
 #: Number-like tokens that Spark reads as infinities but that are not JSON constants here.
 _FOREIGN_INFINITY = r"[+-]INF|\+Infinity"
 
@@ -50,11 +59,32 @@ def is_strict_json(text: Column) -> Column:
     ``from_json`` ignores anything after the first value. Wrapping closes that hole: trailing
     text breaks at least one of the two wrappers, because no suffix can close both.
     """
-    listed = F.from_json(in_brackets(text), "array<string>", STRICT_OPTIONS)
-    keyed = F.from_json(in_object(text), "map<string,string>", STRICT_OPTIONS)
+    # Fields that no schema names are skipped, not built, so any depth of nesting is read.
+    listed = F.from_json(F.concat(F.lit('[{"r":['), text, F.lit("]}]")), _SKIPPED, ANY_DEPTH)
+    keyed = F.from_json(F.concat(F.lit('[{"r":'), text, F.lit("}]")), _SKIPPED, ANY_DEPTH)
     return listed.isNotNull() & keyed.isNotNull() & ~has_foreign_infinity(text)
 
 
+def may_be_deep(text: Column) -> Column:
+    """More opening brackets than the reader's depth, in or out of literals."""
+    return F.length(F.regexp_replace(text, r"[^\[{]", "")) > READER_DEPTH
+
+
+def deep_string(text: Column, key: str) -> Column:
+    """The string under a key of a valid JSON object of any depth; null for any other kind of value.
+
+    A reader of strings also takes numbers, constants, arrays and objects as their text. A value that
+    a reader of one of those kinds accepts is therefore not a string.
+    """
+
+    def read(kind: str) -> Column:
+        schema = T.StructType([T.StructField(key, T.DataType.fromDDL(kind))])
+        return F.from_json(text, schema, ANY_DEPTH).getField(key)
+
+    others = [read(kind) for kind in ("double", "boolean", "array<struct<other int>>", "struct<other int>")]
+    return F.when(reduce(lambda a, b: a & b, [value.isNull() for value in others]), read("string"))
+
+
 def json_string(text: Column) -> Column:
     """``text`` as an ASCII-only JSON string literal, quotes included."""
     escaped = text

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspark.functions.json_text import STRICT_OPTIONS, is_strict_json
+from tallyspark.functions.json_text import STRICT_OPTIONS, deep_string, is_strict_json, may_be_deep
 from tallyspark.task import PARSE_FAILURE, TaskSpec
 
 _WS = r"[ \t\n\r]*"
@@ -61,19 +61,16 @@ def parse_predictions(outputs: DataFrame, task: TaskSpec, raw: str = "raw_output
             "_inner",
             F.when(block.isNotNull() & ~_may_be_json(text), _plain_label(block, task.response_key)),
         )
+        .withColumn("_source", F.when(is_open("_plain") & is_open("_inner"), source))
         .withColumn(
-            "_value",
-            F.when(
-                is_open("_plain") & is_open("_inner"),
-                F.from_json(source, answer, STRICT_OPTIONS).getField(task.response_key),
-            ),
+            "_value", F.from_json(F.col("_source"), answer, STRICT_OPTIONS).getField(task.response_key)
         )
         .withColumn(
             "_label",
             F.when(
                 F.schema_of_variant("_value") == "STRING",
                 F.variant_get(F.col("_value"), "$", "string"),
-            ),
+            ).when(may_be_deep(F.col("_source")), deep_string(F.col("_source"), task.response_key)),
         )
     )
     labels = [known(F.col(name)) for name in ("_plain", "_inner", "_label")]

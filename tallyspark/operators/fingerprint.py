@@ -14,10 +14,8 @@ from tallyspark.operators.validate import PROMPT_FIELDS, check_prompts
 #: Everything that identifies an example, the human note included.
 IDENTITY_FIELDS = ("id", "text", "label", "difficulty", "note")
 
-#: A digest is read as words of 60 bits, each cut into lanes of 20 bits.
-_WORDS, _WORD_HEX = 4, 15
-_LANE_SHIFTS = (40, 20, 0)
-_LANE_MASK = (1 << 20) - 1
+#: Hex digits that the children of a node share, level by level below the root.
+_PREFIXES = (6, 3)
 
 
 def row_digest(fields: Sequence[str] = IDENTITY_FIELDS) -> Column:
@@ -36,36 +34,26 @@ def dataset_fingerprint(
 ) -> DataFrame:
     """Order-free content hash: 12 lowercase hex digits per dataset (or per ``by`` group).
 
-    The row digests are summed lane by lane (an additive multiset hash), and the sums are hashed.
-    Sums combine on the map side, so each task ships one row whatever the dataset's size, and a
-    block of identical rows costs nothing extra. The 20-bit lanes stay exact up to 2^43 rows.
+    A hash tree over the row digests. Equal rows are counted first, combined on the map side, so a
+    block of copies costs nothing extra and each distinct digest is a leaf with its count. Leaves that
+    share their first hex digits hash, in order, into a node; nodes of shorter prefixes into the next,
+    up to the root. No node has more than a few thousand children up to some 10^11 rows.
     """
-    words = [
-        F.conv(F.substring("_digest", 1 + _WORD_HEX * i, _WORD_HEX), 16, 10)
-        .cast("long")
-        .alias(f"_w{i}")
-        for i in range(_WORDS)
-    ]
-    lanes = [
-        F.sum(F.shiftright(f"_w{i}", shift).bitwiseAND(F.lit(_LANE_MASK))).alias(f"_s{i}_{shift}")
-        for i in range(_WORDS)
-        for shift in _LANE_SHIFTS
-    ]
-    names = [f"_s{i}_{shift}" for i in range(_WORDS) for shift in _LANE_SHIFTS]
-    sums = (
-        examples.select(*by, row_digest(fields).alias("_digest"))
-        .select(*by, *words)
-        .groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("n_examples"), *lanes)
-    )
-    total = F.concat_ws(
-        ",",
-        F.col("n_examples").cast("string"),
-        *[F.coalesce(F.col(name), F.lit(0)).cast("string") for name in names],
+    level = (
+        examples.select(*by, row_digest(fields).alias("_key"))
+        .groupBy(*by, "_key")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_leaf", F.concat_ws(":", "_key", F.col("_rows").cast("string")))
     )
-    return sums.select(
-        *by, "n_examples", F.substring(F.sha2(total, 256), 1, 12).alias("fingerprint")
+    node = F.sha2(F.array_join(F.array_sort(F.collect_list("_leaf")), ","), 256)
+    for width in _PREFIXES:
+        prefix = F.substring("_key", 1, width).alias("_key")
+        level = level.groupBy(*by, prefix).agg(F.sum("_rows").alias("_rows"), node.alias("_leaf"))
+    root = level.groupBy(*by).agg(
+        F.coalesce(F.sum("_rows"), F.lit(0).cast("long")).alias("n_examples"), node.alias("_leaf")
     )
+    total = F.concat_ws(",", F.col("n_examples").cast("string"), "_leaf")
+    return root.select(*by, "n_examples", F.substring(F.sha2(total, 256), 1, 12).alias("fingerprint"))
 
 
 def prompt_fingerprint() -> Column:

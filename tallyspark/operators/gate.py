@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.operators.joins import fits_broadcast
+from tallyspark.functions.numbers import fixed
 from tallyspark.task import OVERALL, TaskSpec
 
 PROMOTE, REVERT, INCOMPARABLE = "PROMOTE", "REVERT", "INCOMPARABLE"
@@ -47,13 +48,11 @@ def facts() -> Column:
 def pair_runs(pairs: DataFrame, scores: DataFrame) -> DataFrame:
     """Look up both runs of each ``(candidate, baseline)`` pair as structs ``c`` and ``b``.
 
-    Every pair stays; a run without scores is a null struct. Scores within the broadcast bounds
-    (they are measured) are broadcast, so the pairs do not move. Larger ones meet the pairs in two
-    left joins, whose skewed partitions (many candidates may share one baseline) Spark splits.
+    Every pair stays; a run without scores is a null struct. Spark broadcasts the scores where their
+    measured size allows it; larger ones meet the pairs in two left joins, whose skewed partitions
+    (many candidates may share one baseline) are split.
     """
     packed = scores.select("run_id", facts().alias("run"))
-    if fits_broadcast(packed):
-        packed = F.broadcast(packed)
     for key, name in (("candidate", "c"), ("baseline", "b")):
         pairs = pairs.join(packed.withColumnsRenamed({"run_id": key, "run": name}), key, "left")
     return pairs
@@ -151,6 +150,15 @@ def rule_passes(name: str, value, limit: float):
     return value >= limit if name in ("macro_f1_gain", "parse_rate") else value <= limit
 
 
+def passes(task: TaskSpec, cfg: GateConfig) -> Column:
+    """Whether run ``c`` passes all rules against run ``b``, which it may be compared with."""
+    values = rule_values(F.col("c"), F.col("b"), F.array_max(_drops(task))["drop"], column_growth)
+    limits = rule_limits(cfg)
+    # Only a growth over nothing is null, and that passes.
+    each = [F.coalesce(rule_passes(k, v, F.lit(limits[k])), v.isNull()) for k, v in values.items()]
+    return reduce(Column.__and__, each)
+
+
 def column_growth(new: Column, old: Column) -> Column:
     return F.when(old > 0, new / old)
 
@@ -161,30 +169,30 @@ def rules(worst: Column, cfg: GateConfig) -> Column:
     values = rule_values(new, old, worst["drop"], column_growth)
     limits = rule_limits(cfg)
     lit = {name: F.lit(limit) for name, limit in limits.items()}
+
+    def words(*parts) -> Column:
+        return F.concat(*[F.lit(part) if isinstance(part, str) else part for part in parts])
+
     texts = {
-        "macro_f1_gain": F.format_string(
-            "macro_f1 gain: %+.4f, from %.4f to %.4f (min %+.4f)",
-            values["macro_f1_gain"],
-            old["macro_f1"],
-            new["macro_f1"],
-            lit["macro_f1_gain"],
+        "macro_f1_gain": words(
+            "macro_f1 gain: ", fixed(values["macro_f1_gain"], 4, sign=True),
+            ", from ", fixed(old["macro_f1"], 4), " to ", fixed(new["macro_f1"], 4),
+            " (min ", fixed(lit["macro_f1_gain"], 4, sign=True), ")",
         ),
-        "class_f1_drop": F.format_string(
-            "per-class f1 drop: %+.4f for '%s' (max %.4f)",
-            worst["drop"],
-            worst["label"],
-            lit["class_f1_drop"],
+        "class_f1_drop": words(
+            "per-class f1 drop: ", fixed(worst["drop"], 4, sign=True),
+            " for '", worst["label"], "' (max ", fixed(lit["class_f1_drop"], 4), ")",
         ),
-        "parse_rate": F.format_string(
-            "parse rate: %.4f (min %.4f)", values["parse_rate"], lit["parse_rate"]
+        "parse_rate": words(
+            "parse rate: ", fixed(values["parse_rate"], 4), " (min ", fixed(lit["parse_rate"], 4), ")"
         ),
     }
-    for name, field, unit in (("cost", "est_cost_usd", "$%.6f"), ("latency", "latency_ms", "%.0fms")):
-        title = f"{name} multiplier"
+    spent = {"cost": ("est_cost_usd", "$", 6, ""), "latency": ("latency_ms", "", 0, "ms")}
+    for name, (field, head, digits, unit) in spent.items():
+        title = f"{name} multiplier: "
         texts[name] = F.when(
-            old[field] > 0,
-            F.format_string(f"{title}: %.2fx (max %.2fx)", values[name], lit[name]),
-        ).otherwise(F.format_string(f"{title}: skipped, baseline is 0 (candidate {unit})", new[field]))
+            old[field] > 0, words(title, fixed(values[name], 2), "x (max ", fixed(lit[name], 2), "x)")
+        ).otherwise(words(title, f"skipped, baseline is 0 (candidate {head}", fixed(new[field], digits), f"{unit})"))
 
     def result(name: str) -> Column:
         passed = F.coalesce(rule_passes(name, values[name], lit[name]), values[name].isNull())

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.functions.numbers import fixed
+from tallyspark.operators.sharing import one_pass
 from tallyspark.task import OVERALL, PARSE_FAILURE, TaskSpec
 
 
@@ -57,7 +59,7 @@ def count_cells(predictions: DataFrame, task: TaskSpec) -> DataFrame:
     )
     known = F.col("y_true").isin(list(task.classes))
     # A filter, so that the check stays whichever columns are read afterwards.
-    return cells.where(F.when(known, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    return one_pass(cells.where(F.when(known, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))))
 
 
 def _slices_of(difficulty: Column, task: TaskSpec) -> Column:
@@ -220,6 +222,35 @@ def slice_metrics(per_class: DataFrame, task: TaskSpec) -> DataFrame:
     )
 
 
+# The column widths and the first two lines of the report.
+_NAME, _NUMBER = 20, 10
+REPORT_HEAD = "class".ljust(_NAME) + "".join(x.rjust(_NUMBER) for x in ("precision", "recall", "f1", "support"))
+REPORT_RULE = "-" * len(REPORT_HEAD)
+
+
+def _padded(text: Column, width: int, left: bool = False) -> Column:
+    """Text in a column of a width; longer text is not cut."""
+    blanks = F.repeat(F.lit(" "), F.greatest(F.lit(width) - F.length(text), F.lit(0)))
+    return F.concat(blanks, text) if left else F.concat(text, blanks)
+
+
+def report_text(report: DataFrame) -> DataFrame:
+    """``run_id, slice, text``: the printable report, one text per run and slice.
+
+    Reads the rows of ``classification_report``, a handful per text.
+    """
+    ordered = F.array_sort(F.collect_list(F.struct("position", "item", "line")))
+    lines = report.groupBy("run_id", "slice").agg(ordered.alias("rows"))
+
+    def part(test) -> Column:
+        return F.transform(F.filter("rows", test), lambda row: row["line"])
+
+    labels, totals = part(lambda row: row["position"] == 0), part(lambda row: row["position"] > 0)
+    head = F.array(F.lit(REPORT_HEAD), F.lit(REPORT_RULE))
+    whole = F.concat(head, labels, F.array(F.lit("")), totals)
+    return lines.select("run_id", "slice", F.array_join(whole, "\n").alias("text"))
+
+
 def classification_report(per_class: DataFrame, per_slice: DataFrame) -> DataFrame:
     """The text report as rows: one per label, then the four summary lines.
 
@@ -234,8 +265,10 @@ def classification_report(per_class: DataFrame, per_slice: DataFrame) -> DataFra
         "recall",
         "f1",
         "support",
-        F.format_string(
-            "%-20s%10.3f%10.3f%10.3f%10d", "label", "precision", "recall", "f1", "support"
+        F.concat(
+            _padded(F.col("label"), _NAME),
+            *[_padded(fixed(F.col(x), 3), _NUMBER, left=True) for x in ("precision", "recall", "f1")],
+            _padded(F.col("support").cast("string"), _NUMBER, left=True),
         ).alias("line"),
     )
     summary = ("accuracy", "macro_f1", "micro_f1", "parse_failure_rate")
@@ -247,7 +280,9 @@ def classification_report(per_class: DataFrame, per_slice: DataFrame) -> DataFra
                 F.lit(name).alias("item"),
                 F.col(name).alias("value"),
                 F.concat(
-                    F.format_string("%-20s %.3f", F.lit(f"{name}:"), F.col(name)),
+                    _padded(F.lit(f"{name}:"), _NAME),
+                    F.lit(" "),
+                    fixed(F.col(name), 3),
                     counts if name == "parse_failure_rate" else F.lit(""),
                 ).alias("line"),
             )

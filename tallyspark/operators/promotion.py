@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyspark import schemas
 from tallyspark.operators.gate import (
@@ -19,74 +16,45 @@ from tallyspark.operators.gate import (
     cause,
     column_growth,
     facts,
+    passes,
     rule_limits,
     rule_passes,
     rule_values,
 )
+from tallyspark.sources.folders import cut
 from tallyspark.task import TaskSpec
 
 BOOTSTRAP = "BOOTSTRAP"
 
 
-def _array_growth(new: np.ndarray, old: float) -> np.ndarray:
-    return new / old if old > 0 else np.full(len(new), -np.inf)
-
-
-def _promotes(runs: dict[str, np.ndarray], base: dict, cfg: GateConfig) -> np.ndarray:
-    """The gate's rules for many comparable runs against one baseline."""
-    values = rule_values(runs, base, (base["f1"] - runs["f1"]).max(axis=1), _array_growth)
-    limits = rule_limits(cfg)
-    return np.logical_and.reduce([rule_passes(k, v, limits[k]) for k, v in values.items()])
-
-
-def _fold(cfg: GateConfig):
-    """Streams runs sorted by chain and time and returns the promotions; keeps one baseline."""
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chain, base = None, None
-        for batch in batches:
-            runs = {name: batch[name].to_numpy() for name in batch.columns if name != "f1"}
-            runs["f1"] = np.stack(batch["f1"].to_numpy())
-            moved = np.zeros(len(batch), bool)
-            turns = np.flatnonzero(runs["chain"][1:] != runs["chain"][:-1]) + 1
-            for start, stop in zip([0, *turns], [*turns, len(batch)]):
-                if runs["chain"][start] != chain:
-                    # A chain's first row is its bootstrap.
-                    chain = runs["chain"][start]
-                    base = {name: values[start] for name, values in runs.items()}
-                    start += 1
-                while start < stop:
-                    # All runs up to the next promotion are judged by the same baseline.
-                    rest = {name: values[start:stop] for name, values in runs.items()}
-                    passed = _promotes(rest, base, cfg)
-                    if not passed.any():
-                        break
-                    start += int(passed.argmax())
-                    moved[start] = True
-                    base = {name: values[start] for name, values in runs.items()}
-                    start += 1
-            yield batch.loc[moved, ["chain", "ts", "run_id"]]
-
-    return fold
+def _next_promotions(candidates: DataFrame, bases: DataFrame, task: TaskSpec, cfg: GateConfig) -> DataFrame:
+    """``chain, at, b``: per chain the first candidate after its baseline that the gate promotes."""
+    met = candidates.join(bases, "chain").where(F.col("place") > F.col("at")).where(passes(task, cfg))
+    first = met.groupBy("chain").agg(F.min_by(F.struct("place", "c"), F.col("place")).alias("next"))
+    return first.select("chain", F.col("next.place").alias("at"), F.col("next.c").alias("b"))
 
 
 def promotion_chain(
     scores: DataFrame, task: TaskSpec, cfg: GateConfig = GateConfig()
 ) -> DataFrame:
-    """Fold each chain's runs in time order: ``chain, run_id, baseline_run_id, verdict,
+    """Judge each chain's runs in time order: ``chain, run_id, baseline_run_id, verdict,
     next_baseline_run_id``.
 
     The first run of a chain becomes its baseline, later ones only by promotion. All baselines of
     a chain share data, model and labels with its first run, so comparability is settled by that
     run. A run that fails the parse rate can never be promoted; with a positive minimum gain the
     baseline's macro F1 only rises, so neither can one that is not above the first run's by it.
-    Only what is left is folded in order, by a task per chain that streams it and keeps
-    one baseline; only promotions come back. They are few (at most 1 / gain in a chain),
-    travel as one array per chain, and give every run its baseline where it stands. ``scores``
-    needs ``chain`` and ``ts``.
+
+    Chains advance together, in rounds: all runs that are left are compared with their chain's
+    current baseline, and the earliest one that passes is the next. A chain without one is done. The
+    comparison combines on the map side, so a chain that holds a third of all runs is as parallel as
+    the others, and there are at most ``1 / gain`` rounds (as many as the longest chain has
+    promotions). The scores, one row per run, and each round's baselines are written to the shared
+    folder, so they are computed once. The promotions travel as one array per chain and give every
+    run its baseline where it stands. ``scores`` needs ``chain`` and ``ts``.
     """
-    runs = scores.select("chain", "ts", "run_id", facts().alias("c"))
     place = F.struct("ts", "run_id")
+    runs = cut(scores.select("chain", "ts", "run_id", facts().alias("c")))
     first = runs.groupBy("chain").agg(F.min_by(F.struct("ts", "run_id", "c"), place).alias("boot"))
     runs = (
         runs.join(first, "chain")
@@ -97,28 +65,17 @@ def promotion_chain(
     values = rule_values(F.col("c"), F.col("b"), F.lit(0.0), column_growth)
     limits = rule_limits(cfg)
     settled = ["parse_rate", *(["macro_f1_gain"] if cfg.min_macro_f1_gain > 0 else [])]
-    possible = F.col("cause").isNull()
+    possible = F.col("cause").isNull() & ~F.col("is_first")
     for name in settled:
         possible &= rule_passes(name, values[name], F.lit(limits[name]))
-    label_f1 = F.transform(F.lit(list(task.classes)), lambda label: F.col("c.class_f1")[label])
-    ordered = (
-        runs.where(F.col("is_first") | possible)
-        .select(
-            "chain",
-            "ts",
-            "run_id",
-            *[f"c.{name}" for name in ("macro_f1", "parse_failure_rate", "est_cost_usd", "latency_ms")],
-            F.when(F.col("cause").isNull(), label_f1)
-            .otherwise(F.lit([0.0] * len(task.classes)))
-            .alias("f1"),
-        )
-        .repartition("chain")
-        .sortWithinPartitions("chain", "ts", "run_id")
-    )
-    kept = T.StructType([scores.schema[name] for name in ("chain", "ts", "run_id")])
-    promoted = ordered.mapInPandas(_fold(cfg), kept)
-
-    moves = promoted.groupBy("chain").agg(F.collect_list(place).alias("moves"))
+    candidates = cut(runs.where(possible).select("chain", place.alias("place"), "c"))
+    bases = first.select("chain", F.struct("boot.ts", "boot.run_id").alias("at"), F.col("boot.c").alias("b"))
+    steps = [cut(_next_promotions(candidates, bases, task, cfg))]
+    while not steps[-1].isEmpty():
+        steps.append(cut(_next_promotions(candidates, steps[-1], task, cfg)))
+    promoted = reduce(DataFrame.unionAll, steps).select("chain", "at")
+
+    moves = promoted.groupBy("chain").agg(F.collect_list("at").alias("moves"))
     marked = (
         runs.select("chain", "ts", "run_id", "is_first", "cause", "boot")
         .join(moves, "chain", "left")
@@ -151,10 +108,9 @@ def baselines(decisions: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def current_baselines(pointers: DataFrame) -> DataFrame:
-    """The newest pointer of each chain."""
-    newest = F.max_by(
-        F.struct("run_id", "prompt_version", "decided_at"), F.struct("decided_at", "run_id")
-    )
+    """The newest pointer of each chain: by time of decision, then by the commit's version if it has one."""
+    order = [name for name in ("decided_at", "version", "run_id") if name in pointers.columns]
+    newest = F.max_by(F.struct("run_id", "prompt_version", "decided_at"), F.struct(*order))
     return pointers.groupBy("chain").agg(newest.alias("p")).select("chain", "p.*")
 
 

@@ -15,8 +15,7 @@ from tallyspark.functions.json_text import (
     strip_space,
 )
 from tallyspark.functions.templates import template_is_supported
-from tallyspark.operators.joins import HOT_ROWS, fits_broadcast, lookup
-from tallyspark.sources.checkpoints import kept
+from tallyspark.operators.sharing import local_copy, one_pass
 from tallyspark.task import TaskSpec
 
 # The fields of the input contract.
@@ -27,7 +26,7 @@ PROMPT_FIELDS = ("version", "parent", "changelog", "system", "user_template")
 PROMPT_TEXT_FIELDS = ("version", "changelog", "system", "user_template")
 
 #: Shapes of a line.
-OBJECT, OTHER, INVALID, BLANK = "object", "other", "invalid", "blank"
+OBJECT, OTHER, INVALID = "object", "other", "invalid"
 
 _TYPED = "struct<id variant, text variant, label variant, difficulty variant, note string>"
 
@@ -36,8 +35,11 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     """Strictly decode ``raw``; all other columns are kept.
 
     Adds the ``shape`` of the line, the absent required fields, the fields whose value has the
-    wrong type, and the five fields. Blank lines stay, as they count in line numbers.
+    wrong type, and the five fields. Blank lines go; they have been counted in the line numbers.
+    Filter by ``raw`` before, not by what is decoded after: a filter on a decoded column is moved
+    below the decoding, which then runs once more for it.
     """
+    lines = lines.where(~is_blank(F.col("raw")))
     body = F.col("raw")
     # Two wrapped parses make the strictness test (see is_strict_json) and deliver the fields.
     typed = F.from_json(in_brackets(body), f"array<{_TYPED}>", STRICT_OPTIONS)
@@ -56,8 +58,7 @@ def decode_lines(lines: DataFrame) -> DataFrame:
         & ~has_foreign_infinity(F.col("raw"))
     )
     shape = (
-        F.when(F.col("raw") == "", BLANK)
-        .when(is_object, OBJECT)
+        F.when(is_object, OBJECT)
         .when(is_strict_json(F.col("raw")), OTHER)
         .otherwise(INVALID)
     )
@@ -95,99 +96,102 @@ def decode_lines(lines: DataFrame) -> DataFrame:
 
 
 def repeated_ids(rows: DataFrame) -> DataFrame:
-    """``(id, first_file, first_line, copies)`` for every id that occurs more than once."""
+    """``(id, first_file, first_line)`` for every id, the absent one too, that occurs more than once."""
     position = F.struct("file", "line_no")
     return (
-        rows.where(F.col("id").isNotNull())
-        .groupBy("id")
-        .agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("copies"))
-        .where(F.col("copies") > 1)
-        .select("id", F.col("_first.file").alias("first_file"),
-                F.col("_first.line_no").alias("first_line"), "copies")
+        rows.groupBy("id")
+        .agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+        .where("_copies > 1")
+        .select(
+            "id", F.col("_first.file").alias("first_file"), F.col("_first.line_no").alias("first_line")
+        )
     )
 
 
-def mark_duplicates(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def mark_duplicates(rows: DataFrame) -> DataFrame:
     """Add ``is_duplicate``: the id was already seen on an earlier line.
 
-    Counting per id combines on the map side; a window over the id would instead sort all copies
-    of one id in one task. Repeated ids are few in a sound dataset; kept and measured, they are
-    broadcast and the lines do not move. The counts also name the hot ids for the other case.
+    The rows, one per line and without texts, go through one exchange that spreads them by position;
+    both the count per id and the marking read it, so the lines are decoded once. Counting combines
+    before it is shuffled, and a window that sorts all copies of one id in one task is not needed.
+    Where the repeated ids turn out to be few, Spark broadcasts them to the rows where they lie;
+    else both sides meet by id, and a partition that a hot id overfills is split.
     """
-    repeats = kept(repeated_ids(rows))
-    hot = repeats.where(F.col("copies") >= hot_rows)
-    marked = lookup(
-        rows, repeats.drop("copies"), "id", ("file", "line_no"), hot_dim=hot.drop("copies")
-    )
+    spread = one_pass(rows)
+    repeats = repeated_ids(spread).withColumnRenamed("id", "_id")
+    # Null-safe, although an absent id repeats nothing: an implied "is not null" would be moved below
+    # the exchange of one reader only, and the two would not share it any more.
+    marked = spread.join(repeats, F.col("id").eqNullSafe(F.col("_id")), "left")
     later = F.struct("file", "line_no") > F.struct("first_file", "first_line")
-    return marked.withColumn("is_duplicate", F.col("first_line").isNotNull() & later).drop(
-        "first_file", "first_line"
-    )
+    # One expression, for the same reason: its parts could be moved one by one.
+    is_duplicate = F.when(F.col("id").isNotNull() & F.col("first_line").isNotNull(), later)
+    return marked.select(*rows.columns, F.coalesce(is_duplicate, F.lit(False)).alias("is_duplicate"))
 
 
-def duplicate_ids(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def duplicate_ids(rows: DataFrame) -> DataFrame:
     """Every occurrence of an id after its first one."""
-    return (
-        mark_duplicates(rows.select("file", "line_no", "id"), hot_rows)
-        .where("is_duplicate")
-        .select("file", "line_no", "id")
-    )
+    ids = mark_duplicates(rows.select("file", "line_no", "id"))
+    return ids.where("is_duplicate").select("file", "line_no", "id")
 
 
-def check_rows(decoded: DataFrame, task: TaskSpec, hot_rows: int = HOT_ROWS) -> DataFrame:
+def check_rows(decoded: DataFrame, task: TaskSpec) -> DataFrame:
     """Name the first violation of every decoded line (null for a good line).
 
-    Of the texts only whether they are blank is read, so the ids, which are looked at twice, are
-    kept without them: ``file, line_no, violation, detail``.
+    What a line can show by itself is settled where it is decoded; only the verdict, its detail and
+    the id travel on: ``file, line_no, violation, detail``.
 
     Precedence: invalid JSON, not an object, missing field, wrong type, duplicate id, unknown
     label, empty text, invalid difficulty. A later copy of an id counts as a duplicate even if
     the first copy has a violation of its own.
     """
-    no_text = F.coalesce(is_blank(F.col("text")), F.lit(True)).alias("no_text")
-    narrow = ["file", "line_no", "shape", "missing", "wrong_type", "id", "label", "difficulty"]
-    slim = kept(decoded.where(F.col("shape") != BLANK).select(*narrow, no_text))
-    rows = mark_duplicates(slim, hot_rows)
-    # The good values are non-null here: nulls of label and difficulty are outside their sets.
-    bad_label = ~F.coalesce(F.col("label").isin(list(task.classes)), F.lit(False))
-    bad_difficulty = ~F.coalesce(F.col("difficulty").isin(list(task.slices)), F.lit(False))
-    violation = (
+    before = (
         F.when(F.col("shape") == INVALID, "invalid JSON")
         .when(F.col("shape") == OTHER, "not a JSON object")
         .when(F.size("missing") > 0, "missing field")
         .when(F.size("wrong_type") > 0, "wrong type")
-        .when(F.col("is_duplicate"), "duplicate id")
-        .when(bad_label, "unknown label")
-        .when(F.col("no_text"), "empty text")
+    )
+    # The good values are non-null here: nulls of label and difficulty are outside their sets.
+    bad_label = ~F.coalesce(F.col("label").isin(list(task.classes)), F.lit(False))
+    bad_difficulty = ~F.coalesce(F.col("difficulty").isin(list(task.slices)), F.lit(False))
+    after = (
+        F.when(bad_label, "unknown label")
+        .when(F.coalesce(is_blank(F.col("text")), F.lit(True)), "empty text")
         .when(bad_difficulty, "invalid difficulty")
     )
     detail = (
-        F.when(F.col("violation") == "missing field", F.array_join("missing", ", "))
-        .when(F.col("violation") == "wrong type", F.array_join("wrong_type", ", "))
-        .when(F.col("violation") == "duplicate id", F.col("id"))
-        .when(F.col("violation") == "unknown label", F.col("label"))
-        .when(F.col("violation") == "invalid difficulty", F.col("difficulty"))
+        F.when(F.col("before") == "missing field", F.array_join("missing", ", "))
+        .when(F.col("before") == "wrong type", F.array_join("wrong_type", ", "))
+        .when(F.col("after") == "unknown label", F.col("label"))
+        .when(F.col("after") == "invalid difficulty", F.col("difficulty"))
+    )
+    settled = (
+        decoded.withColumn("before", before)
+        .withColumn("after", F.when(F.col("before").isNull(), after))
+        .select("file", "line_no", "id", "before", "after", detail.alias("detail"))
+    )
+    is_later = F.col("before").isNull() & F.col("is_duplicate")
+    return mark_duplicates(settled).select(
+        "file",
+        "line_no",
+        F.when(is_later, "duplicate id").otherwise(F.coalesce("before", "after")).alias("violation"),
+        F.when(is_later, F.col("id")).otherwise(F.col("detail")).alias("detail"),
     )
-    judged = rows.withColumn("violation", violation).withColumn("detail", detail)
-    return judged.select("file", "line_no", "violation", "detail")
 
 
 def validate_examples(decoded: DataFrame, task: TaskSpec) -> DataFrame:
     """All bad lines: ``(file, line_no, violation, detail)``."""
-    return (
-        check_rows(decoded, task)
-        .where(F.col("violation").isNotNull())
-        .select("file", "line_no", "violation", "detail")
-    )
+    return check_rows(decoded, task).where(F.col("violation").isNotNull())
 
 
 def valid_examples(decoded: DataFrame, task: TaskSpec) -> DataFrame:
-    """The good lines as examples."""
-    bad = kept(validate_examples(decoded, task).select("file", "line_no"))
-    good = decoded.where(F.col("shape") != BLANK)
-    # Bad lines are few in a sound dataset, and then the texts do not move.
-    few = F.broadcast(bad) if fits_broadcast(bad) else bad
-    return good.join(few, ["file", "line_no"], "left_anti").select(
+    """The good lines as examples.
+
+    Bad lines are few in a sound dataset: found first and brought together as a local table, they are
+    broadcast and the texts do not move. Too many for that, they meet the lines in a shuffle.
+    """
+    bad = validate_examples(decoded, task).select("file", "line_no")
+    few = local_copy(bad)
+    return decoded.join(bad if few is None else F.broadcast(few), ["file", "line_no"], "left_anti").select(
         "file", "line_no", *REQUIRED_FIELDS, "note"
     )
 

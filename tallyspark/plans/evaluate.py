@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
+import hashlib
+import json
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -21,11 +22,12 @@ from tallyspark.operators.scoring import (
     attach_examples,
     render_prompts,
     replay_strictly,
-    score,
     with_defaults,
 )
+from tallyspark.operators.sharing import local_copy
 from tallyspark.operators.totals import run_cost, run_totals
-from tallyspark.sources.checkpoints import kept
+from tallyspark.sources.answers import score_and_store
+from tallyspark.sources.folders import shared_folder
 from tallyspark.sources.run_store import RunStore
 from tallyspark.task import DEFAULT_PRICES, TaskSpec
 
@@ -40,10 +42,12 @@ class EvalResult:
     class_metrics: DataFrame
     slice_metrics: DataFrame
     totals: DataFrame
+    #: Whether the cells are read from the run store already.
+    cells_are_stored: bool = False
 
     def scores(self) -> DataFrame:
-        """What the gate compares, one row per run; kept, since a gate reads it often."""
-        return kept(run_scores(self.runs, self.slice_metrics, self.totals))
+        """What the gate compares, one row per run."""
+        return run_scores(self.runs, self.slice_metrics, self.totals)
 
     def records(self) -> DataFrame:
         """One nested row per run."""
@@ -57,14 +61,15 @@ def run_summary(
     predictions: DataFrame,
     task: TaskSpec,
     prices: Mapping[str, tuple[float, float]] = DEFAULT_PRICES,
+    stored_cells: DataFrame | None = None,
 ) -> EvalResult:
-    """Measure given predictions.
+    """Measure given predictions (or their cell counts, if those are stored).
 
-    The predictions are read once: their cell counts are kept, and everything else is derived
-    from that small table. ``runs`` has ``run_id`` and ``model``;
+    A query over the result reads the predictions once: everything is derived from their cell
+    counts, which all parts of a plan share. ``runs`` has ``run_id`` and ``model``;
     a run without predictions is reported with zeros.
     """
-    cells = kept(count_cells(predictions, task))
+    cells = count_cells(predictions, task) if stored_cells is None else stored_cells
     per_class = class_metrics(cells, task, runs)
     per_slice = slice_metrics(per_class, task)
     zero = F.lit(0).cast("long")
@@ -80,7 +85,7 @@ def run_summary(
         ),
         prices,
     )
-    return EvalResult(runs, predictions, cells, per_class, per_slice, totals)
+    return EvalResult(runs, predictions, cells, per_class, per_slice, totals, stored_cells is not None)
 
 
 def evaluate(
@@ -99,21 +104,26 @@ def evaluate(
     now: datetime | None = None,
     store: RunStore | None = None,
     answers_folder: str | None = None,
+    run_key: str | None = None,
 ) -> EvalResult:
     """Run every prompt over every example and measure the outputs; one run per prompt.
 
     Outputs come from a client or from recorded ``completions`` (whose ``run_id`` is the prompt
     version; every planned input must have exactly one, and nothing else may be recorded for these versions).
-    Answers of a client are paid for: they are written once to ``answers_folder``, which the caller
-    names, or kept by the executors, which ask again only if an executor is lost.
-    With a ``store`` the predictions are saved there and measured from there.
+    Answers of a client are paid for: each task's are committed when it ends, below ``answers_folder``
+    (by default in the store, else in the shared folder), under a key of examples, prompts, model,
+    settings and ``run_key``, by default the start ``now``. A call that repeats all of these, after
+    a failure for example, asks only for what is missing; any other start is a new run.
+    With a ``store`` the predictions and their cell counts are saved there and measured from there.
     """
     if (client_factory is None) == (completions is None):
         raise ValueError("give either client_factory or completions")
     spark = examples.sparkSession
-    started = F.lit(now or datetime.now(timezone.utc))
+    now = now or datetime.now(timezone.utc)
+    started = F.lit(now)
+    few = local_copy(prompts)  # read from their files once
+    prompts = prompts if few is None else few
     data_fp = dataset_fingerprint(examples).first()["fingerprint"]
-    prompts = kept(prompts)
 
     runs = prompts.select(
         run_id(started, F.col("version")).alias("run_id"),
@@ -130,23 +140,20 @@ def evaluate(
         ).alias("params"),
     )
     if completions is None:
-        stamped = run_id(started, F.col("version"))
-        rendered = render_prompts(examples, prompts, n_repeats, stamped)
-        answers = score(
-            rendered,
+        root = answers_folder or (f"{store.root}/answers" if store else f"{shared_folder(spark)}/answers")
+        prompts_fp = dataset_fingerprint(prompts, fields=("version", "fingerprint")).first()["fingerprint"]
+        start = run_key or now.astimezone(timezone.utc).isoformat()
+        settings = json.dumps([start, data_fp, prompts_fp, model, float(temperature), max_tokens])
+        answers = score_and_store(
+            render_prompts(examples, prompts, n_repeats),
             client_factory,
             model,
+            f"{root.rstrip('/')}/{hashlib.sha256(settings.encode()).hexdigest()[:16]}",
             temperature=temperature,
             max_tokens=max_tokens,
             max_workers=max_workers,
         )
-        if answers_folder is None:
-            answers = kept(answers)
-        else:
-            path = f"{answers_folder.rstrip('/')}/answers-{uuid.uuid4().hex}"
-            answers.write.parquet(path)
-            answers = spark.read.schema(answers.schema).parquet(path)
-        outputs = with_defaults(answers)
+        outputs = with_defaults(answers).withColumn("run_id", run_id(started, F.col("run_id")))
     else:
         rendered = render_prompts(examples, prompts, n_repeats)
         # Recordings of other versions are not this evaluation's concern.
@@ -158,4 +165,6 @@ def evaluate(
         store.save("predictions", predictions)
         run_ids = [row["run_id"] for row in runs.select("run_id").collect()]
         predictions = store.read_runs("predictions", *run_ids)
+        store.save("cells", count_cells(predictions, task))
+        return run_summary(runs, predictions, task, prices, store.read_runs("cells", *run_ids))
     return run_summary(runs, predictions, task, prices)

@@ -6,14 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.operators.fingerprint import IDENTITY_FIELDS
-from tallyspark.operators.joins import fits_broadcast
+from tallyspark.operators.sharing import local_copy
 from tallyspark.operators.validate import (
-    BLANK,
     decode_lines,
     raise_first_violation,
     validate_examples,
 )
-from tallyspark.sources.checkpoints import kept
 from tallyspark.task import TaskSpec
 
 
@@ -35,19 +33,18 @@ def _number_lines(lines: DataFrame) -> DataFrame:
     one per 128 MB) are shuffled; the lines stay where they are. Both reads belong to one query
     over one listing, so they are split alike.
     """
-    per_split = kept(
-        lines.groupBy("file", "_start").agg(
-            F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_lines")
-        )
+    per_split = lines.groupBy("file", "_start").agg(
+        F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_lines")
     )
-    offsets = per_split.selectExpr(
+    small = local_copy(per_split)
+    offsets = (per_split if small is None else small).selectExpr(
         "file",
         "_start",
         "_first",
         "coalesce(sum(_lines) OVER (PARTITION BY file ORDER BY _start"
         " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
     )
-    if fits_broadcast(per_split):
+    if small is not None:
         offsets = F.broadcast(offsets)
     line_no = F.col("_before") + F.col("_row") - F.col("_first") + 1
     others = [name for name in lines.columns if name not in ("file", "_start", "_row")]
@@ -63,7 +60,7 @@ def scan_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_examples(spark: SparkSession, path: str) -> DataFrame:
     """Decoded, numbered, not yet judged lines. Counting the lines parses nothing."""
-    return decode_lines(scan_lines(spark, path)).where(F.col("shape") != BLANK)
+    return decode_lines(scan_lines(spark, path))
 
 
 def load_examples(spark: SparkSession, path: str, task: TaskSpec) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyspark import schemas
 from tallyspark.operators.fingerprint import prompt_registry
 from tallyspark.operators.validate import PROMPT_FIELDS, prompt_violations
-from tallyspark.sources.checkpoints import kept
+from tallyspark.operators.sharing import local_copy
 
 
 def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -90,7 +90,7 @@ def load_prompts(spark: SparkSession, folder: str) -> DataFrame:
 
 def load_prompt(spark: SparkSession, folder: str, version: str) -> DataFrame:
     """One prompt; raises if it is absent or unusable."""
-    found = kept(scan_prompts(spark, folder, version))  # one small file
+    found = local_copy(scan_prompts(spark, folder, version), 1)  # one small file
     if found.isEmpty():
         raise FileNotFoundError(f"prompt version {version!r} not found in {folder}")
     bad = prompt_violations(found).first()

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 from tallyspark import schemas
 from tallyspark.operators.promotion import current_baselines
-from tallyspark.operators.records import run_record_nested
+from tallyspark.operators.records import CHUNK_ROWS, example_chunks, run_record_nested
+from tallyspark.sources.pointer_log import PointerLog
 
 TABLES = {
     "runs": schemas.RUNS,
@@ -48,6 +49,7 @@ class RunStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.pointer_log = PointerLog(spark, f"{self.root}/baseline_pointer")
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -103,23 +105,24 @@ class RunStore:
         per_slice = self.read_runs("slice_metrics", *run_ids)
         return run_record_nested(identity, per_class, per_slice, runs.select("run_id", *spent))
 
+    def example_chunks(self, *run_ids: str, rows: int = CHUNK_ROWS) -> DataFrame:
+        """The per-example part of stored records, in numbered chunks of about ``rows`` examples."""
+        return example_chunks(self.read_runs("predictions", *run_ids), rows)
+
     def has_run(self, run_id: str) -> bool:
         return not self.read_runs("runs", run_id).isEmpty()
 
     def pointers(self) -> DataFrame:
-        """All pointer moves so far; empty when nothing was ever set."""
-        try:
-            return self.spark.read.schema(schemas.BASELINE_POINTER).parquet(
-                self.path("baseline_pointer")
-            )
-        except AnalysisException as error:
-            _raise_unless_absent(error)
-            return self.spark.createDataFrame([], schemas.BASELINE_POINTER)
+        """All pointer moves so far with their version; empty when nothing was ever set."""
+        return self.pointer_log.moves()
+
+    def move_baselines(self, moves: DataFrame, seen: int | None = None) -> int:
+        """Commit pointer moves; returns the version of the pointers that they make.
 
-    def move_baselines(self, moves: DataFrame) -> None:
-        """Append pointer moves. Appending never rewrites what a reader is reading."""
-        columns = schemas.BASELINE_POINTER.names
-        moves.select(*columns).write.mode("append").parquet(self.path("baseline_pointer"))
+        With ``seen``, the version that the moves were decided on, it raises ``PointerConflict`` if
+        one of their chains was moved since.
+        """
+        return self.pointer_log.commit(moves, seen)
 
     def baseline(self, chain: str) -> tuple[str, str] | None:
         """``(prompt_version, run_id)`` of a chain's current baseline, or None if unset."""

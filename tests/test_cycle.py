@@ -193,3 +193,69 @@ def test_a_promotion_moves_the_pointer_whenever_the_run_began(spark, inputs, tmp
     assert store.baseline_run("other").count() == 0
     record = store.records(early.run_id).first()
     assert record["metrics"]["overall"]["accuracy"] == 1.0 and record["totals"]["prompt_tokens"] == 960
+
+
+def test_the_loser_of_a_chain_gates_again(spark, inputs, tmp_path, monkeypatch):
+    """While a better run is judged, another writer promotes one that is better still."""
+    examples, prompts = inputs
+    store = RunStore(spark, str(tmp_path / "runs"))
+    cfg = GateConfig(max_latency_multiplier=1e9)
+
+    def cycle(client, minute):
+        return run_and_gate(store, examples, prompts["v1"], FEEDBACK_TASK, MODEL, cfg=cfg, client_factory=client, now=at(minute))
+
+    class Half(Knowing):
+        blind = 2
+
+    cycle(Half, 1)
+    real, state = store.move_baselines, {"calls": 0}
+
+    def interrupted(moves, seen=None):
+        state["calls"] += 1
+        if state["calls"] == 1:
+            other = evaluate(examples, prompts["v2"], FEEDBACK_TASK, MODEL, client_factory=Perfect, now=at(2), store=store)
+            from tallyspark.plans.promote import save_result
+
+            save_result(store, other)
+            real(other.runs.select(F.lit("default").alias("chain"), "run_id", "prompt_version", F.lit(dt.datetime.now(dt.timezone.utc)).alias("decided_at")))
+        return real(moves, seen)
+
+    monkeypatch.setattr(store, "move_baselines", interrupted)
+    late = cycle(Perfect, 4)
+    assert late.verdict == "REVERT" and state["calls"] == 1
+    assert "macro_f1 gain: +0.0000" in late.reasons[0]
+    assert store.baseline("default")[0] == "v2"
+
+
+def test_an_evaluation_resumes_under_its_key(spark, inputs, tmp_path):
+    examples, prompts = inputs
+    folder = str(tmp_path / "answers")
+
+    class Down(Knowing):
+        def complete(self, **_):
+            raise RuntimeError("no service")
+
+    def accuracy(client, **options):
+        found = evaluate(examples, prompts["v1"], FEEDBACK_TASK, MODEL, client_factory=client, answers_folder=folder, **options)
+        return found.slice_metrics.where("slice = 'overall'").first()["accuracy"]
+
+    assert accuracy(Perfect, run_key="k") == 1.0
+    assert accuracy(Down, run_key="k") == 1.0  # everything is there
+    assert accuracy(Knowing, run_key="other") == 0.75
+    assert accuracy(Perfect, now=at(5)) == accuracy(Down, now=at(5)) == 1.0
+
+
+def test_records_hold_every_example(spark, rows):
+    """Chunks of a large and a small run, put together again."""
+    from tallyspark.operators.records import EXAMPLE_FIELDS, example_chunks, from_chunks
+
+    data = [("big" if k < 950 else "small", f"e{k % 700}", k // 700 + 1, "a", "easy", f"raw {k}", None if k % 9 else "b", 1.5, 2, 3) for k in range(1000)]
+    frame = spark.createDataFrame(data, "run_id string, " + ", ".join(
+        f"{name} {kind}" for name, kind in zip(EXAMPLE_FIELDS, "string,int,string,string,string,string,double,long,long".split(","))))
+    chunks = example_chunks(frame, 100)
+    sizes = [(r["run_id"], r["n_chunks"], len(r["examples"])) for r in chunks.collect()]
+    assert {(run, n) for run, n, _ in sizes} == {("big", 10), ("small", 1)}
+    assert max(size for _, _, size in sizes) < 200
+    assert rows(from_chunks(chunks)) == rows(frame.select("run_id", *EXAMPLE_FIELDS))
+    for row in chunks.collect():
+        assert [(e["id"], e["repeat"]) for e in row["examples"]] == sorted((e["id"], e["repeat"]) for e in row["examples"])

@@ -160,3 +160,27 @@ def test_every_class_round_trips(spark):
     out = parse_predictions(raw, TASK)
     assert out.columns == ["c", "raw_output", "predicted"]
     assert out.where("predicted <> c").count() == 0
+
+
+@pytest.mark.parametrize("depth", [900, 1200, 100_000])
+def test_any_depth_of_nesting(spark, depth):
+    """Deep values beside the answer, before or after it, in the whole output or in an array."""
+    deep = '{"a":' * depth + "1" + "}" * depth
+    cases = {
+        '{"category": "a", "x": ' + deep + "}": "a",
+        '{"x": ' + deep + ', "category": "b"}': "b",
+        '{"category": "b", "x": ' + deep + ', "category": "a"}': "a",
+        '{"category": ' + deep + "}": PARSE_FAILURE,
+        '{"x": ' + deep + ', "category": 5}': PARSE_FAILURE,
+        '{"x": ' + deep + ', "category": ["a"]}': PARSE_FAILURE,
+        '{"x": ' + deep + ', "category": null}': PARSE_FAILURE,
+        '{"x": ' + deep + ', "category": true}': PARSE_FAILURE,
+        '{"category": "a", "x": ' + deep: PARSE_FAILURE,
+        "[" * depth + '{"category": "a"}' + "]" * depth: PARSE_FAILURE,  # one valid value, not an object
+        "[" * depth + '{"category": "a"}' + "]" * (depth - 1): "a",  # not valid, so the block counts
+        '{"category": "a", "x": ' + deep + "} tail": PARSE_FAILURE,
+    }
+    task = TaskSpec(("5", "a", "b", "true"))
+    frame = spark.createDataFrame([(k, raw) for k, raw in enumerate(cases)], "k int, raw_output string")
+    got = {r["k"]: r["predicted"] for r in parse_predictions(frame, task).select("k", "predicted").collect()}
+    assert [got[k] for k in range(len(cases))] == list(cases.values())

@@ -4,7 +4,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspark.operators import joins
 from tallyspark.operators.validate import (
     duplicate_ids,
     first_violation,
@@ -121,10 +120,8 @@ def test_line_numbers_across_splits_and_files(spark, tmp_path):
         assert want[name][row["line_no"] - 1] == row["raw"]
 
 
-@pytest.mark.parametrize("hot_rows", [None, 2, 10, 10**9])
-def test_duplicates_with_one_hot_id(spark, monkeypatch, hot_rows):
-    if hot_rows is not None:
-        monkeypatch.setattr(joins.fits_broadcast, "__defaults__", (0, 0))
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_duplicates_with_one_hot_id(spark, threshold):
     ids = [None] * 50 + ["hot"] * 200 + [f"n{i}" for i in range(100)] + ["twice", "twice"]
     random.Random(1).shuffle(ids)
     frame = spark.createDataFrame(
@@ -135,7 +132,12 @@ def test_duplicates_with_one_hot_id(spark, monkeypatch, hot_rows):
         if name is not None and name in seen:
             want.append((number, name))
         seen.add(name)
-    got = duplicate_ids(frame, hot_rows or joins.HOT_ROWS).orderBy("line_no").collect()
+    # Broadcast to the rows where the repeated ids are few, or met by a shuffle.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = duplicate_ids(frame).orderBy("line_no").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert [(r["line_no"], r["id"]) for r in got] == want
 
 
