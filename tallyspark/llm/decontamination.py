@@ -7,9 +7,9 @@ the equality of the whole string verifies it. A benchmark beyond `BROADCAST_BYTE
 shuffle instead, with the same result.
 
 Null and wordless texts have no words and no hits; wordless items give no window; repeated items hit
-under each of their ids, repeated documents each on their own. Documents are told apart by `doc_id`
-(rows of one id are treated as one document only for hits at the same place). Other columns of either
-table are not read, so their names cannot clash.
+under each of their ids. Documents are told apart by doc_id and a 128-bit digest of the text: repeated
+rows get the same result, different texts of one id, or without an id, each their own. Other columns
+of either table are not read, and travel in one column where rows are kept, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -34,6 +34,11 @@ def words(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def _digest() -> Column:
+    """What tells different texts of one id apart."""
+    return F.md5(F.coalesce(F.col("text"), F.lit("")))
+
+
 def _bound(value: Column, use) -> Column:
     """use(value), with the value computed once and not again at every element of a lambda inside."""
     return F.element_at(F.transform(F.array(value), use), 1)
@@ -66,7 +71,7 @@ def _widths_and_bytes(windows: DataFrame) -> tuple[list[int], int]:
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, start long, width int, items: every place of a document where a benchmark window stands."""
+    """doc_id, digest, start long, width int, items: every place of a text where a benchmark window stands."""
     windows = benchmark_windows(benchmark, window)
     widths, size = _widths_and_bytes(windows)  # at most `window` rows
     if size <= BROADCAST_BYTES:
@@ -77,44 +82,46 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
         part = F.lit(CHUNK + window - 1)
         return F.transform(starts, lambda s: F.struct(s.alias("base"), F.slice(bound, s + 1, part).alias("part")))
 
-    chunks = docs.select("doc_id", F.explode(_bound(words(F.col("text")), chunked)).alias("c"))
-    chunks = chunks.select("doc_id", "c.base", "c.part")
+    chunks = docs.select("doc_id", _digest().alias("digest"), F.explode(_bound(words(F.col("text")), chunked)).alias("c"))
+    chunks = chunks.select("doc_id", "digest", "c.base", "c.part")
     found = None
     for width in widths or [window]:
         # A window belongs to the chunk that it starts in, so the overlap is not searched twice.
         part = F.slice("part", F.lit(1), F.lit(CHUNK + width - 1))
-        places = chunks.select("doc_id", "base", F.posexplode(_windows(part, F.lit(width))).alias("place", "gram"))
+        places = chunks.select("doc_id", "digest", "base", F.posexplode(_windows(part, F.lit(width))).alias("place", "gram"))
         places = places.withColumn("width", F.lit(width))
         met = places.join(windows, ["gram", "width"]).select(
-            "doc_id", (F.col("base") + F.col("place")).cast("long").alias("start"), "width", "items"
+            "doc_id", "digest", (F.col("base") + F.col("place")).cast("long").alias("start"), "width", "items"
         )
         found = met if found is None else found.unionAll(met)
     return found
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per document: n_words, n_hit, item_ids (sorted strings), spans of hit words, contaminated.
+    """One row per document: digest, n_words, n_hit, item_ids (sorted strings), spans of hit words, contaminated.
 
     A document is contaminated if a word is hit and at least a twentieth of its words are.
     """
-    sizes = docs.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    sizes = docs.select("doc_id", _digest().alias("digest"), F.size(words(F.col("text"))).cast("long").alias("n_words"))
     covered = (
         hits(docs, benchmark, window)
         .select(
             "doc_id",
+            "digest",
             F.sequence("start", F.col("start") + F.col("width") - 1).alias("covers"),
             "items",
         )
-        .groupBy("doc_id")
+        .groupBy("doc_id", "digest")
         .agg(
             F.array_distinct(F.flatten(F.collect_set("covers"))).alias("hit_words"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("item_ids"),
         )
     )
-    covered = covered.withColumnRenamed("doc_id", "__doc")
-    joined = sizes.join(covered, F.col("doc_id").eqNullSafe(F.col("__doc")), "left").drop("__doc")
-    out = joined.select(
+    covered = covered.withColumnsRenamed({"doc_id": "__doc", "digest": "__digest"})
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("digest") == F.col("__digest"))
+    out = sizes.join(covered, same, "left").select(
         "doc_id",
+        "digest",
         "n_words",
         F.when(F.col("hit_words").isNull(), 0).otherwise(F.size("hit_words")).cast("long").alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
@@ -132,14 +139,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
         raise ValueError(f"remove must be 'documents' or 'spans', not {remove!r}")
     judged = contamination(docs, benchmark, window)
     bad = judged.where("contaminated" if remove == "documents" else "n_hit > 0")
-    bad = bad.groupBy("doc_id").agg(F.first("hit_words").alias("__hit"))
-    met = docs.join(bad.withColumnRenamed("doc_id", "__doc"), F.col("doc_id").eqNullSafe(F.col("__doc")), "left_anti" if remove == "documents" else "left")
+    bad = bad.groupBy(F.col("doc_id").alias("bad_id"), F.col("digest").alias("bad_digest")).agg(F.first("hit_words").alias("hit"))
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    rows = docs.select("doc_id", "text", _digest().alias("digest"), whole)
+    same = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col("digest") == F.col("bad_digest"))
     if remove == "documents":
-        return met
+        return rows.join(bad, same, "left_anti").select("row.*")
+    met = rows.join(bad, same, "left")
     pieces = F.regexp_extract_all(F.col("text"), F.lit(WORD_AND_GAP), F.lit(0))
     places = F.transform(pieces, lambda p, i: F.struct(i.cast("long").alias("i"), p.alias("p")))
-    hit = F.map_from_arrays(F.col("__hit"), F.transform("__hit", lambda _: F.lit(True)))
+    hit = F.map_from_arrays(F.col("hit"), F.transform("hit", lambda _: F.lit(True)))
     kept = F.array_join(F.transform(F.filter(places, lambda x: ~F.map_contains_key(hit, x["i"])), lambda x: x["p"]), "")
     head = F.regexp_extract(F.col("text"), r"^" + GAP, 0)
-    text = F.when(F.col("__hit").isNull(), F.col("text")).otherwise(F.concat(head, kept))
-    return met.withColumn("text", text).select(docs.columns)
+    text = F.when(F.col("hit").isNull(), F.col("text")).otherwise(F.concat(head, kept))
+    return met.withColumn("row", F.col("row").withField("text", text)).select("row.*")

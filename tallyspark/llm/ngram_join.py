@@ -394,7 +394,10 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The rows whose doc_id is its component's smallest, and rows without doc_id; repeated rows once."""
+    """The rows whose doc_id is its component's smallest, and rows without doc_id.
+
+    Repeated rows of one id and text stay once; different texts of one id all stay.
+    """
     best = similar_groups(docs, width, percent).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(best, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.where("doc_id is not null").join(best, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.unionByName(docs.where("doc_id is null"))

@@ -22,8 +22,9 @@ strings are settled by one more aggregation on digests. The sample steers only t
 of texts, equal segments are folded before the shuffle, so copies and periodic texts move few rows.
 
 Null and empty texts have no bytes; texts shorter than `LENGTH` keep all. Rows without doc_id are not
-compared and keep all. A doc_id names one document: repeated rows with the same text count once, and
-get the same result. Other columns are not read. Segments are told apart by 128 bits of hashes.
+compared and keep all. Repeated rows of one id with the same text count once and get the same result;
+different texts of one id are documents of their own, in the order of a 32-bit hash of the text, by which
+they are told apart. Other columns are not read. Segments are told apart by 128 bits of hashes.
 """
 
 from __future__ import annotations
@@ -101,6 +102,16 @@ def _anchors(length: int, gram: int):
     return run
 
 
+#: A place in a document: the start of a string, and above these bits a hash of the whole text, so
+#: that places of different texts with one id do not meet.
+_PLACE_BITS = 31
+
+
+def text_place(data: bytes) -> int:
+    """Place of a text's first byte among all texts of its id."""
+    return int.from_bytes(hashlib.md5(data, usedforsecurity=False).digest()[:4], "big") << _PLACE_BITS
+
+
 def _as_before(*keys: np.ndarray) -> np.ndarray:
     """Which rows equal the row before in all keys: places of documents that are repeated rows."""
     same = np.zeros(len(keys[0]), bool)
@@ -121,7 +132,10 @@ def _segment_rows(length: int, gram: int, often: np.ndarray):
                 row = texts.first + text
                 known = valid[row]
                 a, c, n, row = a[known], c[known], n[known], row[known]
-                at = first[known] - texts.offsets[text[known]]
+                held = np.unique(text[known])
+                bases = np.zeros(len(texts.offsets) - 1, np.int64)
+                bases[held] = [text_place(texts.data[texts.offsets[k] : texts.offsets[k + 1]].tobytes()) for k in held]
+                at = first[known] - texts.offsets[text[known]] + bases[text[known]]
                 doc = number[row]
                 order = np.lexsort((at, doc, c, a))
                 order = order[~_as_before(a[order], c[order], doc[order], at[order])]
@@ -207,8 +221,11 @@ def _contents(length: int):
                 data = batch.column("text")[row].as_py().encode()
                 doc = batch.column("doc_id")[row].as_py()
                 lists = batch.column("open")[row].values
-                a, at, n = lists.field("a"), lists.field("at"), lists.field("n")
-                body = [data[s : s + k + length - 1] for s, k in zip(at.to_pylist(), n.to_pylist(), strict=True)]
+                base = text_place(data)
+                places = np.asarray(lists.field("at"))
+                own = pa.array(np.flatnonzero(places >> _PLACE_BITS == base >> _PLACE_BITS))
+                a, at, n = (lists.field(k).take(own) for k in ("a", "at", "n"))
+                body = [data[s - base : s - base + k + length - 1] for s, k in zip(at.to_pylist(), n.to_pylist(), strict=True)]
                 columns = [a, pa.array(np.full(len(body), doc, np.int64)), at, n, pa.array(body, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["a", "doc_id", "at", "n", "body"])
 
@@ -395,7 +412,10 @@ def _settled(length: int, often: np.ndarray):
 
 
 def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """doc_id, at, n: runs of n neighbouring starts (bytes) of strings that also start earlier."""
+    """doc_id, at, n: runs of n neighbouring starts (bytes) of strings that also start earlier.
+
+    A start counts from the `text_place` of its text.
+    """
     source = docs.select("doc_id", "text").where("doc_id is not null and octet_length(text) >= %d" % length)
     total = source.count()
     share = min(1_000_000, 1_000_000 * SAMPLE_DOCS // max(total, 1))
@@ -432,11 +452,15 @@ def _kept(length: int, with_rest: bool):
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for row in range(batch.num_rows):
-                data = np.frombuffer((batch.column("text")[row].as_py() or "").encode(), np.uint8)
+                body = (batch.column("text")[row].as_py() or "").encode()
+                data = np.frombuffer(body, np.uint8)
                 runs = batch.column("runs")[row]
                 gone = np.zeros(len(data) + 1, np.int64)
                 if runs.is_valid:
                     at, n = (np.asarray(runs.values.field(k)) for k in ("at", "n"))
+                    base = text_place(body)
+                    own = at >> _PLACE_BITS == base >> _PLACE_BITS
+                    at, n = at[own] - base, n[own]
                     np.add.at(gone, np.minimum(at, len(data)), 1)
                     np.add.at(gone, np.minimum(at + n + length - 1, len(data)), -1)
                 gone = np.cumsum(gone[:-1]) > 0

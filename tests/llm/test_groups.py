@@ -136,7 +136,7 @@ def test_long_chain_is_one_component(spark):
 
 def plain_repeats(rows, length):
     seen, out = set(), {}
-    for d, text in sorted({(r[0], r[1]) for r in rows if r[0] is not None}, key=lambda x: x[0]):
+    for d, text in sorted({(r[0], r[1]) for r in rows if r[0] is not None}, key=lambda x: (x[0], repeats.text_place((x[1] or "").encode()))):
         b = (text or "").encode()
         gone = np.zeros(len(b), bool)
         for s in range(len(b) - length + 1):
@@ -145,7 +145,7 @@ def plain_repeats(rows, length):
             seen.add(b[s : s + length])
         rest = np.frombuffer(b, np.uint8)[~gone].tobytes()
         spans = int(np.sum(np.diff(np.concatenate([[0], gone.astype(int)])) == 1))
-        out[d] = (len(b), int(gone.sum()), spans, hashlib.sha256(rest).hexdigest())
+        out[d, len(b)] = (len(b), int(gone.sum()), spans, hashlib.sha256(rest).hexdigest())
     return out
 
 
@@ -166,11 +166,33 @@ def test_repeats_equal_plain_search(spark, odd_docs, odd_rows, monkeypatch, ofte
         if r.doc_id is None:
             assert r.n_removed == 0
         else:
-            assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id]
+            assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id, r.n_bytes]
             assert hashlib.sha256(r.kept).hexdigest() == r.kept_sha256
     assert len(found) == len(odd_rows) + 60
 
 
+def test_texts_that_share_an_id_are_not_pooled(spark):
+    """Copies, and texts that occur nowhere else, under one id and under others."""
+    rng = random.Random(21)
+    parts = [invented(rng, 60 + k) for k in range(8)]
+    rows = [(7, parts[0]), (7, parts[1]), (7, parts[2] + parts[0]), (7, parts[0]), (3, parts[1]), (9, parts[3] + parts[2]), (9, parts[4]), (8, parts[4])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = plain_repeats(rows, 100)
+    found = repeats.remove_repeats(docs).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id, r.n_bytes]
+
+
+def test_different_texts_of_one_id_stay(spark):
+    """Near duplicates go, whatever their id; texts that only share an id do not."""
+    rng = random.Random(22)
+    a, b, c = (invented(rng, 80) for _ in range(3))
+    rows = [(7, a, "x"), (7, b, "x"), (7, a, "x"), (8, a + " more", "y"), (9, c, "z"), (None, c, "z"), (None, c, "z")]
+    kept = ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string, k1 string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(0, c), (0, c), (7, a), (7, b), (9, c)])
+
+
 def test_repeats_in_a_text_longer_than_a_slice(spark):
     rng = random.Random(2)
     body = "".join(rng.choice("abcdef ") for _ in range(1_300_000))
@@ -259,6 +281,22 @@ def test_removal_of_documents_and_spans(odd_docs, odd_rows, items):
         decontamination.decontaminate(odd_docs, items[1], remove="lines")
 
 
+def test_rows_that_share_an_id_or_have_none(spark, odd_rows, items):
+    """Each text is judged by its own words; columns named like the operator's own do not clash."""
+    bad = " ".join(odd_rows[12][1].split()[30:60])
+    rows = [(7, bad), (7, "three clean words"), (None, bad), (None, "four more clean words"), (8, "ab"), (7, bad)]
+    names = ["__doc", "__hit", "__digest", "digest", "hit", "row", "bad_id", "item_ids", "n_hit"]
+    schema = "doc_id long, text string, " + ", ".join(f"{name} string" for name in names)
+    docs = spark.createDataFrame([(*r, *names) for r in rows], schema).repartition(2)
+    judged = sorted((r.doc_id or 0, r.n_words, r.n_hit, r.contaminated) for r in decontamination.contamination(docs, items[1]).collect())
+    assert judged == [(0, 4, 0, False), (0, 30, 30, True), (7, 3, 0, False), (7, 30, 30, True), (7, 30, 30, True), (8, 1, 0, False)]
+    clean = decontamination.decontaminate(docs, items[1])
+    assert clean.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in clean.collect()) == [(0, "four more clean words"), (7, "three clean words"), (8, "ab")]
+    cut = decontamination.decontaminate(docs, items[1], remove="spans")
+    assert cut.columns == docs.columns and sorted((r.doc_id or 0, r.text) for r in cut.collect())[:3] == [(0, ""), (0, "four more clean words"), (7, "")]
+
+
 def test_no_documents_or_no_benchmark(odd_docs, no_docs, items, odd_rows):
     assert decontamination.contamination(no_docs, items[1]).collect() == []
     assert decontamination.decontaminate(odd_docs, items[1].limit(0)).count() == len(odd_rows)
