@@ -251,6 +251,39 @@ def test_page_gives_its_article():
     ]
 
 
+@pytest.mark.parametrize(
+    "names", ["layout with-sidebar", "no-sidebar", "comments-open", "page share-enabled", "social-science", "hasSidebar", "nav-collapsed", "is-menu-open"]
+)
+def test_a_wrapper_that_speaks_of_boilerplate_keeps_its_text(names):
+    sentence = "A sentence of some words that says what the page is about."
+    inside = f"<article><h1>A title</h1><p>{sentence}</p><p>{sentence}</p></article>"
+    page = f"<body><div class='{names}'><nav><a href=x>Home</a></nav>{inside}<div class='related-posts'><p>{sentence} Other.</p></div></div></body>"
+    assert html_text.main_text(page, html_text.default_tree()) == f"A title\n{sentence}\n{sentence}"
+
+
+def test_a_page_without_an_article_keeps_its_sentences():
+    tree = html_text.default_tree()
+    assert html_text.main_text("<p>This page is quite short.</p><p>It has two small sentences.</p>", tree) == "This page is quite short.\nIt has two small sentences."
+    page = "<ul><li><a href=a>Home</a></li><li><a href=b>About us</a></li></ul><p>Only one sentence stands on this page, with some words.</p><a href=c>Back</a>"
+    assert html_text.main_text(page, tree) == "Only one sentence stands on this page, with some words."
+
+
+def test_density_decides_where_the_markup_says_nothing():
+    """Without any zone, dense blocks go and most of the text stays."""
+    rng = random.Random(31)
+    tree, right, count = html_text.default_tree(), 0, 0
+    for _ in range(60):
+        blocks, want = [], []
+        for part in ["links"] * 3 + ["text"] * rng.randint(3, 8) + ["links"] * 4:
+            words = rng.randint(15, 90) if part == "text" else rng.randint(1, 5)
+            blocks.append(html_text.Block("x", words, 0 if part == "text" else words, 0))
+            want.append(part == "text")
+        got = html_text.is_main(tree, html_text.features(blocks))
+        right += (got == np.array(want)).sum()
+        count += len(want)
+    assert right >= 0.97 * count
+
+
 def test_tree_fits_its_table():
     table = np.array([[float(x) for x in line.split()] for line in html_text.LABELLED.strip().splitlines()])
     assert (html_text.is_main(html_text.default_tree(), table[:, :-1]) == (table[:, -1] == 1)).all()
