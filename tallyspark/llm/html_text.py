@@ -345,9 +345,7 @@ LABELLED = """
 14 0.0 6 0.0 8 0.0 0 1
 4 0.0 0 0.0 20 0.0 0 1
 5 0.0 0 0.0 5 0.0 0 1
-5 0.0 5 0.0 0 0.0 0 1
-5 0.0 0 0.0 6 0.0 0 1
-6 0.0 5 0.0 5 0.0 0 1
+10 0.0 2 1.0 1 1.0 0 1
 4 0.0 2 1.0 3 1.0 0 0
 3 0.0 3 0.0 2 0.0 0 0
 6 0.3 2 1.0 3 0.5 0 0
@@ -366,7 +364,7 @@ class Tree(NamedTuple):
     main: np.ndarray
 
 
-def train_tree(rows: np.ndarray, labels: np.ndarray, depth: int = 7) -> Tree:
+def train_tree(rows: np.ndarray, labels: np.ndarray, depth: int = 10) -> Tree:
     """A binary decision tree by Gini index; ties go to the first feature and the smallest cut."""
     nodes: list[list[float]] = []
 
