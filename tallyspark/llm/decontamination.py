@@ -1,10 +1,13 @@
 """Benchmark decontamination with DataFrame functions only.
 
 The benchmark's n-grams (13 words; a shorter item is one n-gram) form a small table of distinct
-windows. Texts are cut into chunks of words that overlap by a window, each chunk gives its windows as
-strings, and these meet the benchmark's windows in a broadcast hash join: the hash finds a candidate,
-the equality of the whole string verifies it. A benchmark beyond `BROADCAST_BYTES` is joined by a
-shuffle instead, with the same result.
+windows with a 64-bit hash each. Texts are read and split once and cut into chunks of words that
+overlap by a window. The hash of a window is made from the hashes of its first and its last words, of
+8, 4, 2 and 1 words, so each level serves all windows of a chunk and all widths. The hashes of a chunk
+meet the benchmark's in a broadcast hash join, and the words of a candidate verify it: only then is a
+window built as a string. Of a benchmark beyond `BROADCAST_BYTES` only the hashes are broadcast, and
+the candidates that they leave meet the windows in a shuffle; if even the hashes exceed the bound, all
+windows are shuffled. The results are the same.
 
 Null and wordless texts have no words and no hits; wordless items give no window; repeated items hit
 under each of their ids. Documents are told apart by doc_id and a 128-bit digest of the text: repeated
@@ -20,18 +23,32 @@ from pyspark.sql import functions as F
 WINDOW = 13
 CHUNK = 512  # words whose windows stand in memory at a time
 BROADCAST_BYTES = 64 << 20
+HASH_BYTES = 32  # what one broadcast hash takes at most
 
 #: What separates words, after A-Z are lower-cased.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+GAP_OF_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD_AND_GAP = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x60\x7B-\x7F]*"
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def lower_ascii(text: Column) -> Column:
+    """The text with A-Z, and no other letter, in lower case; of ASCII alone `lower` makes the same, faster."""
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
+
+
 def words(text: Column) -> Column:
     """The normalised words of a text, an empty array for null."""
-    parts = F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), GAP)
-    return F.filter(parts, lambda w: w != "")
+    parts = F.split(F.coalesce(text, F.lit("")), GAP_OF_ANY_CASE)
+    return F.transform(F.filter(parts, lambda w: w != ""), lower_ascii)
+
+
+def count_words(text: Column) -> Column:
+    """Number of words; what stands before a first and after a last gap is none."""
+    ends = [F.when(end.rlike(GAP_OF_ANY_CASE), 1).otherwise(0) for end in (F.substring(text, 1, 1), F.substring(text, -1, 1))]
+    return F.when(F.length(text) > 0, F.size(F.split(text, GAP_OF_ANY_CASE)) - ends[0] - ends[1]).otherwise(0).cast("long")
 
 
 def _digest() -> Column:
@@ -65,17 +82,48 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return grams.groupBy("gram", "width").agg(F.collect_set("item").alias("items"))
 
 
-def _widths_and_bytes(windows: DataFrame) -> tuple[list[int], int]:
-    rows = windows.groupBy("width").agg(F.sum(F.length("gram") * 4 + F.size("items") * 32 + 64).alias("size")).collect()
-    return sorted(r["width"] for r in rows), sum(r["size"] for r in rows)
+def _window_hashes(tokens: Column, widths: list[int]) -> Column:
+    """array<struct<width int, hashes array<long>>>: a hash of each window that fits, in order, by width."""
+
+    def paired(hashes: Column, apart: int) -> Column:
+        # Past the end the partner is null; those places are cut off below.
+        return F.zip_with(hashes, F.slice(hashes, apart + 1, F.size(hashes)), lambda a, b: F.xxhash64(a, b))
+
+    def fitting(hashes: Column, width: int, size: int) -> Column:
+        whole = hashes if width == size else paired(hashes, width - size)
+        return F.slice(whole, 1, F.greatest(F.size(hashes) - (width - 1), F.lit(0)))
+
+    def level(hashes: Column, size: int) -> Column:
+        """The structs of all widths from `size` words on, given the hashes of `size` words."""
+        here = [w for w in widths if size <= w < 2 * size]
+        rows = [F.struct(F.lit(w).alias("width"), fitting(hashes, w, size).alias("hashes")) for w in here]
+        if not any(w >= 2 * size for w in widths):
+            return F.array(*rows)
+        wider = _bound(paired(hashes, size), lambda bound: level(bound, 2 * size))
+        return F.concat(F.array(*rows), wider) if rows else wider
+
+    return _bound(F.transform(tokens, lambda word: F.xxhash64(word)), lambda bound: level(bound, 1))
+
+
+def _hashed(windows: DataFrame, widths: list[int]) -> DataFrame:
+    """The windows with `hash`, that of their words."""
+    own = F.filter(_window_hashes(F.split("gram", " "), widths), lambda x: x["width"] == F.col("width"))
+    return windows.withColumn("hash", own[0]["hashes"][0])
+
+
+def _widths_and_sizes(windows: DataFrame) -> tuple[list[int], int, int]:
+    """Widths, bytes and number of the windows."""
+    size = F.sum(F.length("gram") * 4 + F.size("items") * 32 + 64)
+    rows = windows.groupBy("width").agg(size.alias("size"), F.count(F.lit(1)).alias("n")).collect()  # at most `window`
+    return sorted(r["width"] for r in rows), sum(r["size"] for r in rows), sum(r["n"] for r in rows)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, digest, start long, width int, items: every place of a text where a benchmark window stands."""
     windows = benchmark_windows(benchmark, window)
-    widths, size = _widths_and_bytes(windows)  # at most `window` rows
-    if size <= BROADCAST_BYTES:
-        windows = F.broadcast(windows)
+    widths, size, count = _widths_and_sizes(windows)
+    widths = widths or [window]
+    windows = _hashed(windows, widths)
 
     def chunked(bound: Column) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(F.size(bound) - 1, F.lit(0)), F.lit(CHUNK))
@@ -83,18 +131,22 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
         return F.transform(starts, lambda s: F.struct(s.alias("base"), F.slice(bound, s + 1, part).alias("part")))
 
     chunks = docs.select("doc_id", _digest().alias("digest"), F.explode(_bound(words(F.col("text")), chunked)).alias("c"))
-    chunks = chunks.select("doc_id", "digest", "c.base", "c.part")
-    found = None
-    for width in widths or [window]:
-        # A window belongs to the chunk that it starts in, so the overlap is not searched twice.
-        part = F.slice("part", F.lit(1), F.lit(CHUNK + width - 1))
-        places = chunks.select("doc_id", "digest", "base", F.posexplode(_windows(part, F.lit(width))).alias("place", "gram"))
-        places = places.withColumn("width", F.lit(width))
-        met = places.join(windows, ["gram", "width"]).select(
-            "doc_id", "digest", (F.col("base") + F.col("place")).cast("long").alias("start"), "width", "items"
-        )
-        found = met if found is None else found.unionAll(met)
-    return found
+    chunks = chunks.select("doc_id", "digest", "c.base", "c.part", F.explode(_window_hashes(F.col("c.part"), widths)).alias("h"))
+    # A window belongs to the chunk that it starts in, so the overlap is not searched twice.
+    own = F.slice("h.hashes", 1, CHUNK)
+    places = chunks.select("doc_id", "digest", "base", "part", F.col("h.width").alias("width"), F.posexplode(own).alias("place", "hash"))
+    start = (F.col("base") + F.col("place")).cast("long").alias("start")
+    if size <= BROADCAST_BYTES:
+        met = places.drop("width").join(F.broadcast(windows), "hash")
+        # Not written as an equality, which would become a key of the join, built for every window.
+        here = F.concat(F.array_join(F.slice("part", F.col("place") + 1, F.col("width")), " "), F.lit(" "))
+        met = met.where(here.startswith(F.concat("gram", F.lit(" "))))
+        return met.select("doc_id", "digest", start, "width", "items")
+    if count * HASH_BYTES <= BROADCAST_BYTES:
+        places = places.join(F.broadcast(windows.select("hash")), "hash", "left_semi")
+    gram = F.array_join(F.slice("part", F.col("place") + 1, F.col("width")), " ").alias("gram")
+    met = places.select("doc_id", "digest", start, "width", gram).join(windows, ["gram", "width"])
+    return met.select("doc_id", "digest", "start", "width", "items")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -102,7 +154,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
     A document is contaminated if a word is hit and at least a twentieth of its words are.
     """
-    sizes = docs.select("doc_id", _digest().alias("digest"), F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    sizes = docs.select("doc_id", _digest().alias("digest"), count_words(F.col("text")).alias("n_words"))
     covered = (
         hits(docs, benchmark, window)
         .select(

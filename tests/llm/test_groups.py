@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspark.llm import decontamination, ngram_join, repeats
 from tallyspark.llm.components import components
@@ -252,8 +253,10 @@ def items(spark, odd_rows):
 
 def test_contamination_equals_plain_search(odd_docs, odd_rows, items, monkeypatch):
     want = plain_hits(odd_rows, items[0])
-    for limit in (1 << 26, 0):  # broadcast, and the shuffle beyond its bound
+    # Windows broadcast, only their hashes, and nothing.
+    for limit, each in ((1 << 26, 32), (1, 0), (0, 32)):
         monkeypatch.setattr(decontamination, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(decontamination, "HASH_BYTES", each)
         found = decontamination.contamination(odd_docs, items[1]).collect()
         assert len(found) == len(odd_rows)
         for r in found:
@@ -302,6 +305,27 @@ def test_no_documents_or_no_benchmark(odd_docs, no_docs, items, odd_rows):
     assert decontamination.decontaminate(odd_docs, items[1].limit(0)).count() == len(odd_rows)
 
 
+def test_only_ascii_letters_are_lowered(spark):
+    points = [chr(p) for p in range(1, 0x110000) if not 0xD800 <= p <= 0xDFFF]
+    rows = [("".join(f"aB{c}C " for c in points[i : i + 500]),) for i in range(0, len(points), 500)] + [(points[i],) for i in range(0x600)]
+    frame = spark.createDataFrame(rows, "text string")
+    for text, lowered, tokens in frame.select("text", decontamination.lower_ascii(F.col("text")), decontamination.words(F.col("text"))).collect():
+        assert lowered == text.translate(LOWER)
+        assert tokens == norm(text)
+    texts = [None, "", " ", "one", " One two", "TWO 2-\n", "-", "ÄB.cd", "a\u2028b"]
+    counts = spark.createDataFrame([(t,) for t in texts], "text string").select("text", decontamination.count_words(F.col("text"))).collect()
+    assert [n for _, n in counts] == [len(norm(t)) for t in texts]
+
+
+def test_windows_of_one_text_hash_as_their_words(spark):
+    tokens = "a b c d e f g h i j k l m a b".split()
+    row = spark.range(1).select(decontamination._window_hashes(F.array(*map(F.lit, tokens)), [1, 2, 3, 7, 8, 13]).alias("h")).first()
+    counts = {x["width"]: len(x["hashes"]) for x in row.h}
+    assert counts == {w: len(tokens) - w + 1 for w in (1, 2, 3, 7, 8, 13)}
+    by_width = {x["width"]: x["hashes"] for x in row.h}
+    assert by_width[2][0] == by_width[2][13] and len(set(by_width[13])) == 3 and len(set(by_width[3])) == 13
+
+
 def test_decontamination_plan_has_no_python(odd_docs, items):
     plan = decontamination.contamination(odd_docs, items[1])._jdf.queryExecution().toString()
     assert "Python" not in plan and "MapInArrow" not in plan
