@@ -7,7 +7,7 @@ what was seen). A URL's score is the difference of its log-likelihoods per chara
 calibrated on every fifth labelled URL, which the models do not see: it lies between the two classes'
 means, at the same number of standard deviations from each.
 
-Counts cover all labelled URLs. Characters outside visible ASCII share one symbol, so a model has at
+Counts cover all other labelled URLs. Characters outside visible ASCII share one symbol, so a model has at
 most 97 ** 3 rows of some 60 bytes, which is the proven bound of the broadcast. Null URLs and those
 without "://" have empty host and path and are scored as they are (null as the empty text); repeated
 rows stay; without labelled URLs every score is 0 and the verdict is block.
