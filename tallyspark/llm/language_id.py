@@ -4,8 +4,8 @@ A subword is three or four consecutive UTF-8 bytes of the text, with A-Z lower-c
 but letters as blanks, hashed to one of `BUCKETS` rows of an embedding table. A text is the mean of its
 embeddings; a linear layer and a softmax give one probability per learned language.
 
-Learning is bounded: at most about `SAMPLE` labelled texts per language, none longer than
-`SAMPLE_CHARS`, chosen by a hash of the text; a fifth of them (by another hash) only calibrates: the
+Learning is bounded: about `SAMPLE` labelled texts per language and never more than twice as many,
+none longer than `SAMPLE_CHARS`, chosen by a hash of the text, so that a rerun learns from the same; a fifth of them (by another hash) only calibrates: the
 temperature of the softmax, and the score under which a prediction counts as rejected
 (`REJECT_SHARE` of the right predictions lie below it). Prediction reads every whole text. Since the
 layers are linear, a subword's logits are one small table row, and a text's logits are a mean of rows.
@@ -22,7 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm.textbytes import LOWER, Texts, mix, texts_of
@@ -157,8 +157,10 @@ def sample(docs: DataFrame) -> tuple[list[str], list[str]]:
     share = F.least(F.lit(1.0), F.lit(float(SAMPLE)) / F.col("count"))
     sizes = sizes.select("lang", (share * 1_000_000).cast("long").alias("share"))
     drawn = known.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("text", F.lit("draw")), F.lit(1_000_000)) < F.col("share"))
-    # Many copies of one text fall together, so a share is no bound; the limit is.
-    rows = drawn.select("text", "lang").distinct().limit(20 * SAMPLE).collect()
+    # Copies of one text fall together, so a share is no bound; the place in the draw's order is.
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("text", F.lit("draw")), "text")
+    placed = drawn.select("text", "lang").distinct().withColumn("place", F.row_number().over(order))
+    rows = placed.where(F.col("place") <= 2 * SAMPLE).collect()
     rows = sorted((r["lang"], r["text"]) for r in rows)
     return [t for _, t in rows], [x for x, _ in rows]
 
