@@ -16,8 +16,8 @@ Learning: spans written by the base patterns' rules into windows of real text, i
 patterns know and in others (separators, prefixes, " @ ", " [@] ", " (at) ", " [at] ", " . "), labelled as
 they are put there (an "at" without brackets and a "dot" in words are not among them), and as many
 windows without any, with codes, keys and numbers that are not personal data.
-The text comes from at most `SAMPLE` distinct texts, drawn by a hash, of at most `SAMPLE_CHARS`
-characters each. Everything else covers all texts whole. Null and empty texts have no spans; rows are judged
+The text comes from the `SAMPLE` distinct texts of the smallest hashes, of at most `SAMPLE_CHARS`
+characters each, whatever the order of the rows. Everything else covers all texts whole. Null and empty texts have no spans; rows are judged
 one by one, so repeats, ties and missing ids change nothing; other columns are not read.
 """
 
@@ -283,7 +283,8 @@ def _invented(rng: np.random.Generator, kind: str) -> str:
     if kind == "email":
         name = word(2, 8) + rng.choice(["", ".", "_", "-", "+"]) + rng.choice([word(1, 6), number(2)])
         at = rng.choice(["@", "@", "@", " @ ", " [@] ", " (at) ", " [at] "])
-        return name + at + word(3, 7) + rng.choice(["", number(1)]) + rng.choice([".", ".", " . "]) + word(2, 4)
+        host = [word(2, 7) + rng.choice(["", number(1), "-" + word(2, 4)]) for _ in range(rng.integers(1, 4))]
+        return name + at + rng.choice([".", ".", " . "]).join([*host, word(2, 4)])
     if kind == "ip":
         return rng.choice([".", ".", ".", " . "]).join(str(rng.integers(1, 256)) for _ in range(4))
     if kind == "card":
@@ -339,12 +340,12 @@ def labelled_windows(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.nd
 
 
 def fit(docs: DataFrame) -> Tagger:
-    """Trains on windows of at most `SAMPLE` documents' texts."""
-    short = docs.where(F.length("text").between(WINDOW + 1, SAMPLE_CHARS)).select("text")
-    share = 1_000_000 * SAMPLE // max(short.count(), 1)
-    drawn = short.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) <= share)
-    # Copies of one text fall together, so a share is no bound; the limit is.
-    texts = sorted({r["text"] for r in drawn.limit(4 * SAMPLE).collect()})[:SAMPLE]
+    """Trains on windows of at most `SAMPLE` distinct texts, those of the smallest hashes: the same in every run."""
+    short = docs.where(F.length("text").between(WINDOW + 1, SAMPLE_CHARS)).select("text", F.xxhash64("text").alias("draw"))
+    # Copies count as rows here and fall together below, so four times the sample is let through.
+    edge = -(2**63) + 2**64 * 4 * SAMPLE // max(short.count(), 4 * SAMPLE)
+    drawn = short.where(F.col("draw") <= F.lit(min(edge, 2**63 - 1))).distinct()
+    texts = [r["text"] for r in drawn.orderBy("draw", "text").limit(SAMPLE).collect()]
     return train(*labelled_windows([re.sub(r"[0-9@]+", "", text) for text in texts]))
 
 
@@ -422,26 +423,26 @@ def _regions(starts: list[int]) -> Iterator[list[int]]:
 
 
 def _plausible(text: str, kind: str, start: int, end: int) -> Span | None:
-    """The span without blanks and points around it, if it has what its kind needs."""
+    """The span without blanks and points around it, its numbers whole, if it has what its kind needs."""
     while start < end and text[start] in " \t\r\n.,;:":
         start += 1
     while end > start and text[end - 1] in " \t\r\n.,;:":
         end -= 1
-    if kind == "email" and start < end:  # an address takes the words at its ends whole
-        while start > 0 and text[start - 1] in _LOCAL_CHARS:
+    if kind == "email":
+        return _address(text, start, end)
+    if start < end:  # a number is never cut within its digits
+        while start > 0 and "0" <= text[start] <= "9" and "0" <= text[start - 1] <= "9":
             start -= 1
-        while end < len(text) and text[end] in _LOCAL_CHARS:
+        while end < len(text) and "0" <= text[end - 1] <= "9" and "0" <= text[end] <= "9":
             end += 1
-        while text[start] == "." and start + 1 < end:
-            start += 1
-        while text[end - 1] == "." and start + 1 < end:
-            end -= 1
+        if kind == "ip":
+            while start < end and not "0" <= text[start] <= "9":
+                start += 1
+            while end > start and not "0" <= text[end - 1] <= "9":
+                end -= 1
     body = text[start:end]
     digits = len(_digits(body))
-    if kind == "email":
-        left, at, right = _SPACED_POINT.sub(".", _SPACED_AT.sub("@", body)).partition("@")
-        fine = bool(at and left.strip(" [(")) and "." in right.strip(" .") and not any(c.isspace() for c in left + right)
-    elif kind == "ip":
+    if kind == "ip":
         parts = [p.strip() for p in body.split(".")]
         fine = len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)
     elif kind == "card":
@@ -451,6 +452,38 @@ def _plausible(text: str, kind: str, start: int, end: int) -> Span | None:
     return (kind, start, end) if fine else None
 
 
+def _address(text: str, start: int, end: int) -> Span | None:
+    """The address of a stretch: its word with a sign inside, which parts of words at the ends count whole for.
+
+    Around a sign with blanks any word could belong to the name, so only words that are partly in the
+    stretch are left out there."""
+    first, last = start, end
+    while first > 0 and start < end and (text[first - 1] in _LOCAL_CHARS or text[first - 1] == "@"):
+        first -= 1
+    while last < len(text) and start < end and (text[last] in _LOCAL_CHARS or text[last] == "@"):
+        last += 1
+    firsts, lasts = [first], [last]
+    words = [(first + w.start(), first + w.end()) for w in re.finditer(r"\S+", text[first:last])]
+    if len(words) > 1:
+        whole = next((w for w in words if "@" in text[w[0] + 1 : w[1] - 1]), None)
+        if whole:
+            firsts.append(whole[0])
+            lasts.append(whole[1])
+        else:
+            firsts += [words[1][0]] * (first < start)
+            lasts += [words[-2][1]] * (last > end)
+    for a in firsts:
+        for b in lasts:
+            while a < b and text[a] in ".,;:":
+                a += 1
+            while b > a and text[b - 1] in ".,;:":
+                b -= 1
+            left, at, right = _SPACED_POINT.sub(".", _SPACED_AT.sub("@", text[a:b])).partition("@")
+            if at and left.strip(" [(") and "." in right.strip(" .") and not any(c.isspace() for c in left + right):
+                return "email", a, b
+    return None
+
+
 def all_spans(texts: list[str], model: Tagger) -> tuple[list[list[Span]], list[list[Span]]]:
     """Base spans, and base spans with those that the tagger adds, for each text."""
     base = [base_spans(t) for t in texts]

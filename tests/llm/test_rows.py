@@ -175,6 +175,36 @@ def test_words_around_a_sign_are_no_address():
         assert pii._plausible(text, "email", 0, len(text)) is None
 
 
+@pytest.mark.parametrize("begin, end", [(5, 28), (6, 27), (7, 29), (7, 30)])
+def test_a_part_of_a_neighbouring_word_falls_off(begin, end):
+    text = "and more joe.b@mail.host.org text"
+    assert pii._plausible(text, "email", begin, end) == ("email", 9, 28)
+
+
+def test_tagger_alone_finds_the_base_spans_of_real_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = [r["text"] for r in docs.where("text rlike '[0-9@]'").collect()]
+    wanted, found = Counter(), Counter()
+    for text, spans in zip(texts, pii.tag(texts, pii.fit(docs)), strict=True):
+        base = pii.base_spans(text)
+        wanted.update(k for k, _, _ in base)
+        found.update(k for k, a, b in base if (k, a, b) in spans)
+    assert set(wanted) == set(pii.KINDS)
+    assert all(found[k] >= 0.9 * n for k, n in wanted.items()), (wanted, found)
+
+
+def test_tagger_learns_the_same_from_other_orders_of_rows(spark):
+    rng = random.Random(8)
+    rows = [(k, invented(rng, 60)) for k in range(40)]
+    rows += [(k + 40, rows[0][1]) for k in range(900)]  # more copies than the sample has places
+    drawn = []
+    for part in (rows, rows[::-1]):
+        frame = spark.createDataFrame(part, "doc_id long, text string").repartition(3 + len(drawn))
+        model = pii.fit(frame)
+        drawn.append(np.concatenate([w.ravel() for w in (*model.forward, *model.backward, model.out, model.moves)]))
+    assert np.array_equal(*drawn)
+
+
 def test_window_starts_cover_all():
     text = "a" * 100 + "1" + "b" * 20 + "@" + "c" * 500 + "9"
     starts = pii._window_starts(text)
