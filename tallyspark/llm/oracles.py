@@ -49,7 +49,7 @@ l AS (SELECT doc_id, i, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS v
 f AS (SELECT *, len(v) AS n, length(array_to_string(v, '')) AS chars,
   length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS symbols,
   length(regexp_replace(line, '[^!]', '', 'g')) AS loud,
-  len(list_filter(v, lambda x: x = '|' OR x = '>')) AS bars,
+  len(list_filter(v, lambda x: x IN ('|', '>', '»', '›', '·', '•'))) AS bars,
   len(list_filter(range(2, len(v) + 1), lambda j: v[j] = v[j - 1])) AS follows,
   row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1 AS dup
   FROM l WHERE len(v) > 0),
@@ -58,6 +58,9 @@ x AS (SELECT doc_id, n, dup, 10 * symbols >= chars OR (loud >= 3 AND 3 * loud >
    OR (n >= 5 AND 2 * follows > n) OR dup OR (n <= 40 AND regexp_matches(
      translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
      'all rights reserved|click here|cookie policy|cookies to|enable javascript|javascript is disabled|lorem ipsum|privacy policy|skip to content|subscribe to our newsletter|terms of service|terms of use'
+     || '|alle rechte vorbehalten|cookie-richtlinie|hier klicken|javascript aktivieren|newsletter abonnieren|nutzungsbedingungen|zum inhalt springen'
+     || '|activer javascript|aller au contenu|cliquez ici|conditions d''utilisation|politique de confidentialité|tous droits réservés'
+     || '|activar javascript|aviso legal|haga clic aquí|política de privacidad|términos de uso|todos los derechos reservados'
    )) AS failed FROM f),
 s AS (SELECT doc_id, sum(CASE WHEN dup THEN 1 ELSE 0 END) AS dups, sum(CASE WHEN failed THEN n ELSE 0 END) AS lost
   FROM x GROUP BY doc_id),

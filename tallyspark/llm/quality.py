@@ -4,7 +4,7 @@ A line (a \\n-separated part with a word) fails if
 - symbols: at least a tenth of its word characters are #*$%&|<>
 - punctuation: it has at least three ! and more than one per three words, or it has ten words or more
   and ends in a letter, digit or comma of ASCII
-- navigation: at least three of its words, and a quarter of them, are | or >
+- navigation: at least three of its words, and a quarter of them, are one of `SEPARATORS`
 - repetition: it has five words or more, and more than half equal the word before them in the line
 - boilerplate: at most 40 words, with a phrase of `BOILERPLATE`
 - duplicate: it equals an earlier line of the document.
@@ -31,6 +31,9 @@ from tallyspark.llm.textbytes import CODES, LOWER, WHITE, Hasher, Texts, grams,
 MIN_WORDS = 50
 #: The characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
+#: Words that part the entries of a menu.
+SEPARATORS = ("|", ">", "»", "›", "·", "•")
+#: English, German, French and Spanish phrases of page furniture; only A-Z match in either case.
 BOILERPLATE = (
     "all rights reserved",
     "click here",
@@ -44,6 +47,25 @@ BOILERPLATE = (
     "subscribe to our newsletter",
     "terms of service",
     "terms of use",
+    "alle rechte vorbehalten",
+    "cookie-richtlinie",
+    "hier klicken",
+    "javascript aktivieren",
+    "newsletter abonnieren",
+    "nutzungsbedingungen",
+    "zum inhalt springen",
+    "activer javascript",
+    "aller au contenu",
+    "cliquez ici",
+    "conditions d'utilisation",
+    "politique de confidentialité",
+    "tous droits réservés",
+    "activar javascript",
+    "aviso legal",
+    "haga clic aquí",
+    "política de privacidad",
+    "términos de uso",
+    "todos los derechos reservados",
 )
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lost_words")
@@ -69,6 +91,18 @@ def _again(keys: np.ndarray) -> np.ndarray:
     return flags
 
 
+def _one_of(words: tuple[str, ...], data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which of the byte ranges hold one of a few short words."""
+    flags = np.zeros(len(starts), bool)
+    for word in words:
+        code = word.encode()
+        at = np.flatnonzero(ends - starts == len(code))
+        for k, byte in enumerate(code):
+            at = at[data[starts[at] + k] == byte]
+        flags[at] = True
+    return flags
+
+
 def judge(texts: Texts, hasher: Hasher) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """Counts and verdicts of each text, and for each byte whether it belongs to a failed line."""
     data, offsets = texts.data, texts.offsets
@@ -81,7 +115,7 @@ def judge(texts: Texts, hasher: Hasher) -> tuple[dict[str, np.ndarray], np.ndarr
     lead = _before(((data & 0xC0) != 0x80) & ~white)  # code points inside words
     symbols = _before(_IS_SYMBOL[data])
     loud = _before(data == ord("!"))
-    bars = _before((ends - starts == 1) & ((data[starts] == ord("|")) | (data[starts] == ord(">"))))
+    bars = _before(_one_of(SEPARATORS, data, starts, ends))
 
     # Words in three-word windows that occur again in the same text.
     triples = grams(words, 3)

@@ -40,7 +40,7 @@ def plain_quality(text):
             10 * sum(c in "#*$%&|<>" for c in line) >= chars
             or (line.count("!") >= 3 and 3 * line.count("!") > n)
             or (n >= 10 and re.search(r"[A-Za-z0-9,]\Z", v[-1]))
-            or (sum(x in "|>" for x in v) >= 3 and 4 * sum(x in "|>" for x in v) >= n)
+            or (sum(x in tuple("|>»›·•") for x in v) >= 3 and 4 * sum(x in tuple("|>»›·•") for x in v) >= n)
             or (n >= 5 and 2 * sum(a == b for a, b in zip(v, v[1:])) > n)
             or (n <= 40 and any(p in line.lower() for p in quality.BOILERPLATE))
             or copy
@@ -60,7 +60,7 @@ def test_quality_equals_plain_rules(odd_docs, odd_rows):
 
 def test_quality_on_invented_lines():
     rng = random.Random(3)
-    pieces = ["a b c", "home | about | more | end.", "Click here now", "stop !!! !!!", "go go go go go.", "", "  ", "é ü, ß", "x" * 9, "a b c d e f g h i j k", "cost $$ ##"]
+    pieces = ["a b c", "home | about | more | end.", "Click here now", "stop !!! !!!", "go go go go go.", "", "  ", "é ü, ß", "x" * 9, "a b c d e f g h i j k", "cost $$ ##", "a » b › c • d.", "é · é · é ·", "© Tous droits réservés.", "Alle Rechte vorbehalten", "Todos los derechos."]
     texts = ["\n".join(rng.choice([*pieces, invented(rng, 12) + "."]) for _ in range(rng.randint(0, 25))) for _ in range(300)]
     batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
     got = []
