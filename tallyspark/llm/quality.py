@@ -19,7 +19,6 @@ missing ids are judged row by row; one very long text is handled alone in memory
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -73,7 +72,7 @@ SCHEMA = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_fail
 
 _IS_SYMBOL = table(SYMBOLS)
 _OPEN_END = table("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789,")
-_PHRASES = re.compile(b"|".join(re.escape(p.encode()) for p in BOILERPLATE))
+_PHRASES = tuple(p.encode() for p in BOILERPLATE)
 
 
 def _before(flags: np.ndarray) -> np.ndarray:
@@ -153,10 +152,14 @@ def judge(texts: Texts, hasher: Hasher) -> tuple[dict[str, np.ndarray], np.ndarr
 
     phrases = np.zeros(len(low), bool)
     if len(low):
-        for found in _PHRASES.finditer(LOWER[data].tobytes()):
-            line = int(np.searchsorted(low, found.start(), side="right")) - 1
-            if line >= 0 and found.end() <= high[line]:
-                phrases[line] = True
+        folded = LOWER[data].tobytes()
+        for phrase in _PHRASES:
+            at = folded.find(phrase)
+            while at >= 0:
+                line = int(np.searchsorted(low, at, side="right")) - 1
+                if line >= 0 and at + len(phrase) <= high[line]:
+                    phrases[line] = True
+                at = folded.find(phrase, at + 1)
     tail = np.zeros(len(low), np.uint8)
     tail[worded] = data[ends[last[worded] - 1] - 1]
     exclaims, pipes = of_lines(loud), of_lines(bars, by_word=True)
