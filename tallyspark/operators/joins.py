@@ -43,6 +43,7 @@ def lookup(
     hot_dim: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     measure: bool = True,
+    rows_per_key: int | None = None,
 ) -> DataFrame:
     """Left-join ``dim`` (unique on ``key``) to ``facts``.
 
@@ -52,19 +53,31 @@ def lookup(
     that tell the rows of one key apart, so no key gathers in one task.
 
     ``hot_dim`` passes in the dim rows of hot keys if they are known already. ``measure=False``
-    skips the counting job for a dim that is itself an expensive query.
+    skips the counting job for a dim that is itself an expensive query. ``rows_per_key`` is the most
+    fact rows that a key (or its absence) can have, if the caller knows: below ``hot_rows`` no key is
+    hot, so nothing is counted, and the key alone deals the rows out, which facts may be dealt by already.
     """
     names = [name for name in dim.columns if name != key]
     if measure and fits_broadcast(dim):
         joined = facts.join(F.broadcast(dim), key, "left")
         return joined.select(*facts.columns, *names)
 
+    payload = F.struct(*names)
+    # Always 0, but not a literal: the optimizer would drop a literal from the join keys, and the
+    # shuffle would go by the key alone.
+    zero = F.pmod(F.xxhash64(key), F.lit(1))
+    if rows_per_key is not None and rows_per_key < hot_rows:
+        joined = facts.join(dim.select(key, payload.alias("_cold")), key, "left")
+        # With the plain column, a filter on what was found would make this an inner join and take the
+        # facts without a key away before any check that their own query makes.
+        found = F.when(zero == 0, F.col("_cold"))
+        return joined.select(*facts.columns, *[found.getField(name).alias(name) for name in names])
+
     if hot_dim is None:
         per_key = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
         hot_keys = per_key.where(F.col("_rows") >= hot_rows).select(key)
         hot_dim = dim.join(F.broadcast(hot_keys), key, "left_semi")
 
-    payload = F.struct(*names)
     served = facts.join(
         F.broadcast(hot_dim.select(key, payload.alias("_hot"))), key, "left"
     )
@@ -72,9 +85,6 @@ def lookup(
     bucket = F.when(pending, F.lit(0).cast("long")).otherwise(
         F.lit(1) + F.pmod(F.xxhash64(*spread), F.lit(1 << 20))
     )
-    # Always 0, but not a literal: the optimizer would drop a literal from the join keys, and the
-    # shuffle would go by the key alone.
-    zero = F.pmod(F.xxhash64(key), F.lit(1))
     cold_dim = dim.select(key, zero.alias("_bucket"), payload.alias("_cold"))
     joined = served.withColumn("_bucket", bucket).join(cold_dim, [key, "_bucket"], "left")
     found = F.coalesce("_hot", "_cold")

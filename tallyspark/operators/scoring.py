@@ -163,19 +163,29 @@ def score_replay(rendered: DataFrame, completions: DataFrame) -> DataFrame:
     )
 
 
-def replay_strictly(rendered: DataFrame, completions: DataFrame) -> DataFrame:
+def replay_strictly(
+    rendered: DataFrame,
+    completions: DataFrame,
+    rows_per_id: int | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """``score_replay`` that fails on a key without exactly one input and one recording.
 
-    Inputs and recordings meet in one shuffle, which pairs and counts them at once.
+    Inputs and recordings meet in one shuffle, which pairs and counts them at once. Nothing is combined
+    before it: a sound key has two rows, and each side would be sorted once more for nothing. Where
+    ``rows_per_id``, the number of keys that share an id, is known and below ``hot_rows``, the rows are
+    dealt and sorted by id, so that a lookup by id finds them as it needs them.
     """
     keys = ["run_id", "id", "repeat"]
+    by_id = rows_per_id is not None and rows_per_id < hot_rows
     answer = F.struct("raw_output", "prompt_tokens", "completion_tokens", "latency_ms")
     right = with_defaults(completions).select(
         *keys, F.lit(0).alias("_in"), F.lit(1).alias("_out"), answer.alias("_answer")
     )
     none = F.lit(None).cast(right.schema["_answer"].dataType)
     left = rendered.select(*keys, F.lit(1).alias("_in"), F.lit(0).alias("_out"), none.alias("_answer"))
-    met = left.unionByName(right).groupBy(*keys).agg(
+    dealt = left.unionByName(right).repartition(*(["id"] if by_id else keys))
+    met = dealt.groupBy("id", "run_id", "repeat").agg(
         F.sum("_in").alias("_in"), F.sum("_out").alias("_out"), F.max("_answer").alias("_answer")
     )
     message = F.concat(
@@ -188,11 +198,17 @@ def replay_strictly(rendered: DataFrame, completions: DataFrame) -> DataFrame:
 
 
 def attach_examples(
-    outputs: DataFrame, examples: DataFrame, hot_rows: int = HOT_ROWS
+    outputs: DataFrame,
+    examples: DataFrame,
+    hot_rows: int = HOT_ROWS,
+    rows_per_id: int | None = None,
 ) -> DataFrame:
-    """Expected label and slice of each output, looked up by example id."""
+    """Expected label and slice of each output, looked up by example id.
+
+    ``rows_per_id`` is the most outputs that an id can have, if that is known.
+    """
     truth = examples.select("id", F.col("label").alias("expected"), "difficulty")
-    found = lookup(outputs, truth, "id", ("run_id", "repeat"), hot_rows=hot_rows)
+    found = lookup(outputs, truth, "id", ("run_id", "repeat"), hot_rows=hot_rows, rows_per_key=rows_per_id)
     return found.where(F.col("expected").isNotNull())
 
 

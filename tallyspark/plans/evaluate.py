@@ -139,6 +139,7 @@ def evaluate(
             F.lit("n_repeats"), F.lit(str(n_repeats)),
         ).alias("params"),
     )
+    rows_per_id = None
     if completions is None:
         root = answers_folder or (f"{store.root}/answers" if store else f"{shared_folder(spark)}/answers")
         prompts_fp = dataset_fingerprint(prompts, fields=("version", "fingerprint")).first()["fingerprint"]
@@ -158,9 +159,11 @@ def evaluate(
         rendered = render_prompts(examples, prompts, n_repeats)
         # Recordings of other versions are not this evaluation's concern.
         own = completions.join(prompts.select(F.col("version").alias("run_id")), "run_id", "left_semi")
-        replayed = replay_strictly(rendered, own)
+        # Every key that passes is there once, so an id has an output per prompt and repeat.
+        rows_per_id = prompts.count() * n_repeats
+        replayed = replay_strictly(rendered, own, rows_per_id)
         outputs = replayed.withColumn("run_id", run_id(started, F.col("run_id")))
-    predictions = parse_predictions(attach_examples(outputs, examples), task)
+    predictions = parse_predictions(attach_examples(outputs, examples, rows_per_id=rows_per_id), task)
     if store is not None:
         store.save("predictions", predictions)
         run_ids = [row["run_id"] for row in runs.select("run_id").collect()]

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 from dataclasses import dataclass
 
 import pytest
@@ -259,3 +260,25 @@ def test_records_hold_every_example(spark, rows):
     assert rows(from_chunks(chunks)) == rows(frame.select("run_id", *EXAMPLE_FIELDS))
     for row in chunks.collect():
         assert [(e["id"], e["repeat"]) for e in row["examples"]] == sorted((e["id"], e["repeat"]) for e in row["examples"])
+
+
+def test_recordings_are_replayed_in_one_shuffle(spark, inputs, rows, monkeypatch):
+    """Every id has one output, so none is counted. (Spark itself broadcasts the few examples here.)"""
+    from tallyspark.operators import joins
+
+    examples, prompts = inputs
+    answer = F.concat(F.lit('{"category": "'), "label", F.lit('"}')).alias("content")
+    one = F.lit(1).cast("long")
+    recorded = examples.select(F.lit("v1").alias("run_id"), "id", F.lit(1).alias("repeat"), answer,
+                               one.alias("prompt_tokens"), one.alias("completion_tokens"), F.lit(1.0).alias("latency_ms"))
+
+    def predictions():
+        return evaluate(examples, prompts["v1"], FEEDBACK_TASK, "m", completions=recorded, now=at(5)).predictions
+
+    want = rows(predictions())
+    assert len(want) == 24
+    monkeypatch.setattr(joins.fits_broadcast, "__defaults__", (0, 0))
+    frame = predictions()
+    assert rows(frame) == want
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert re.findall(r"Exchange hashpartitioning\(([a-z_]+)#", plan) == ["id"]

@@ -1,3 +1,4 @@
+import re
 from dataclasses import dataclass
 
 import pytest
@@ -140,3 +141,31 @@ def test_lookup_of_a_hot_example(spark, examples, rows, monkeypatch, hot_rows):
     monkeypatch.setattr(joins.fits_broadcast, "__defaults__", (0, 0))
     assert not joins.fits_broadcast(examples)
     assert rows(attach_examples(outputs, examples, hot_rows=hot_rows)) == want
+
+
+def test_a_lookup_whose_keys_are_bounded_counts_nothing(spark, examples, rows, monkeypatch):
+    """Recordings and examples are dealt by id once each, unless an id may have too many rows."""
+    recorded = examples.select(F.lit("p1").alias("run_id"), "id", F.lit(1).alias("repeat"), F.concat(F.lit("raw "), "id").alias("content"),
+                               *[F.lit(1).cast(kind).alias(name) for name, kind in (("prompt_tokens", "long"), ("completion_tokens", "long"), ("latency_ms", "double"))])
+    rendered = recorded.select("run_id", "id", "repeat", F.lit("s").alias("system"), F.lit("u").alias("user"))
+
+    def attached(bound, hot_rows=5, inputs=rendered):
+        replayed = replay_strictly(inputs, recorded, bound, hot_rows)
+        return attach_examples(replayed, examples, hot_rows=hot_rows, rows_per_id=bound)
+
+    want = rows(attached(None))
+    assert len(want) == 20
+    monkeypatch.setattr(joins.fits_broadcast, "__defaults__", (0, 0))
+    for bound, hot_rows in ((None, 5), (1, 5), (5, 5), (1, 1)):
+        assert rows(attached(bound, hot_rows)) == want
+    frame = attached(1)
+    assert rows(frame) == want
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert re.findall(r"Exchange hashpartitioning\(([a-z_]+)#", plan) == ["id", "id"]
+    assert plan.count(" Sort [") <= 2
+
+    # An input without an id is an input: it has no recording, whatever the lookup would make of it.
+    nameless = rendered.where("id = 'e1'").withColumn("id", F.lit(None).cast("string"))
+    for bound in (None, 1):
+        with pytest.raises(Exception, match="not exactly one"):
+            attached(bound, inputs=rendered.unionByName(nameless)).collect()
