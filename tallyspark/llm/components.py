@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.shared import stored
+from tallyspark.llm.shared import drop, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -40,5 +40,6 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
         if state == before:
             break
         before, done = state, done + 1
-        edges = stored(star_round(edges), "links")
+        old, edges = edges, stored(star_round(edges), "links")
+        drop(old)
     return edges.groupBy("node").agg(F.min("root").alias("root"))

@@ -17,8 +17,9 @@ Documents link if 100 * overlap >= 80 * union. The product is never formed as a
    columns are accumulated, and a pair goes on only if the count plus what can come after the last
    of them reaches that overlap.
 5. Before whole rows are compared (in crowded columns already where they meet), the parities of the
-   columns (512 bits a row) bound the symmetric difference from below; pairs above what the sizes allow
-   are discarded. The rest is compared exactly.
+   columns (512 bits a row, for rows with more columns about a bit a column) bound the symmetric difference
+   from below; pairs above what the sizes allow are discarded. The rest is compared exactly. Only these
+   pairs move whole rows, of 8 bytes a column, so they are few more than the links.
 
 No step drops a link between components, so these are exact; the counts in 2 steer only the order. Links
 inside a component that the stars have united are not all met by these steps. `link_counts` counts all
@@ -28,6 +29,7 @@ row of a table. Rows are repeated once per block of their component (about `BLOC
 `BLOCK_GRAMS` n-grams each). A link counts once for each distinct pair of doc_id and n-grams at its other
 end, equal rows among them. Columns with many rows are
 counted with partial sums, and joins on them are left to the engine's splitting of skewed partitions.
+Every step's shuffle files go when it ends, and its table when no later step reads it.
 
 Null and empty texts have no n-grams, no links, and are alone in their component. Repeated rows are one node. Rows
 without doc_id link with nothing and have no component and no count. Rows of one doc_id are one node, whatever their
@@ -44,14 +46,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm.components import components
-from tallyspark.llm.shared import stored
+from tallyspark.llm.shared import drop, stored
 from tallyspark.llm.textbytes import Hasher, mix, shingle_sets, texts_of
 
 WIDTH = 5
 PERCENT = 80
 OFTEN = 64  # a column in so many first blocks goes to the end of the order
-MOST_OFTEN = 500_000  # bound on the number of such columns; OFTEN rises with the input to keep it
+MOST_OFTEN = 500_000  # bound on the number of such columns; OFTEN is doubled only where there are more
 PARITIES = 8
+MOST_PARITIES = 1 << 11  # words of 64 bits for a long row
 BLOCK = 256
 BLOCK_GRAMS = 1 << 20
 CROWDED = 64  # columns with more rows carry the parities into the product, so fewer pairs leave it
@@ -73,22 +76,30 @@ def _keys(grams: np.ndarray) -> list[np.uint64]:
         return [mix(grams).sum(dtype=np.uint64), mix(grams ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)]
 
 
+def _parities(grams: np.ndarray, words: int) -> np.ndarray:
+    """Parities of the columns in 64 * `words` (a power of two) classes; halves fold into fewer by exclusive or."""
+    odd = np.bincount((grams & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _facts(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             size = batch.num_rows
             out = np.zeros((3 + PARITIES, size), np.int64)
+            wide: list[np.ndarray | None] = [None] * size
             for row, grams in _each(batch, hasher, width):
                 if not len(grams):
                     continue
                 keys = _keys(grams)
-                odd = np.bincount((grams & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1
                 out[0, row] = len(grams)
                 out[1:3, row] = np.array(keys, np.uint64).view(np.int64)
-                out[3:, row] = np.packbits(odd.astype(np.uint8)).view(np.int64)
-            columns = [batch.column("doc_id").cast(pa.int64()), *map(pa.array, out)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "k1", "k2", *_SKETCH])
+                out[3:, row] = _parities(grams, PARITIES)
+                if len(grams) > 64 * PARITIES:
+                    wide[row] = _parities(grams, min(1 << (len(grams) - 1 >> 6).bit_length(), MOST_PARITIES))
+            columns = [batch.column("doc_id").cast(pa.int64()), *map(pa.array, out), pa.array(wide, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "k1", "k2", *_SKETCH, "wide"])
 
     return run
 
@@ -190,11 +201,28 @@ def _parities_fit(percent: int):
     return apart * (100 + percent) <= (100 - percent) * (F.col("na") + F.col("nb"))
 
 
+def _wide_fit(percent: int):
+    """The same by the parities of long rows, as many as the row with fewer has; rows without them pass."""
+
+    def folded(x, words):
+        twice = F.zip_with(F.slice(x, 1, words), F.slice(x, words + 1, words), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) > words, twice).otherwise(x)
+
+    a, b = F.col("widea"), F.col("wideb")
+    words = F.least(F.size(a), F.size(b))
+    each = F.zip_with(folded(a, words), folded(b, words), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    apart = F.aggregate(each, F.lit(0), lambda so_far, more: so_far + more)
+    fits = apart * (100 + percent) <= (100 - percent) * (F.col("na") + F.col("nb"))
+    known = a.isNotNull() & b.isNotNull() & (F.greatest(F.size(a), F.size(b)) <= 2 * words)
+    return F.when(known, fits).otherwise(True)
+
+
 def _within_parities(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose parities allow a link."""
-    a = nodes.select(F.col("id").alias("a"), F.col("n").alias("na"), *[F.col(c).alias(f"{c}a") for c in _SKETCH])
-    b = nodes.select(F.col("id").alias("b"), F.col("n").alias("nb"), *[F.col(c).alias(f"{c}b") for c in _SKETCH])
-    can_link = _close("na", "nb", percent) & _parities_fit(percent)
+    sketch = [*_SKETCH, "wide"]
+    a = nodes.select(F.col("id").alias("a"), F.col("n").alias("na"), *[F.col(c).alias(f"{c}a") for c in sketch])
+    b = nodes.select(F.col("id").alias("b"), F.col("n").alias("nb"), *[F.col(c).alias(f"{c}b") for c in sketch])
+    can_link = _close("na", "nb", percent) & _parities_fit(percent) & _wide_fit(percent)
     return pairs.join(a, "a").join(b, "b").where(can_link).select("a", "b")
 
 
@@ -220,20 +248,26 @@ class _Compared:
     def __init__(self, docs: DataFrame, width: int, percent: int) -> None:
         self.docs, self.width, self.percent = docs.select("doc_id", "text"), width, percent
         self.rows: DataFrame | None = None
+        self.made: list[DataFrame] = []
 
     def linked(self, pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs, "pairs")  # what is left of them decides how they meet the rows
         ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
         if self.rows is not None:
             ids = ids.join(self.rows.select("id"), "id", "left_anti")
         ids = stored(ids, "ids")  # its size decides whether it is broadcast or the texts are shuffled
         texts = self.docs.join(ids, self.docs["doc_id"] == ids["id"], "left_semi")
         made = stored(texts.mapInArrow(_rows(self.width), "id long, grams array<long>"), "rows")
+        drop(ids)
+        self.made.append(made)
         self.rows = made if self.rows is None else self.rows.unionAll(made)
         a = self.rows.select(F.col("id").alias("a"), F.col("grams").alias("ga"))
         b = self.rows.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
         both = F.size(F.array_intersect("ga", "gb"))
         enough = 100 * both >= self.percent * (F.size("ga") + F.size("gb") - both)
-        return stored(pairs.join(a, "a").join(b, "b").where(enough).select("a", "b"), "linked")
+        links = stored(pairs.join(a, "a").join(b, "b").where(enough).select("a", "b"), "linked")
+        drop(pairs)
+        return links
 
 
 def _keyed_rows(width: int):
@@ -339,24 +373,32 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
     """Facts of every row, the classes of known rows, and each class's component."""
     source = docs.select("doc_id", "text")
     fields = ", ".join(f"{c} long" for c in ["doc_id", "n", "k1", "k2", *_SKETCH])
-    facts = stored(source.mapInArrow(_facts(width), fields), "facts")
+    facts = stored(source.mapInArrow(_facts(width), f"{fields}, wide array<long>"), "facts")
     known = facts.where("n > 0 and doc_id is not null")
-    nodes = known.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ["n", *_SKETCH]])
+    nodes = known.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ["n", *_SKETCH, "wide"]])
+    # An id with several texts is compared with all of them, so the parities of one of them say too little.
+    several = known.groupBy("doc_id").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("k1", "k2")])
+    several = several.where("min_k1 != max_k1 or min_k2 != max_k2").select(F.col("doc_id").alias("id"), F.lit(True).alias("several"))
+    nodes = nodes.join(several, "id", "left").withColumn("wide", F.when(F.col("several").isNull(), F.col("wide"))).drop("several")
     nodes = stored(nodes, "nodes")
     member = stored(known.select("doc_id", "k1", "k2", "n").join(nodes.select("id", "k1", "k2"), ["k1", "k2"]), "members")
 
-    total = nodes.agg(F.sum("n").alias("n")).first()["n"] or 0
-    least = max(OFTEN, total * (100 - percent) // 100 // MOST_OFTEN)
     halves = source.mapInArrow(_counted(width, percent), "half int").groupBy("half").agg(F.count("*").alias("n"))
+    halves = stored(halves.where(F.col("n") >= OFTEN), "halves")
+    bounds = [OFTEN << k for k in range(40)]
+    above = halves.agg(*[F.count(F.when(F.col("n") >= n, 1)) for n in bounds]).first()
+    least = next(n for n, count in zip(bounds, above, strict=True) if count <= MOST_OFTEN or n == bounds[-1])
     often = np.sort(np.array([r["half"] for r in halves.where(F.col("n") >= least).collect()], np.int32))
+    drop(halves)
 
     blocks = source.mapInArrow(_blocks(width, percent, often), "h long, doc_id long, place int, last boolean")
     column = Window.partitionBy("h")
     few = blocks.where("not last").withColumn("rows", F.count("*").over(column)).where("rows > 1")  # about `least` rows a column
     late = blocks.where("last")
-    cells = stored(few.select("h", "doc_id", "place").unionAll(late.select("h", "doc_id", "place")), "cells")
-    cells = cells.join(member.select("doc_id", "id", "n"), "doc_id").groupBy("h", "id").agg(F.min("place").alias("place"), F.first("n").alias("n"))
+    places = stored(few.select("h", "doc_id", "place").unionAll(late.select("h", "doc_id", "place")), "places")
+    cells = places.join(member.select("doc_id", "id", "n"), "doc_id").groupBy("h", "id").agg(F.min("place").alias("place"), F.first("n").alias("n"))
     cells = stored(cells, "cells")
+    drop(places)
 
     # Three rows of each column that all others meet.
     row = F.struct("id", "n", "place")
@@ -378,6 +420,7 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
     mixed = placed.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows"))
     mixed = mixed.where("low < high").select("h", "rows")
     placed = stored(placed.join(mixed, "h"), "placed")
+    drop(cells, roots)
     few = _met(placed.where(F.col("rows") <= CROWDED), percent, parities=False)
     crowd = placed.where(F.col("rows") > CROWDED).join(nodes.select("id", *_SKETCH), "id")
     met = few.unionAll(_met(crowd, percent, parities=True))
@@ -385,11 +428,14 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
     to_come = F.least(F.col("na") - F.col("ia") - 1, F.col("nb") - F.col("ib") - 1)
     shared = shared.where((F.col("got") + to_come) * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
     fresh = shared.select("a", "b").join(star, ["a", "b"], "left_anti")
-    more = compared.linked(stored(_within_parities(fresh, nodes, percent), "pairs"))
+    more = compared.linked(_within_parities(fresh, nodes, percent))
+    drop(placed, star, nodes, *compared.made)
 
     found = stored(components(links.unionAll(more)), "components")
+    drop(links, more)
     of_node = member.select("id", "k1", "k2").distinct().join(found, F.col("id") == F.col("node"), "left")
     of_node = stored(of_node.groupBy("k1", "k2").agg(F.min(F.coalesce("root", "id")).alias("component")), "classes")
+    drop(found)
     return facts, member, of_node
 
 
