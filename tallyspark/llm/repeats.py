@@ -15,7 +15,9 @@ together, and suffixes are ordered only where that decides something:
    Shards are merged without sorting their suffixes again: an interleave of the two orders is
    refined by the next 8 bytes at a time, only where a block of equal prefixes still holds rows of both
    shards. Blocks left after `LENGTH` bytes are common prefixes of that length: repeated intervals, whose
-   earliest string stays and whose others are removed.
+   earliest string stays and whose others are removed. A task's rows come sorted by anchor. Equal strings
+   have one anchor, so at the end of an anchor, after about `UNIT_BYTES`, the merged order is complete and let
+   go: memory follows that bound and the largest anchor, not the size of the partition.
 
 Anchors that a sample of documents shows very often are dealt to many tasks by content; their distinct
 strings are settled by one more aggregation on digests. The sample steers only the plan. Within a slice
@@ -35,6 +37,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +47,7 @@ from tallyspark.llm.textbytes import CODES, Hasher, mix, texts_of
 LENGTH = 100
 GRAM = 24
 SHARD_BYTES = 1 << 20
+UNIT_BYTES = 2 << 20  # a memory bound: about 40 times as much while its shards are merged
 SAMPLE_DOCS = 20_000
 OFTEN_IN_SAMPLE = 50
 DEALT = 64
@@ -362,7 +366,7 @@ def _settled(length: int, often: np.ndarray):
         docs: list[np.ndarray] = []
         frequent: list[np.ndarray] = []
         held: list[pa.RecordBatch] = []
-        size = rows = 0
+        size = rows = unit = 0
 
         def build() -> Iterator[pa.RecordBatch]:
             nonlocal size, rows
@@ -381,32 +385,63 @@ def _settled(length: int, often: np.ndarray):
                 yield from found(np.concatenate(docs)[gone[0]], gone[1])
             shards.append(shard)
 
+        def complete() -> Iterator[pa.RecordBatch]:
+            nonlocal rows, unit
+            if held:
+                yield from build()
+            while len(shards) > 1:
+                shard, gone = merge(shards.pop(), shards.pop(), length)
+                yield from found(np.concatenate(docs)[gone[0]], gone[1])
+                shards.append(shard)
+            if shards:
+                shard = shards[0]
+                hot = np.concatenate(frequent)[shard.row]
+                place = shard.place[hot]
+                if len(place):
+                    digest = [np.zeros(len(place), np.uint64), np.full(len(place), 7, np.uint64)]
+                    with np.errstate(over="ignore"):
+                        for depth in range(0, length, 8):
+                            word = shard.words[place + depth]
+                            if length - depth < 8:
+                                word = word >> np.uint64(8 * (8 - (length - depth)))
+                            digest = [mix(digest[0] * np.uint64(3) + word), mix((digest[1] ^ word) + np.uint64(depth))]
+                    columns = [shard.doc[hot], shard.at[hot], np.ones(len(place), np.int64), *(d.view(np.int64) for d in digest)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+            for kept in (shards, docs, frequent):
+                kept.clear()
+            rows = unit = 0
+
+        before = None  # the latest anchor
         for batch in batches:
-            for first in range(0, batch.num_rows, 4096):
-                held.append(batch.slice(first, 4096))
-                size += sum(map(len, held[-1].column("body").to_pylist()))
+            a = np.asarray(batch.column("a"))
+            if not len(a):
+                continue
+            # Strings of an anchor stay together, but for frequent ones, whose digests meet once more.
+            ends = np.isin(a.view(np.uint64), often)
+            ends[1:] |= a[1:] != a[:-1]
+            ends[0] |= a[0] != before
+            before = a[-1]
+            ends = np.append(np.flatnonzero(ends), len(a))
+            total = np.cumsum(pc.binary_length(batch.column("body")).to_numpy(zero_copy_only=False).astype(np.int64))
+            first = 0
+            while first < len(a):
+                done = int(total[first - 1]) if first else 0
+                room, last = SHARD_BYTES - size, len(a)
+                if unit < UNIT_BYTES:
+                    room = min(room, UNIT_BYTES - unit)
+                else:
+                    last = int(ends[np.searchsorted(ends, first)])
+                if last == first:
+                    yield from complete()
+                    continue
+                last = min(last, int(np.searchsorted(total, done + room)) + 1)
+                held.append(batch.slice(first, last - first))
+                size += int(total[last - 1]) - done
+                unit += int(total[last - 1]) - done
+                first = last
                 if size >= SHARD_BYTES:
                     yield from build()
-        if held:
-            yield from build()
-        while len(shards) > 1:
-            shard, gone = merge(shards.pop(), shards.pop(), length)
-            yield from found(np.concatenate(docs)[gone[0]], gone[1])
-            shards.append(shard)
-        if shards:
-            shard = shards[0]
-            hot = np.concatenate(frequent)[shard.row]
-            place = shard.place[hot]
-            if len(place):
-                digest = [np.zeros(len(place), np.uint64), np.full(len(place), 7, np.uint64)]
-                with np.errstate(over="ignore"):
-                    for depth in range(0, length, 8):
-                        word = shard.words[place + depth]
-                        if length - depth < 8:
-                            word = word >> np.uint64(8 * (8 - (length - depth)))
-                        digest = [mix(digest[0] * np.uint64(3) + word), mix((digest[1] ^ word) + np.uint64(depth))]
-                columns = [shard.doc[hot], shard.at[hot], np.ones(len(place), np.int64), *(d.view(np.int64) for d in digest)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+        yield from complete()
 
     return run
 
@@ -433,7 +468,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     bodies = texts.mapInArrow(_contents(length), "a long, doc_id long, at long, n long, body binary")
     frequent = F.col("a").isin([int(a) for a in often.view(np.int64)]) if len(often) else F.lit(False)
     deal = F.when(frequent, F.pmod(F.xxhash64("body"), F.lit(DEALT))).otherwise(F.lit(0))
-    dealt = bodies.withColumn("deal", deal).repartition("a", "deal").drop("deal")
+    dealt = bodies.withColumn("deal", deal).repartition("a", "deal").drop("deal").sortWithinPartitions("a")
     settled = stored(dealt.mapInArrow(_settled(length, often), "doc_id long, at long, n long, w1 long, w2 long"), "repeats")
 
     strings = settled.where("w1 is not null")
