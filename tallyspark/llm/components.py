@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.shared import drop, stored
+from tallyspark.llm.shared import drop, shuffles_released, stored
 
 
 def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node", "root")).alias("x")).first()
+    with shuffles_released(edges.sparkSession):
+        row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node", "root")).alias("x")).first()
     return row["n"], row["x"]
 
 

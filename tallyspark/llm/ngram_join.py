@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm.components import components
-from tallyspark.llm.shared import drop, stored
+from tallyspark.llm.shared import drop, shuffles_released, stored
 from tallyspark.llm.textbytes import Hasher, mix, shingle_sets, texts_of
 
 WIDTH = 5
@@ -386,7 +386,8 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
     halves = source.mapInArrow(_counted(width, percent), "half int").groupBy("half").agg(F.count("*").alias("n"))
     halves = stored(halves.where(F.col("n") >= OFTEN), "halves")
     bounds = [OFTEN << k for k in range(40)]
-    above = halves.agg(*[F.count(F.when(F.col("n") >= n, 1)) for n in bounds]).first()
+    with shuffles_released(docs.sparkSession):
+        above = halves.agg(*[F.count(F.when(F.col("n") >= n, 1)) for n in bounds]).first()
     least = next(n for n, count in zip(bounds, above, strict=True) if count <= MOST_OFTEN or n == bounds[-1])
     often = np.sort(np.array([r["half"] for r in halves.where(F.col("n") >= least).collect()], np.int32))
     drop(halves)

@@ -6,6 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallyspark.llm import ngram_join
 from tallyspark.llm.shared import drop, shared_folder, stored
 from tests.llm.conftest import SCHEMA, invented
@@ -47,12 +48,28 @@ def test_only_what_the_groups_read_stays(spark):
     text = invented(rng, 80)
     rows = [(k, text + f" {k // 2}" if k < 6 else invented(rng, 60), *[None] * 7) for k in range(12)]
     docs = spark.createDataFrame([(*r[:4], 0, *r[5:]) for r in rows], SCHEMA)
-    names = tables(spark)
+    files, names = shuffle_files(spark), tables(spark)
     found = ngram_join.similar_groups(docs)
+    assert left(spark, files) == set()
     assert {n.rpartition("-")[0] for n in tables(spark) - names} <= {"facts", "members", "classes", "links"}
     assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(k, 0 if k < 6 else k) for k in range(12)]
 
 
+def test_near_duplicates_leave_no_shuffle_files_behind_their_steps(spark, tmp_path):
+    rng = random.Random(24)
+    text = invented(rng, 700)
+    rows = [(k, text if k < 3 else invented(rng, 650) + text[:300], "en", "s", 0) for k in range(9)] + [(None, text, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    files, names = shuffle_files(spark), tables(spark)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert left(spark, files) == set()
+    assert {n.rpartition("-")[0] for n in tables(spark) - names} <= {"facts", "members", "classes", "links"}
+    kept.write.parquet(str(tmp_path / "kept"))
+    found = spark.read.parquet(str(tmp_path / "kept"))
+    assert found.columns == docs.columns
+    assert sorted((r.doc_id is not None, r.doc_id or 0) for r in found.collect()) == [(False, 0), (True, 0), *((True, k) for k in range(3, 9))]
+
+
 def test_long_rows_that_share_a_passage_are_not_compared_whole(spark):
     rng = random.Random(22)
     base, passage = invented(rng, 3_000).split(), invented(rng, 400).split()
