@@ -26,9 +26,11 @@ def odd_rows():
     return rows
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="package")
 def odd_docs(spark, odd_rows):
-    return spark.createDataFrame(odd_rows, SCHEMA).repartition(3).cache()
+    docs = spark.createDataFrame(odd_rows, SCHEMA).repartition(3).cache()
+    yield docs
+    docs.unpersist(blocking=True)  # other packages' tests look for what stays persisted
 
 
 @pytest.fixture(scope="session")
